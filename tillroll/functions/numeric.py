@@ -27,6 +27,28 @@ def safe_div(num, den, default: float | None = 0.0) -> Column:
     return F.when(d != 0, n / d).otherwise(dflt)
 
 
+def total(c) -> Column:
+    """Exact sum of a decimal amount, cast to double once summed."""
+    return F.sum(_c(c)).cast("double")
+
+
+def mean(c) -> Column:
+    """Mean as (exact sum) / count — identical in any engine or order."""
+    return F.sum(_c(c)).cast("double") / F.count(_c(c))
+
+
+def round_half_up(c, places: int) -> Column:
+    """Half-up rounding done in IEEE double arithmetic only, so every engine
+    returns the same bits (``round()`` implementations disagree on ties)."""
+    k = float(10 ** places)
+    return F.floor(_c(c) * F.lit(k) + F.lit(0.5)).cast("double") / F.lit(k)
+
+
+def round_half_up_sql(expr: str, places: int) -> str:
+    k = float(10 ** places)
+    return f"(CAST(floor(({expr}) * {k} + 0.5) AS DOUBLE) / {k})"
+
+
 def clip(c, lo=None, hi=None) -> Column:
     """F12 clip to [lo, hi]; nulls stay null (unlike bare greatest/least)."""
     x = _c(c)

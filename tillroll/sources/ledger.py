@@ -5,7 +5,10 @@ One ledger line per ``lineitem`` row:
 * transaction_id = order key, prefixed with ``C`` when the line is a return
   (``l_returnflag = 'R'``), the reference's credit-note convention;
 * quantity and amount are negated for returns, so net-demand guards run;
-* unit price = extended price / quantity; amount = price after discount.
+* unit price = extended price / quantity; amount = price after discount,
+  held as ``DECIMAL(18,4)`` so that every sum of amounts is exact — the same
+  in any summation order, partitioning or engine.  Aggregates are cast to
+  double right after summing (see :func:`tillroll.functions.numeric.total`).
 
 ``region`` needs two more joins (customer, nation) and is only attached when
 asked for, so most queries keep a single ``lineitem``–``orders`` join.
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.tables import read_table
+from tillroll.sources.tables import AMOUNT, read_table
 
 
 def sales_ledger(spark: SparkSession, sf_dir: str, with_region: bool = False,
@@ -37,7 +40,7 @@ def sales_ledger(spark: SparkSession, sf_dir: str, with_region: bool = False,
         (sign * F.col("l_quantity")).alias("quantity_sold"),
         F.when(F.col("l_quantity") != 0, F.col("l_extendedprice") / F.col("l_quantity"))
          .otherwise(F.lit(0.0)).alias("unit_price"),
-        (sign * (F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("sales_amount"),
+        (sign * (F.col("l_extendedprice") * (1 - F.col("l_discount")))).cast(AMOUNT).alias("sales_amount"),
     ]
     if with_region:
         cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -65,7 +68,7 @@ def ledger_sql(with_region: bool = False, returns: bool = True) -> str:
            CAST(l.l_partkey AS VARCHAR) AS product_id,
            (CASE WHEN {ret} THEN -1.0 ELSE 1.0 END) * l.l_quantity AS quantity_sold,
            CASE WHEN l.l_quantity <> 0 THEN l.l_extendedprice / l.l_quantity ELSE 0.0 END AS unit_price,
-           (CASE WHEN {ret} THEN -1.0 ELSE 1.0 END) * (l.l_extendedprice * (1 - l.l_discount)) AS sales_amount,
+           CAST((CASE WHEN {ret} THEN -1.0 ELSE 1.0 END) * (l.l_extendedprice * (1 - l.l_discount)) AS DECIMAL(18,4)) AS sales_amount,
            {region_sel} AS region
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     {region_join}

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Money at line grain is an exact decimal (4 places covers price × discount).
+AMOUNT = "decimal(18,4)"
+
 # Canonical clean ledger (`sales`) and the raw ledger with placeholder columns.
 SALES_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType()),
@@ -19,7 +22,7 @@ SALES_SCHEMA = T.StructType([
     T.StructField("product_id", T.StringType()),
     T.StructField("quantity_sold", T.DoubleType()),
     T.StructField("unit_price", T.DoubleType()),
-    T.StructField("sales_amount", T.DoubleType()),
+    T.StructField("sales_amount", T.DecimalType(18, 4)),
     T.StructField("region", T.StringType()),
 ])
 
