@@ -37,6 +37,25 @@ def mean(c) -> Column:
     return F.sum(_c(c)).cast("double") / F.count(_c(c))
 
 
+def exact_sum(c, scale: int = 6) -> Column:
+    """Sum of a double column through DECIMAL(38, scale): exact and order-free
+    (values are first rounded to ``scale`` places), returned as double."""
+    return F.sum(_c(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_mean(c, scale: int = 6) -> Column:
+    """Mean via :func:`exact_sum` — the same bits in any engine and order."""
+    return exact_sum(c, scale) / F.count(_c(c))
+
+
+def xsum_sql(expr: str, scale: int = 6) -> str:
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+
+
+def xmean_sql(expr: str, scale: int = 6) -> str:
+    return f"({xsum_sql(expr, scale)} / count({expr}))"
+
+
 def round_half_up(c, places: int) -> Column:
     """Half-up rounding done in IEEE double arithmetic only, so every engine
     returns the same bits (``round()`` implementations disagree on ties)."""

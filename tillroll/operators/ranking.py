@@ -107,39 +107,40 @@ def qcut_first(df: DataFrame, value: str, tiebreak: str, out: str, q: int = 5,
     return rn.withColumn(out, b).drop("_r", "_n")
 
 
+def quantiles_from_index(df: DataFrame, col: str, probs: dict[str, float], rn: str = "rn",
+                         size: str = "n", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolation quantiles from an existing row numbering
+    (``rn`` 1-based in ascending ``col`` order, ``size`` rows per group):
+    one conditional aggregate pass, one output row per group."""
+    pb = list(partition_by)
+    aggs = []
+    for k, p in probs.items():
+        h = (F.col(size) - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.max(F.when(F.col(rn) == lo, F.col(col))).alias(f"_lo_{k}"),
+                 F.max(F.when(F.col(rn) == hi, F.col(col))).alias(f"_hi_{k}"),
+                 F.max(h - F.floor(h)).alias(f"_fr_{k}")]
+    g = df.groupBy(*pb).agg(*aggs)
+    return g.select(*pb, *[
+        (F.col(f"_lo_{k}") + F.col(f"_fr_{k}") * (F.col(f"_hi_{k}") - F.col(f"_lo_{k}"))).alias(k)
+        for k in probs])
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
                     partition_by: Sequence[str] = (), tiebreak: str | None = None,
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``quantile``, Spark
     ``percentile``, DuckDB ``quantile_cont``) as one row per group with one
-    column per entry of ``probs`` — distributed: only the two rows around
-    each target position are kept, never a whole group in one buffer."""
+    column per entry of ``probs`` — distributed: no group is ever gathered
+    into one buffer (``percentile`` keeps a per-group value map)."""
     pb = list(partition_by)
-    base = df.select(*pb, col).filter(F.col(col).isNotNull())
+    base = df.select(*pb, col, *([tiebreak] if tiebreak else [])).filter(F.col(col).isNotNull())
     if tiebreak is None:
         base = base.withColumn("_tb", F.rand(17))
         tiebreak = "_tb"
     rn = row_number_global(base, [F.col(col).asc(), F.col(tiebreak).asc()], pb, out="_r",
                            size_out="_n", num_partitions=num_partitions)
-    sizes = rn.groupBy(*pb).agg(F.max("_n").alias("_n"))
-    # one target row per (group, quantile): size bounded by groups × len(probs)
-    tgt = sizes.select(*pb, "_n", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("_q"), F.lit(float(p)).alias("_p")) for k, p in probs.items()
-    ])).alias("_t")).select(*pb, "_n", "_t._q", "_t._p")
-    tgt = tgt.withColumn("_h", (F.col("_n") - 1) * F.col("_p")).withColumn(
-        "_lo", F.floor("_h").cast("long") + 1).withColumn("_hi", F.ceil("_h").cast("long") + 1).withColumn(
-        "_frac", F.col("_h") - F.floor("_h"))
-    pos = tgt.select(*pb, "_q", "_frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("_side"), F.col("_lo").alias("_r")),
-        F.struct(F.lit("hi").alias("_side"), F.col("_hi").alias("_r")))).alias("_s")).select(
-        *pb, "_q", "_frac", "_s._side", "_s._r")
-    hit = rn.select(*pb, "_r", col).join(pos, [*pb, "_r"])
-    per_q = hit.groupBy(*pb, "_q").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col(col))).alias("_vlo"),
-        F.max(F.when(F.col("_side") == "hi", F.col(col))).alias("_vhi"),
-        F.max("_frac").alias("_frac"))
-    per_q = per_q.withColumn("_v", F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")))
-    return per_q.groupBy(*pb).pivot("_q", list(probs)).agg(F.first("_v"))
+    return quantiles_from_index(rn, col, probs, "_r", "_n", pb)
 
 
 def running_sum(df: DataFrame, value: str, order: Sequence, out: str,
