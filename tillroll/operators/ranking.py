@@ -153,7 +153,7 @@ def running_sum(df: DataFrame, value: str, order: Sequence, out: str,
     sums = ranged.groupBy("_pid", *pb).agg(F.sum(value).alias("_s"))
     w_grp = Window.partitionBy(*pb).orderBy("_pid") if pb else Window.orderBy("_pid")
     offsets = sums.select("_pid", *pb, F.coalesce(
-        F.sum("_s").over(w_grp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_off"))
+        F.sum("_s").over(w_grp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     if not pb:
         offsets = F.broadcast(offsets)
     w_local = Window.partitionBy("_pid", *pb).orderBy(*_cols(order)).rowsBetween(
