@@ -199,6 +199,9 @@ def weekly_features(daily: DataFrame, wrap_christmas: bool = True) -> DataFrame:
     growth and holiday calendar features."""
     wk = weekly_sales(daily)
     w = Window.orderBy("date")
+    # exact (decimal) lag-1 values feed the rolling mean; doubles elsewhere
+    wk = wk.withColumn("_l1dec", F.lag(F.col("weekly_sales_amount").cast("decimal(38,4)"), 1).over(w))
+    wk = wk.withColumn("weekly_sales_amount", F.col("weekly_sales_amount").cast("double"))
     l1 = F.lag("weekly_sales_amount", 1).over(w)
     wk = wk.withColumn("lag_1_weekly_sales", l1).withColumn(
         "lag_2_weekly_sales", F.lag("weekly_sales_amount", 2).over(w)).withColumn(
@@ -209,7 +212,7 @@ def weekly_features(daily: DataFrame, wrap_christmas: bool = True) -> DataFrame:
     return wk.select(
         "date", "weekly_sales_amount", "weekly_quantity_sold", "days_observed",
         "lag_1_weekly_sales", "lag_2_weekly_sales", "lag_4_weekly_sales",
-        F.when(full, F.avg("lag_1_weekly_sales").over(w4)).alias("rolling_4_week_sales_lag1"),
+        F.when(full, window_mean("_l1dec", w4)).alias("rolling_4_week_sales_lag1"),
         ((F.col("lag_1_weekly_sales") - F.col("lag_2_weekly_sales"))
          / (F.col("lag_2_weekly_sales") + EPS)).alias("weekly_sales_growth_rate"),
         F.when(full, F.stddev_samp("lag_1_weekly_sales").over(w4)).alias("weekly_sales_volatility"),

@@ -1 +1,92 @@
-"""placeholder"""
+"""Cleaning plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import cleaning as cl
+from tillroll.operators import customers as cu
+from tillroll.plans.catalog import register
+from tillroll.plans.customers import customer_features_sql
+from tillroll.sources.ledger import ledger_sql, sales_ledger
+
+SALES = ledger_sql()
+
+
+def _report_sql(profile: str) -> str:
+    if profile == "standard":
+        bad, price = "product_id = 'B' AND unit_price < 0", "unit_price = 0"
+    else:
+        bad, price = "product_id = 'B'", "unit_price <= 0"
+    steps = ", ".join(f"({i}, '{s}')" for i, s in enumerate(cl.REPORT_STEPS))
+    return f"""
+WITH sales AS ({SALES}),
+std AS (SELECT trim(transaction_id) AS transaction_id, source_system, date,
+               CASE WHEN regexp_replace(trim(customer_id), '\\.0$', '') IN ('nan', 'NaN', 'None', '') THEN NULL
+                    ELSE regexp_replace(trim(customer_id), '\\.0$', '') END AS customer_id,
+               trim(product_id) AS product_id, quantity_sold, unit_price, sales_amount, trim(region) AS region
+        FROM sales),
+d AS (SELECT DISTINCT * FROM std),
+t AS (SELECT *, CASE WHEN {bad} THEN 'bad_debt_removed' WHEN {price} THEN 'zero_price_removed'
+                     WHEN product_id IN ('TEST001', 'BANK CHARGES') THEN 'test_bank_charges_removed' END AS rule FROM d),
+c AS (SELECT (SELECT count(*) FROM std) AS initial_rows,
+             (SELECT count(*) FROM std) - count(*) AS duplicates_removed,
+             count(*) FILTER (WHERE rule = 'bad_debt_removed') AS bad_debt_removed,
+             count(*) FILTER (WHERE rule = 'zero_price_removed') AS zero_price_removed,
+             count(*) FILTER (WHERE rule = 'test_bank_charges_removed') AS test_bank_charges_removed,
+             count(*) FILTER (WHERE rule IS NULL) AS final_rows,
+             count(*) FILTER (WHERE rule IS NULL AND starts_with(transaction_id, 'C')) AS returns_kept
+      FROM t),
+steps AS (SELECT * FROM (VALUES {steps}) s(step_order, step))
+SELECT step_order, step,
+       CASE step WHEN 'initial_rows' THEN initial_rows WHEN 'duplicates_removed' THEN duplicates_removed
+                 WHEN 'bad_debt_removed' THEN bad_debt_removed WHEN 'zero_price_removed' THEN zero_price_removed
+                 WHEN 'test_bank_charges_removed' THEN test_bank_charges_removed WHEN 'final_rows' THEN final_rows
+                 ELSE returns_kept END AS rows
+FROM steps, c"""
+
+
+REPORT_SCHEMA = "step_order bigint, step string, rows bigint"
+
+
+@register("clean_report", "P1 P2 P3 P4 P6 P7 P8 P9 P10 S1", REPORT_SCHEMA, sql=_report_sql("standard"))
+def clean_report(spark, sf_dir):
+    return cl.clean_sales(sales_ledger(spark, sf_dir), "standard")[1]
+
+
+@register("clean_report_strict", "P6 P7 P10 (strict profile, D7)", REPORT_SCHEMA, sql=_report_sql("strict"))
+def clean_report_strict(spark, sf_dir):
+    return cl.clean_sales(sales_ledger(spark, sf_dir), "strict")[1]
+
+
+REPAIR_INT = ["recency", "frequency", "active_months", "customer_tenure"]
+REPAIR_FLOAT = ["monetary", "average_purchase_value", "quantity_per_order", "purchase_frequency"]
+
+
+@register("customer_repair_report", "P13 P14 P19",
+          "column string, type_before string, type_after string, nulls_before bigint, nulls_after bigint, "
+          "negatives_clipped bigint, non_finite_nulled bigint",
+          sql=f"""WITH {customer_features_sql()}
+{' UNION ALL '.join(
+    f"SELECT '{c}' AS column, '{'int' if c in ('recency', 'customer_tenure') else ('bigint' if c in REPAIR_INT else 'double')}' AS type_before, "
+    f"'{'bigint' if c in REPAIR_INT else 'double'}' AS type_after, count(*) FILTER (WHERE {c} IS NULL) AS nulls_before, "
+    f"count(*) FILTER (WHERE {c} IS NULL OR isinf(CAST({c} AS DOUBLE)) OR isnan(CAST({c} AS DOUBLE))) AS nulls_after, "
+    f"count(*) FILTER (WHERE {c} < 0) AS negatives_clipped, "
+    f"count(*) FILTER (WHERE isinf(CAST({c} AS DOUBLE)) OR isnan(CAST({c} AS DOUBLE))) AS non_finite_nulled FROM cf"
+    for c in REPAIR_INT + REPAIR_FLOAT)}""")
+def customer_repair_report(spark, sf_dir):
+    feats = cu.customer_features(sales_ledger(spark, sf_dir))
+    fixed = cl.repair_numeric(feats, REPAIR_INT, REPAIR_FLOAT)
+    return cl.column_repair_report(feats, fixed, REPAIR_INT + REPAIR_FLOAT)
+
+
+@register("refund_customers", "P18",
+          "customers bigint, refund_customers bigint, pct_refund double, median_monetary double, median_frequency double",
+          sql=f"""WITH {customer_features_sql()},
+r AS (SELECT * FROM cf WHERE monetary <= 0 OR quantity_per_order <= 0)
+SELECT (SELECT count(*) FROM cf) AS customers, (SELECT count(*) FROM r) AS refund_customers,
+       (SELECT count(*) FROM r) * 100.0::DOUBLE / (SELECT count(*) FROM cf) AS pct_refund,
+       (SELECT quantile_cont(monetary, 0.5) FROM r) AS median_monetary,
+       (SELECT quantile_cont(frequency, 0.5) FROM r) AS median_frequency""")
+def refund_customers(spark, sf_dir):
+    return cl.split_refund_customers(cu.customer_features(sales_ledger(spark, sf_dir)))[2]

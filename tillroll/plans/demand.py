@@ -63,3 +63,159 @@ FROM f LEFT JOIN g ON date_trunc('month', f.date) = g.month
 """)
 def daily_features(spark, sf_dir):
     return ts.daily_features(sales_ledger(spark, sf_dir))
+
+
+WEEKLY_SCHEMA = ("date date, weekly_sales_amount double, weekly_quantity_sold double, days_observed bigint, "
+                 "lag_1_weekly_sales double, lag_2_weekly_sales double, lag_4_weekly_sales double, "
+                 "rolling_4_week_sales_lag1 double, weekly_sales_growth_rate double, weekly_sales_volatility double, "
+                 "week_of_year bigint, week_start_date date, month bigint, quarter bigint, "
+                 "weeks_until_christmas bigint, weeks_since_christmas bigint, q4_flag bigint, year_end_flag bigint, "
+                 "holiday_proximity_score double")
+
+WEEKLY_SQL_CTE = DAILY_SQL_CTE + """,
+wk0 AS (SELECT CAST(date_trunc('week', date) AS DATE) + 6 AS date, sum(sales_amount) AS s,
+               sum(quantity_sold) AS q, count(*) AS n FROM d GROUP BY 1),
+wspine AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date FROM wk0),
+wk AS (SELECT w.date, CAST(coalesce(s, 0) AS DOUBLE) AS weekly_sales_amount, CAST(coalesce(s, 0) AS DECIMAL(38,4)) AS s_dec, coalesce(q, 0.0) AS weekly_quantity_sold,
+              coalesce(n, 0) AS days_observed FROM wspine w LEFT JOIN wk0 ON w.date = wk0.date)"""
+
+XMAS_UNTIL = ("CASE WHEN date_diff('day', date, make_date(year(date), 12, 25)) < 0 "
+              "THEN floor(date_diff('day', date, make_date(year(date) + 1, 12, 25)) / 7) "
+              "ELSE floor(date_diff('day', date, make_date(year(date), 12, 25)) / 7) END")
+
+
+def weekly_sql() -> str:
+    return f"""
+WITH {WEEKLY_SQL_CTE},
+l AS (SELECT *, lag(weekly_sales_amount, 1) OVER (ORDER BY date) AS lag_1_weekly_sales,
+             lag(weekly_sales_amount, 2) OVER (ORDER BY date) AS lag_2_weekly_sales,
+             lag(weekly_sales_amount, 4) OVER (ORDER BY date) AS lag_4_weekly_sales,
+             lag(s_dec, 1) OVER (ORDER BY date) AS l1dec FROM wk)
+SELECT date, weekly_sales_amount, weekly_quantity_sold, days_observed, lag_1_weekly_sales, lag_2_weekly_sales,
+       lag_4_weekly_sales,
+       CASE WHEN count(lag_1_weekly_sales) OVER w4 = 4 THEN CAST(sum(l1dec) OVER w4 AS DOUBLE) / count(l1dec) OVER w4 END AS rolling_4_week_sales_lag1,
+       (lag_1_weekly_sales - lag_2_weekly_sales) / (lag_2_weekly_sales + 1e-5) AS weekly_sales_growth_rate,
+       CASE WHEN count(lag_1_weekly_sales) OVER w4 = 4 THEN stddev_samp(lag_1_weekly_sales) OVER w4 END AS weekly_sales_volatility,
+       weekofyear(date) AS week_of_year, date - 6 AS week_start_date, month(date - 6) AS month,
+       quarter(date - 6) AS quarter, {XMAS_UNTIL} AS weeks_until_christmas,
+       floor(date_diff('day', make_date(year(date) - 1, 12, 25), date) / 7) AS weeks_since_christmas,
+       CASE WHEN quarter(date - 6) = 4 THEN 1 ELSE 0 END AS q4_flag,
+       CASE WHEN month(date - 6) = 12 THEN 1 ELSE 0 END AS year_end_flag,
+       1.0::DOUBLE / ({XMAS_UNTIL} + 1) AS holiday_proximity_score
+FROM l WINDOW w4 AS (ORDER BY date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"""
+
+
+@register("weekly_features", "A7 W4 W8 W17 F2 F7 F8 F9 F10 D3q", WEEKLY_SCHEMA, sql=weekly_sql())
+def weekly_features(spark, sf_dir):
+    daily = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    return ts.weekly_features(daily)
+
+
+@register("partial_weeks", "W26 A7 D5q",
+          "date date, weekly_sales_amount double, days_in_span bigint, is_partial_week bigint",
+          sql=f"""WITH {WEEKLY_SQL_CTE},
+sp AS (SELECT min(date) AS lo, max(date) AS hi FROM d)
+SELECT date, weekly_sales_amount,
+       date_diff('day', greatest(date - 6, lo), least(date, hi)) + 1 AS days_in_span,
+       CASE WHEN date_diff('day', greatest(date - 6, lo), least(date, hi)) + 1 < 7 THEN 1 ELSE 0 END AS is_partial_week
+FROM wk, sp""")
+def partial_weeks(spark, sf_dir):
+    daily = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    return ts.flag_partial_weeks(ts.weekly_features(daily), daily)
+
+
+@register("monthly_growth_current", "W16 A8",
+          "month date, monthly_sales double, sales_growth_rate double",
+          sql=f"""WITH {DAILY_SQL_CTE},
+m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, CAST(sum(sales_amount) AS DOUBLE) AS monthly_sales FROM d GROUP BY 1)
+SELECT month, monthly_sales,
+       coalesce(CASE WHEN lag(monthly_sales) OVER (ORDER BY month) <> 0
+                     THEN monthly_sales / lag(monthly_sales) OVER (ORDER BY month) - 1 END, 0.0) AS sales_growth_rate
+FROM m""")
+def monthly_growth_current(spark, sf_dir):
+    daily = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    return ts.monthly_growth(daily, "current")
+
+
+@register("monthly_growth_lagged", "W15 A8",
+          "month date, monthly_sales double, sales_growth_rate double",
+          sql=f"""WITH {DAILY_SQL_CTE},
+m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, CAST(sum(sales_amount) AS DOUBLE) AS ms FROM d GROUP BY 1)
+SELECT month, ms AS monthly_sales,
+       CASE WHEN lag(ms, 2) OVER (ORDER BY month) > 0
+            THEN (lag(ms, 1) OVER (ORDER BY month) - lag(ms, 2) OVER (ORDER BY month)) / lag(ms, 2) OVER (ORDER BY month)
+            ELSE 0.0 END AS sales_growth_rate
+FROM m""")
+def monthly_growth_lagged(spark, sf_dir):
+    daily = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    return ts.monthly_growth(daily, "lagged")
+
+
+PDF_SCHEMA = ("date date, product_id string, daily_sales_amount double, daily_quantity_sold double, "
+              "product_lag_1_sales double, product_lag_7_sales double, product_lag_1_qty double, "
+              "product_lag_7_qty double, product_rolling_7_sales double, product_rolling_30_sales double, "
+              "product_rolling_7_qty double, product_rolling_30_qty double, product_demand_momentum double, "
+              "global_weekday_seasonality double, global_monthly_seasonality double")
+
+
+def _pw(k: int) -> str:
+    return f"(PARTITION BY product_id ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+
+
+@register("product_daily_features", "A6 W5 W7 W10 W14 A20 J2 D2q", PDF_SCHEMA, sql=f"""
+WITH sales AS ({SALES}),
+pd AS (SELECT CAST(date AS DATE) AS date, product_id, sum(sales_amount) AS s, sum(quantity_sold) AS q
+       FROM sales GROUP BY 1, 2),
+dd AS (SELECT CAST(date AS DATE) AS date, sum(sales_amount) AS s FROM sales GROUP BY 1),
+gm AS (SELECT CAST(sum(s) AS DOUBLE) / count(s) AS m FROM dd),
+wd AS (SELECT isodow(date) - 1 AS k, CAST(sum(s) AS DOUBLE) / count(DISTINCT date) AS mean FROM dd GROUP BY 1),
+mo AS (SELECT month(date) AS k, CAST(sum(s) AS DOUBLE) / count(DISTINCT date) AS mean FROM dd GROUP BY 1),
+f AS (
+  SELECT date, product_id, CAST(s AS DOUBLE) AS daily_sales_amount, q AS daily_quantity_sold,
+    CAST(lag(s, 1) OVER (PARTITION BY product_id ORDER BY date) AS DOUBLE) AS product_lag_1_sales,
+    CAST(lag(s, 7) OVER (PARTITION BY product_id ORDER BY date) AS DOUBLE) AS product_lag_7_sales,
+    lag(q, 1) OVER (PARTITION BY product_id ORDER BY date) AS product_lag_1_qty,
+    lag(q, 7) OVER (PARTITION BY product_id ORDER BY date) AS product_lag_7_qty,
+    CAST(sum(s) OVER {_pw(7)} AS DOUBLE) / count(s) OVER {_pw(7)} AS product_rolling_7_sales,
+    CAST(sum(s) OVER {_pw(30)} AS DOUBLE) / count(s) OVER {_pw(30)} AS product_rolling_30_sales,
+    sum(q) OVER {_pw(7)} / count(q) OVER {_pw(7)} AS product_rolling_7_qty,
+    sum(q) OVER {_pw(30)} / count(q) OVER {_pw(30)} AS product_rolling_30_qty
+  FROM pd)
+SELECT f.*, CASE WHEN product_rolling_30_sales > 0 THEN product_rolling_7_sales / product_rolling_30_sales ELSE 1.0 END
+              AS product_demand_momentum,
+       wd.mean / gm.m AS global_weekday_seasonality, mo.mean / gm.m AS global_monthly_seasonality
+FROM f CROSS JOIN gm LEFT JOIN wd ON isodow(f.date) - 1 = wd.k LEFT JOIN mo ON month(f.date) = mo.k""")
+def product_daily_features(spark, sf_dir):
+    return ts.product_daily_features(sales_ledger(spark, sf_dir))
+
+
+@register("seasonal_decompose", "W21",
+          "date date, sales_amount double, trend double, seasonal double, resid double", sql=f"""
+WITH {DAILY_SQL_CTE},
+x AS (SELECT date, CAST(sales_amount AS DOUBLE) AS v,
+             CASE WHEN count(sales_amount) OVER c = 7 THEN CAST(sum(sales_amount) OVER c AS DOUBLE) / 7 END AS trend,
+             (row_number() OVER (ORDER BY date) - 1) % 7 AS phase
+      FROM d WINDOW c AS (ORDER BY date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+ph AS (SELECT phase, avg(v - trend) AS pm FROM x GROUP BY phase),
+ph2 AS (SELECT phase, pm - avg(pm) OVER () AS seasonal FROM ph)
+SELECT date, v AS sales_amount, trend, seasonal, v - trend - seasonal AS resid FROM x JOIN ph2 USING (phase)""")
+def seasonal_decompose(spark, sf_dir):
+    from pyspark.sql import functions as F
+    d = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    return ts.decompose_additive(d, "sales_amount", 7).withColumn(
+        "sales_amount", F.col("sales_amount").cast("double"))
+
+
+@register("daily_gap_audit", "W19 W20 Q7",
+          "product_id string, rows bigint, first_date date, last_date date, distinct_dates bigint, "
+          "irregular_steps bigint, out_of_order bigint, missing_dates bigint", sql=f"""
+WITH sales AS ({SALES}),
+pd AS (SELECT DISTINCT CAST(date AS DATE) AS date, product_id FROM sales),
+st AS (SELECT product_id, date, date_diff('day', lag(date) OVER (PARTITION BY product_id ORDER BY date), date) AS step FROM pd)
+SELECT product_id, count(*) AS rows, min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS distinct_dates,
+       count(*) FILTER (WHERE step <> 1) AS irregular_steps, count(*) FILTER (WHERE step < 0) AS out_of_order,
+       floor(date_diff('day', min(date), max(date)) / 1) + 1 - count(DISTINCT date) AS missing_dates
+FROM st GROUP BY product_id""")
+def daily_gap_audit(spark, sf_dir):
+    pd = ts.product_daily(sales_ledger(spark, sf_dir)).select("date", "product_id")
+    return ts.gap_audit(pd, "date", 1, ["product_id"])
