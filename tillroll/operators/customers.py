@@ -213,3 +213,15 @@ def risk_summary(pred: DataFrame) -> DataFrame:
                       "avg_churn_probability", "avg_recency", "avg_frequency", "avg_monetary",
                       "avg_loyalty", "actual_churn_rate",
                       F.coalesce("revenue_exposed", F.lit(0.0)).alias("revenue_exposed"))
+
+
+# Segment labels shown for cluster ids.
+SEGMENT_LABELS = {"Cluster 0": "VIP Champions", "Cluster 1": "Loyal Regulars", "Cluster 2": "At-Risk Occasionals"}
+
+
+def rule_segments(feats: DataFrame) -> DataFrame:
+    """Deterministic segment label from the loyalty score — the stand-in for
+    k-means cluster ids wherever a decision query must be checked exactly:
+    ≥ 7 → Cluster 0, ≥ 4 → Cluster 1, else Cluster 2."""
+    s = F.col("customer_loyalty_score")
+    return feats.withColumn("cluster", F.when(s >= 7, "Cluster 0").when(s >= 4, "Cluster 1").otherwise("Cluster 2"))
