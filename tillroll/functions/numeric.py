@@ -48,6 +48,12 @@ def exact_mean(c, scale: int = 6) -> Column:
     return exact_sum(c, scale) / F.count(_c(c))
 
 
+def exact_mean_over(c, w, scale: int = 6) -> Column:
+    """Window form of :func:`exact_mean`."""
+    x = _c(c)
+    return F.sum(x.cast(f"decimal(38,{scale})")).over(w).cast("double") / F.count(x).over(w)
+
+
 def xsum_sql(expr: str, scale: int = 6) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
@@ -87,7 +93,7 @@ def finite_or_null(c) -> Column:
 
 def to_number(c, default: float = 0.0) -> Column:
     """F21 safe coercion with default."""
-    return F.coalesce(F.try_cast(_c(c).cast("string"), "double"), F.lit(default))
+    return F.coalesce(_c(c).cast("string").try_cast("double"), F.lit(default))
 
 
 def null_safe_equal(a, b) -> Column:

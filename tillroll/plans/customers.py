@@ -14,8 +14,10 @@ CUTOFF = "2001-05-01"
 HORIZON = 90
 
 
-def customer_features_sql(as_of: str | None = None, name: str = "cf") -> str:
-    """CTE chain ending in relation ``name`` = customer feature table."""
+def customer_features_sql(as_of: str | None = None, name: str = "cf", with_sales: bool = True) -> str:
+    """CTE chain ending in relation ``name`` = customer feature table; the
+    helper relations are prefixed with ``name`` so several chains compose."""
+    p = f"{name}_"
     if as_of is None:
         lines = "SELECT * FROM sales WHERE customer_id IS NOT NULL"
         anchor = "SELECT max(CAST(date AS DATE)) + 1 AS ref FROM sales"
@@ -25,17 +27,17 @@ def customer_features_sql(as_of: str | None = None, name: str = "cf") -> str:
         anchor = f"SELECT DATE '{as_of}' + 1 AS ref"
     loyalty = round_half_up_sql(
         "1.0::DOUBLE + ((0.2::DOUBLE * r_score + 0.3::DOUBLE * f_score) + 0.5::DOUBLE * m_score - 1.0::DOUBLE) * 2.25::DOUBLE", 2)
-    return f"""
-sales AS ({SALES}),
-lines AS ({lines}),
-anchor AS ({anchor}),
-agg AS (
+    head = f"sales AS ({SALES}),\n" if with_sales else ""
+    return head + f"""
+{p}lines AS ({lines}),
+{p}anchor AS ({anchor}),
+{p}agg AS (
   SELECT customer_id, max(CAST(date AS DATE)) AS last_d, min(CAST(date AS DATE)) AS first_d,
          count(DISTINCT transaction_id) AS frequency, CAST(sum(sales_amount) AS DOUBLE) AS monetary,
          sum(quantity_sold) AS qty, count(DISTINCT date_trunc('month', date)) AS active_months,
          CAST(sum(CASE WHEN isodow(date) IN (6, 7) THEN sales_amount ELSE 0 END) AS DOUBLE) AS weekend
-  FROM lines GROUP BY customer_id),
-b0 AS (
+  FROM {p}lines GROUP BY customer_id),
+{p}b0 AS (
   SELECT customer_id, date_diff('day', last_d, ref) AS recency, frequency, monetary,
          CASE WHEN frequency <> 0 THEN monetary / frequency ELSE 0.0 END AS average_purchase_value,
          CASE WHEN frequency <> 0 THEN qty / frequency ELSE 0.0 END AS quantity_per_order,
@@ -45,27 +47,27 @@ b0 AS (
          CASE WHEN frequency > 1 THEN date_diff('day', first_d, ref) / (frequency - 1)
               ELSE CAST(date_diff('day', first_d, ref) AS DOUBLE) END AS gap0,
          CASE WHEN monetary > 0 THEN least(greatest(weekend / monetary, 0.0), 1.0) ELSE 0.0 END AS weekend_sales_ratio
-  FROM agg, anchor),
-b1 AS (SELECT * EXCLUDE (gap0), CASE WHEN gap0 = 0 THEN 30.0::DOUBLE ELSE gap0 END AS avg_days_between_purchases FROM b0),
-base AS (
+  FROM {p}agg, {p}anchor),
+{p}b1 AS (SELECT * EXCLUDE (gap0), CASE WHEN gap0 = 0 THEN 30.0::DOUBLE ELSE gap0 END AS avg_days_between_purchases FROM {p}b0),
+{p}base AS (
   SELECT *, least(1.0::DOUBLE, recency / (2 * avg_days_between_purchases + 30.0::DOUBLE)) AS customer_risk_score
-  FROM b1),
-q AS (SELECT quantile_cont(monetary, 0.9) AS q90, quantile_cont(recency, 0.2) AS e1,
+  FROM {p}b1),
+{p}q AS (SELECT quantile_cont(monetary, 0.9) AS q90, quantile_cont(recency, 0.2) AS e1,
              quantile_cont(recency, 0.4) AS e2, quantile_cont(recency, 0.6) AS e3,
-             quantile_cont(recency, 0.8) AS e4 FROM base),
-rk AS (
-  SELECT base.*, q.*,
+             quantile_cont(recency, 0.8) AS e4 FROM {p}base),
+{p}rk AS (
+  SELECT {p}base.*, {p}q.*,
          row_number() OVER (ORDER BY frequency, customer_id) AS rf,
          row_number() OVER (ORDER BY monetary, customer_id) AS rm,
          count(*) OVER () AS n,
          rank() OVER (ORDER BY monetary DESC) AS customer_rank_by_revenue
-  FROM base, q),
-sc AS (
+  FROM {p}base, {p}q),
+{p}sc AS (
   SELECT *,
     CASE WHEN n <= 1 THEN 1 ELSE greatest(1, ceil(5.0::DOUBLE * (rf - 1) / (n - 1))) END AS f_score,
     CASE WHEN n <= 1 THEN 1 ELSE greatest(1, ceil(5.0::DOUBLE * (rm - 1) / (n - 1))) END AS m_score,
     6 - (1 + (recency > e1)::INT + (recency > e2)::INT + (recency > e3)::INT + (recency > e4)::INT) AS r_score
-  FROM rk),
+  FROM {p}rk),
 {name} AS (
   SELECT customer_id, recency, frequency, monetary, average_purchase_value, quantity_per_order,
          active_months, purchase_frequency, {loyalty} AS customer_loyalty_score,
@@ -73,11 +75,11 @@ sc AS (
          customer_tenure, avg_days_between_purchases, weekend_sales_ratio, customer_rank_by_revenue,
          CASE WHEN customer_risk_score > 0.7 THEN 1 ELSE 0 END AS churn_warning_flag,
          CASE WHEN frequency = 1 AND recency > 90 THEN 1 ELSE 0 END AS lost_one_time_buyer_flag
-  FROM sc)"""
+  FROM {p}sc)"""
 
 
-def churn_sql(name: str = "churn") -> str:
-    return customer_features_sql(CUTOFF, "pit") + f""",
+def churn_sql(name: str = "churn", with_sales: bool = True) -> str:
+    return customer_features_sql(CUTOFF, "pit", with_sales) + f""",
 act AS (SELECT DISTINCT customer_id FROM sales WHERE customer_id IS NOT NULL
         AND date >= CAST(DATE '{CUTOFF}' + 1 AS TIMESTAMP)
         AND date < CAST(DATE '{CUTOFF}' + {1 + HORIZON} AS TIMESTAMP)),
@@ -89,9 +91,9 @@ act AS (SELECT DISTINCT customer_id FROM sales WHERE customer_id IS NOT NULL
   FROM pit p LEFT JOIN act ON p.customer_id = act.customer_id)"""
 
 
-def pred_sql(name: str = "pred") -> str:
+def pred_sql(name: str = "pred", with_sales: bool = True) -> str:
     risk = "least(1.0::DOUBLE, recency / (2 * avg_days_between_purchases + 30.0::DOUBLE))"
-    return churn_sql() + f""",
+    return churn_sql(with_sales=with_sales) + f""",
 {name} AS (
   SELECT customer_id, {risk} AS churn_probability, true_churn_flag, recency, frequency, monetary,
          customer_loyalty_score,

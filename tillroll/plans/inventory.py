@@ -11,13 +11,13 @@ SALES = ledger_sql()
 MIN_HOLD = repr(iv.MIN_UNIT_COST * iv.HOLDING_COST_RATE)
 
 
-def inventory_sql(name: str = "inv") -> str:
+def inventory_sql(name: str = "inv", with_sales: bool = True) -> str:
     pol = ", ".join(f"('{c}', {sl}::DOUBLE, {z}::DOUBLE, {lt})" for c, sl, z, lt in iv.ABC_POLICY)
     z = "((simulated_current_stock - avg_daily_demand * CAST(lead_time AS DOUBLE)) / (demand_std_dev * sqrt(CAST(lead_time AS DOUBLE)) + 1e-5))"
     prob = round_half_up_sql(f"least(greatest({normal_sf_sql(z)}, 0.0::DOUBLE), 1.0::DOUBLE)", 4)
     u = "(CAST(('0x' || substr(md5('42:' || product_id), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
-    return f"""
-sales AS ({SALES}),
+    head = f"sales AS ({SALES}),\n" if with_sales else ""
+    return head + f"""
 span AS (SELECT date_diff('day', min(CAST(date AS DATE)), max(CAST(date AS DATE))) + 1 AS total_days FROM sales),
 dq AS (SELECT product_id, CAST(date AS DATE) AS d, sum(quantity_sold) AS q FROM sales GROUP BY 1, 2),
 mom AS (SELECT product_id, sum(q * q) AS ss FROM dq GROUP BY 1),
