@@ -103,30 +103,31 @@ def loyalty_and_rank(base: DataFrame) -> DataFrame:
     """High-value flag (≥ 90th percentile), loyalty score 1–10
     from R/F/M quintiles, revenue rank (ties share the minimum).
 
-    Three global orderings (frequency, monetary, recency), each a range
-    shuffle; the monetary ordering also yields the rank and the percentile."""
-    f = ranking.qcut_first(base, "frequency", "customer_id", "_f")
-    m = ranking.row_number_global(f, [F.col("monetary").asc(), F.col("customer_id").asc()],
-                                  out="_rm", size_out="_n")
-    m = m.withColumn("_m", F.when(F.col("_n") <= 1, 1).otherwise(
-        F.greatest(F.lit(1), F.ceil(5.0 * (F.col("_rm") - 1) / (F.col("_n") - 1)))))
-    q90 = ranking.quantiles_from_index(m, "monetary", {"_q90": HIGH_VALUE_QUANTILE}, "_rm", "_n")
+    The three global orderings (frequency, monetary, recency — ties broken
+    by customer id) come from one range-partitioned pass; the monetary
+    ordering also yields the revenue rank and the 90th percentile, the
+    recency ordering the quintile edges."""
+    m = ranking.row_numbers_multi(base, "customer_id", {
+        "f": ("frequency", True), "m": ("monetary", True), "r": ("recency", True)})
+    n = F.col("n_rows")
+
+    def quint(rn):
+        return F.when(n <= 1, 1).otherwise(F.greatest(F.lit(1), F.ceil(5.0 * (F.col(rn) - 1) / (n - 1))))
+    m = m.withColumn("_f", quint("rn_f")).withColumn("_m", quint("rn_m"))
+    qm = ranking.quantiles_from_index(m, "monetary", {"_q90": HIGH_VALUE_QUANTILE}, "rn_m", "n_rows")
+    qr = ranking.quantiles_from_index(m, "recency", {"_e1": 0.2, "_e2": 0.4, "_e3": 0.6, "_e4": 0.8}, "rn_r", "n_rows")
     # rank descending, ties → minimum = n − (last ascending position of the value) + 1
-    last = m.groupBy("monetary").agg(F.max("_rm").alias("_last_rm"))
-    m = m.join(last, "monetary").withColumn(
-        "customer_rank_by_revenue", (F.col("_n") - F.col("_last_rm") + 1).cast("long"))
-    m = m.crossJoin(F.broadcast(q90)).withColumn(
-        "high_value_customer_flag", F.when(F.col("monetary") >= F.col("_q90"), 1).otherwise(0))
-    # recency quintile edges (qcut on values, labels 5..1; first edge ≥ value wins, D14)
-    edges = ranking.exact_quantiles(base, "recency", {"_e1": 0.2, "_e2": 0.4, "_e3": 0.6, "_e4": 0.8},
-                                    tiebreak="customer_id")
-    m = m.crossJoin(F.broadcast(edges))
+    last = m.groupBy("monetary").agg(F.max("rn_m").alias("_last_rm"))
+    m = m.join(last, "monetary").withColumn("customer_rank_by_revenue", (n - F.col("_last_rm") + 1).cast("long"))
+    m = m.crossJoin(F.broadcast(qm.crossJoin(qr)))  # one-row scalars
+    m = m.withColumn("high_value_customer_flag", F.when(F.col("monetary") >= F.col("_q90"), 1).otherwise(0))
+    # recency quintile (qcut on values, labels 5..1; first edge ≥ value wins, D14)
     r_bin = (1 + sum(F.when(F.col("recency") > F.col(e), 1).otherwise(0) for e in ("_e1", "_e2", "_e3", "_e4")))
     r_score = 6 - r_bin
     comp = (LOYALTY_WEIGHTS["recency"] * r_score + LOYALTY_WEIGHTS["frequency"] * F.col("_f")
             + LOYALTY_WEIGHTS["monetary"] * F.col("_m"))
     m = m.withColumn("customer_loyalty_score", round_half_up(1.0 + (comp - 1.0) * (9.0 / 4.0), 2))
-    return m.drop("_f", "_rm", "_n", "_m", "_q90", "_last_rm", "_e1", "_e2", "_e3", "_e4")
+    return m.drop("_f", "_m", "rn_f", "rn_m", "rn_r", "n_rows", "_q90", "_last_rm", "_e1", "_e2", "_e3", "_e4")
 
 
 def customer_features(sales: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -161,3 +161,23 @@ def running_sum(df: DataFrame, value: str, order: Sequence, out: str,
     local = ranged.withColumn("_loc", F.sum(value).over(w_local))
     return local.join(offsets, ["_pid", *pb]).withColumn(
         out, F.col("_off") + F.col("_loc")).drop("_pid", "_pos", "_off", "_loc")
+
+
+def row_numbers_multi(df: DataFrame, id_col: str, orderings: dict[str, tuple[str, bool]],
+                      num_partitions: int | None = None) -> DataFrame:
+    """Several global orderings of one table in a single range-partitioned
+    pass: rows are unpivoted to (ordering, value, id), numbered within each
+    ordering, and pivoted back.  Adds ``rn_<name>`` (ties broken by
+    ``id_col``) and ``n_rows``.  Values must be numeric (descending orders
+    negate the value)."""
+    parts = [df.select(F.col(id_col), F.lit(name).alias("_o"),
+                       (F.col(col).cast("double") if asc else -F.col(col).cast("double")).alias("_v"))
+             for name, (col, asc) in orderings.items()]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    rn = row_number_global(long, [F.col("_v").asc(), F.col(id_col).asc()], ["_o"], out="_rn",
+                           size_out="_n", num_partitions=num_partitions)
+    wide = rn.groupBy(id_col).agg(*[F.max(F.when(F.col("_o") == name, F.col("_rn"))).alias(f"rn_{name}")
+                                    for name in orderings], F.max("_n").alias("n_rows"))
+    return df.join(wide, id_col)
