@@ -90,3 +90,28 @@ SELECT (SELECT count(*) FROM cf) AS customers, (SELECT count(*) FROM r) AS refun
        (SELECT quantile_cont(frequency, 0.5) FROM r) AS median_frequency""")
 def refund_customers(spark, sf_dir):
     return cl.split_refund_customers(cu.customer_features(sales_ledger(spark, sf_dir)))[2]
+
+
+# ----------------------------------------------------------------- sources
+from tillroll.operators import inventory as _iv  # noqa: E402
+from tillroll.sources import sinks as _sk  # noqa: E402
+from tillroll.sources.tables import read_table as _read  # noqa: E402
+
+HEALTH_TABLES = {"orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey"],
+                 "customer": ["c_custkey"], "part": ["p_partkey"], "events": ["event_id"]}
+
+
+@register("table_health", "S10 A22", "table_name string, rows bigint, columns bigint, key_null_rate double, files bigint")
+def table_health(spark, sf_dir):
+    t = {n: (_read(spark, sf_dir, n), keys) for n, keys in HEALTH_TABLES.items()}
+    return _sk.table_health(spark, t).select("table_name", "rows", "columns", "key_null_rate", "files")
+
+
+@register("date_coverage", "S12 F6", "first_date date, last_date date, total_days bigint, matches_expected bigint",
+          sql=f"""WITH sales AS ({SALES})
+SELECT min(CAST(date AS DATE)) AS first_date, max(CAST(date AS DATE)) AS last_date,
+       date_diff('day', min(CAST(date AS DATE)), max(CAST(date AS DATE))) + 1 AS total_days,
+       CASE WHEN date_diff('day', min(CAST(date AS DATE)), max(CAST(date AS DATE))) + 1 = 699 THEN 1 ELSE 0 END AS matches_expected
+FROM sales""")
+def date_coverage(spark, sf_dir):
+    return _iv.date_coverage(sales_ledger(spark, sf_dir), expected_days=699)

@@ -464,3 +464,28 @@ def weekly_metrics_partial(spark, sf_dir):
     a = fc.forecast_metrics(p, by=None).select(F.lit("with_last_period").alias("variant"), "n", "mape")
     b = fc.forecast_metrics(p.filter(F.col("rn") > 1), by=None).select(F.lit("without_last_period").alias("variant"), "n", "mape")
     return a.unionByName(b)
+
+
+@register("forecast_document_roundtrip", "D14q S4 S6 D11q",
+          "date date, forecast double, growth_from_last_historical double",
+          sql=f"WITH {FUTURE_CTE} SELECT date, forecast, growth_from_last_historical FROM future")
+def forecast_document_roundtrip(spark, sf_dir):
+    """Build the nested forecast document (history with split tags + future),
+    write it as JSON to the shared folder, read it back with the explicit
+    document schema and flatten the future array."""
+    import uuid
+
+    from pyspark.sql import Window
+
+    from tillroll.session import ensure_checkpoint_dir
+    from tillroll.sources import sinks
+    wk = _weekly(spark, sf_dir)
+    hist = wk.select("date", F.col("weekly_sales_amount").alias("actual"),
+                     F.lag("weekly_sales_amount", 1).over(Window.orderBy("date")).alias("predicted"))
+    hist = ts.chrono_split(hist, 4, 4, required=["predicted"])
+    info = {"model_name": "seasonal_naive", "granularity": "weekly", "horizon": "8 weeks", "status": "baseline"}
+    doc = fc.forecast_document(hist, _future(spark, sf_dir), info)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillroll-forecast-doc-{uuid.uuid4().hex[:12]}"
+    doc.write.mode("overwrite").json(path)
+    _, fut = sinks.forecast_doc_rows(sinks.read_forecast_doc(spark, path))
+    return fut.select(F.to_date("date").alias("date"), "forecast", "growth_from_last_historical")
