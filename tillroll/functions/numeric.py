@@ -62,6 +62,14 @@ def xmean_sql(expr: str, scale: int = 6) -> str:
     return f"({xsum_sql(expr, scale)} / count({expr}))"
 
 
+def safe_corr(x, y) -> Column:
+    """Pearson r that is null (not an error) when either side is constant:
+    Spark's ``corr`` divides by zero inside the aggregate under ANSI mode."""
+    a, b = _c(x).cast("double"), _c(y).cast("double")
+    sa, sb = F.stddev_pop(a), F.stddev_pop(b)
+    return F.when((sa > 0) & (sb > 0), F.covar_pop(a, b) / (sa * sb))
+
+
 def round_half_up(c, places: int) -> Column:
     """Half-up rounding done in IEEE double arithmetic only, so every engine
     returns the same bits (``round()`` implementations disagree on ties)."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
-from tillroll.functions.numeric import clip, exact_mean, exact_sum, round_half_up, safe_div, total
+from tillroll.functions.numeric import clip, exact_mean, exact_sum, round_half_up, safe_corr, safe_div, total
 from tillroll.operators import ranking
 from tillroll.session import cut_lineage
 
@@ -156,15 +156,10 @@ def leakage_audit(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     is constant), severity level and constant-feature flag; one row per feature."""
     aggs = []
     for c in features:
-        aggs += [F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"r__{c}"),
-                 F.stddev_pop(F.col(c).cast("double")).alias(f"s__{c}"),
-                 F.countDistinct(c).alias(f"d__{c}")]
-    aggs.append(F.stddev_pop(F.col(label).cast("double")).alias("_sl"))
-    # corr on a constant column raises under ANSI: guard before it runs
+        aggs += [safe_corr(c, label).alias(f"r__{c}"), F.countDistinct(c).alias(f"d__{c}")]
     guarded = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(
-        F.lit(c).alias("feature"),
-        F.when((F.col(f"s__{c}") > 0) & (F.col("_sl") > 0), F.col(f"r__{c}")).alias("correlation"),
+        F.lit(c).alias("feature"), F.col(f"r__{c}").alias("correlation"),
         F.col(f"d__{c}").alias("n_distinct")) for c in features]))
     out = guarded.select(rows.alias("r")).select("r.*")
     a = F.abs("correlation")

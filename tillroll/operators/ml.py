@@ -23,7 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.numeric import exact_mean
+from tillroll.functions.numeric import exact_mean, safe_corr
 from tillroll.operators import ranking
 from tillroll.session import cut_lineage
 
@@ -220,7 +220,7 @@ def churn_drivers(model, df: DataFrame, features: Sequence[str], label: str) ->
     else:
         imp = [abs(c) for c in model.coefficients.toArray().tolist()]
     t = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
-    corr = df.agg(*[F.corr(F.col(f).cast("double"), F.col(label).cast("double")).alias(f) for f in features])
+    corr = df.agg(*[safe_corr(f, label).alias(f) for f in features])
     corr_long = corr.unpivot([], list(features), "feature", "correlation")
     return t.join(corr_long, "feature").withColumn(
         "direction", F.when(F.col("correlation") > 0, "raises churn").when(F.col("correlation") < 0, "lowers churn")

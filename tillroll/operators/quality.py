@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.numeric import exact_mean, exact_sum
+from tillroll.functions.numeric import exact_mean, exact_sum, safe_corr
 from tillroll.operators import ranking
 
 
@@ -71,7 +71,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     columns (Spark's ``corr`` raises on zero variance under ANSI)."""
     aggs = [F.stddev_pop(F.col(c).cast("double")).alias(f"s__{c}") for c in cols]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs += [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r__{a}__{b}") for a, b in pairs]
+    aggs += [safe_corr(a, b).alias(f"r__{a}__{b}") for a, b in pairs]
     one = df.agg(*aggs)
     rows = []
     for a in cols:

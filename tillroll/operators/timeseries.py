@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
-from tillroll.functions.numeric import safe_div
+from tillroll.functions.numeric import safe_corr, safe_div
 
 EPS = 1e-5
 
@@ -340,5 +340,5 @@ def trend_slope(df: DataFrame, value: str, order: str = "date") -> DataFrame:
     x = df.withColumn("_t", (F.row_number().over(Window.orderBy(order)) - 1).cast("double"))
     return x.agg(F.regr_slope(value, "_t").alias("slope"),
                  F.regr_intercept(value, "_t").alias("intercept"),
-                 F.corr(value, "_t").alias("time_corr"),
+                 safe_corr(value, "_t").alias("time_corr"),
                  F.count(F.lit(1)).alias("n"))
