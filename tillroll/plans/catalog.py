@@ -40,15 +40,21 @@ _MODULES = ("cleaning", "customers", "inventory", "demand", "quality", "decision
 
 
 def parse_schema(schema: str) -> tuple[tuple[str, str], ...]:
+    """``name type`` pairs; ``double:N`` rounds that column to N places
+    (quantile outputs of 4-place data are exact at 8 places)."""
     out = []
     for part in schema.split(","):
         name, typ = part.split()
-        if typ not in _SPARK_TYPES:
+        if typ.split(":")[0] not in _SPARK_TYPES:
             raise ValueError(f"unsupported output type {typ!r} for {name}")
         out.append((name, typ))
     return tuple(out)
 
 
+def _places(typ: str, default: int) -> int:
+    return int(typ.split(":")[1]) if ":" in typ else default
+
+
 def register(name: str, ops: str, schema: str, sql: str | None = None, places: int = PLACES):
     def deco(fn):
         if name in REGISTRY:
@@ -62,8 +68,8 @@ def conform_output(df: DataFrame, schema, places: int = PLACES) -> DataFrame:
     cols = []
     for name, typ in schema:
         c = F.col(name)
-        if typ == "double":
-            c = round_half_up(c.cast("double"), places) + F.lit(0.0)
+        if typ.startswith("double"):
+            c = round_half_up(c.cast("double"), _places(typ, places)) + F.lit(0.0)
         elif typ == "date":
             c = F.date_format(c, "yyyy-MM-dd")
         else:
@@ -76,8 +82,8 @@ def conform_sql(sql: str, schema, places: int = PLACES) -> str:
     cols = []
     for name, typ in schema:
         q = f'q."{name}"'
-        if typ == "double":
-            cols.append(f'CAST({round_half_up_sql(f"CAST({q} AS DOUBLE)", places)} + 0.0 AS DOUBLE) AS "{name}"')
+        if typ.startswith("double"):
+            cols.append(f'CAST({round_half_up_sql(f"CAST({q} AS DOUBLE)", _places(typ, places))} + 0.0 AS DOUBLE) AS "{name}"')
         elif typ == "date":
             cols.append(f'strftime(CAST({q} AS DATE), \'%Y-%m-%d\') AS "{name}"')
         else:

@@ -81,7 +81,7 @@ def customer_repair_report(spark, sf_dir):
 
 
 @register("refund_customers", "P18",
-          "customers bigint, refund_customers bigint, pct_refund double, median_monetary double, median_frequency double",
+          "customers bigint, refund_customers bigint, pct_refund double, median_monetary double:8, median_frequency double:8",
           sql=f"""WITH {customer_features_sql()},
 r AS (SELECT * FROM cf WHERE monetary <= 0 OR quantity_per_order <= 0)
 SELECT (SELECT count(*) FROM cf) AS customers, (SELECT count(*) FROM r) AS refund_customers,

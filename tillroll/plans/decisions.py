@@ -156,7 +156,7 @@ AUDIT_COLS = ["recency", "frequency", "monetary", "average_purchase_value", "cus
 
 @register("cluster_audit", "C17 P20",
           "column string, cluster_mean double, cluster_min double, cluster_max double, n_negative bigint, "
-          "n_below_one bigint, n_zero bigint, overall_mean double, cluster_median double",
+          "n_below_one bigint, n_zero bigint, overall_mean double, cluster_median double:8",
           sql=f"""WITH {SEG_CTE},
 mem AS (SELECT * FROM seg WHERE customer_id IN (SELECT customer_id FROM seg WHERE cluster = 'Cluster 1')),
 """ + ",\n".join(f"""a_{c} AS (SELECT '{c}' AS "column", {xmean_sql(f'CAST({c} AS DOUBLE)')} AS cluster_mean,

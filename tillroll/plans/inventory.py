@@ -158,7 +158,7 @@ roll AS (
           "abc_class string, avg_demand_std_dev double, avg_safety_stock double, avg_avg_daily_demand double, "
           "avg_reorder_point double, avg_annual_demand double, avg_unit_cost double, avg_eoq double, "
           "products bigint, n_critical bigint, n_high bigint, n_medium bigint, n_low bigint, "
-          "median_days_to_stockout double",
+          "median_days_to_stockout double:8",
           sql=f"WITH {inventory_sql()}, {ROLLUP_SQL} SELECT * FROM roll")
 def class_rollup(spark, sf_dir):
     return iv.class_rollup(_inv(spark, sf_dir))

@@ -29,8 +29,8 @@ def _union(parts):
 
 
 @register("customer_describe", "A14 Q1",
-          "column string, count bigint, mean double, std double, min double, p25 double, p50 double, "
-          "p75 double, max double",
+          "column string, count bigint, mean double, std double, min double, p25 double:8, p50 double:8, "
+          "p75 double:8, max double",
           sql=f"WITH {customer_features_sql()}\n" + _union([
               f"SELECT '{c}' AS column, count({c}) AS count, {xmean_sql(f'CAST({c} AS DOUBLE)')} AS mean, "
               f"stddev_samp(CAST({c} AS DOUBLE)) AS std, min({c}) AS min, quantile_cont({c}, 0.25) AS p25, "
@@ -116,7 +116,8 @@ def customer_feature_validation(spark, sf_dir):
     return qu.validate_features(_cf(spark, sf_dir), VAL_COLS)
 
 
-IQR_OUT = "q1 double, q3 double, iqr double, lower double, upper double, rows bigint, outliers bigint, outlier_pct double"
+IQR_OUT = ("q1 double:8, q3 double:8, iqr double:8, lower double:8, upper double:8, rows bigint, outliers bigint, "
+           "outlier_pct double")
 
 
 def _iqr_sql(src: str, col: str) -> str:
@@ -281,7 +282,7 @@ PROFILE_COLS = ["recency", "frequency", "monetary"]
 
 @register("segment_group_profile", "A13 M5",
           "cluster string, column string, count bigint, min double, max double, mean double, std double, "
-          "median double, share_pct double",
+          "median double:8, share_pct double",
           sql=f"""WITH {customer_features_sql()},
 s AS (SELECT *, {SEG_SQL} AS cluster FROM cf),
 l AS ({_union([f"SELECT cluster, '{c}' AS column, CAST({c} AS DOUBLE) AS value FROM s" for c in PROFILE_COLS])}),
