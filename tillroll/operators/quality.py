@@ -244,3 +244,12 @@ def feature_target_corr(df: DataFrame, target: str, cols: Sequence[str]) -> Data
 
 def total_of(c: str) -> Column:
     return exact_sum(c)
+
+
+def verify_feature(df: DataFrame, stored: str, recomputed: Column, tol: float = 1e-6) -> DataFrame:
+    """Q8 stored feature vs its recomputation: rows, mismatches (null-safe,
+    within ``tol``), first mismatching row."""
+    same = (F.col(stored).isNull() & recomputed.isNull()) | (F.abs(F.col(stored) - recomputed) <= tol)
+    x = df.withColumn("_ok", F.coalesce(same, F.lit(False)))
+    return x.agg(F.lit(stored).alias("feature"), F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.when(~F.col("_ok"), 1).otherwise(0)).alias("mismatches"))

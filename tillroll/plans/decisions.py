@@ -489,3 +489,64 @@ def forecast_document_roundtrip(spark, sf_dir):
     doc.write.mode("overwrite").json(path)
     _, fut = sinks.forecast_doc_rows(sinks.read_forecast_doc(spark, path))
     return fut.select(F.to_date("date").alias("date"), "forecast", "growth_from_last_historical")
+
+
+@register("weekly_forecast_history", "D11q W25", "date date, actual double, predicted double, split string",
+          sql=f"""WITH {WEEKLY_SQL_CTE},
+p AS (SELECT date, weekly_sales_amount AS actual, lag(weekly_sales_amount, 1) OVER (ORDER BY date) AS predicted FROM wk),
+r AS (SELECT *, row_number() OVER (PARTITION BY predicted IS NOT NULL ORDER BY date DESC) AS rn FROM p)
+SELECT date, actual, predicted, CASE WHEN predicted IS NULL THEN 'Dropped' WHEN rn <= 4 THEN 'Test'
+                                     WHEN rn <= 8 THEN 'Validation' ELSE 'Train' END AS split FROM r""")
+def weekly_forecast_history(spark, sf_dir):
+    from pyspark.sql import Window
+    wk = _weekly(spark, sf_dir)
+    hist = wk.select("date", F.col("weekly_sales_amount").alias("actual"),
+                     F.lag("weekly_sales_amount", 1).over(Window.orderBy("date")).alias("predicted"))
+    return ts.chrono_split(hist, 4, 4, required=["predicted"])
+
+
+@register("churn_kpis", "E14", "cohort_size bigint, high_risk_customers bigint, mean_churn_probability double, "
+          "actual_churn_rate double", sql=f"""WITH {pred_sql()}
+SELECT count(*) AS cohort_size, count(*) FILTER (WHERE risk_category = 'High Risk') AS high_risk_customers,
+       {xmean_sql('churn_probability')} AS mean_churn_probability, {xmean_sql('true_churn_flag')} AS actual_churn_rate
+FROM pred""")
+def churn_kpis(spark, sf_dir):
+    from tillroll.functions.numeric import exact_mean
+    _, _, pred = _views(spark, sf_dir)
+    return pred.agg(F.count(F.lit(1)).alias("cohort_size"),
+                    F.sum(F.when(F.col("risk_category") == "High Risk", 1).otherwise(0)).alias("high_risk_customers"),
+                    exact_mean("churn_probability").alias("mean_churn_probability"),
+                    exact_mean("true_churn_flag").alias("actual_churn_rate"))
+
+
+@register("segment_kpis", "E14 E7 A10", "customers bigint, segments bigint, high_value_share double, mean_spend double",
+          sql=f"""WITH {SEG_CTE}
+SELECT count(DISTINCT customer_id) AS customers, count(DISTINCT cluster) AS segments,
+       count(*) FILTER (WHERE high_value_customer_flag = 1) * 100.0::DOUBLE / count(*) AS high_value_share,
+       {xmean_sql('monetary')} AS mean_spend FROM seg""")
+def segment_kpis(spark, sf_dir):
+    from tillroll.functions.numeric import exact_mean
+    _, seg, _ = _views(spark, sf_dir)
+    return seg.agg(F.countDistinct("customer_id").alias("customers"), F.countDistinct("cluster").alias("segments"),
+                   (F.sum(F.when(F.col("high_value_customer_flag") == 1, 1).otherwise(0)) * 100.0
+                    / F.count(F.lit(1))).alias("high_value_share"),
+                   exact_mean("monetary").alias("mean_spend"))
+
+
+@register("executive_briefing", "E6 W22", "high_risk_customers bigint, critical_products bigint, forecast_direction string, "
+          "pct_change_ahead double", sql=f"""WITH {FUTURE_CTE}, {pred_sql(with_sales=False)}, {inventory_sql(with_sales=False)},
+t AS (SELECT forecast, CAST(row_number() OVER (ORDER BY date) - 1 AS DOUBLE) AS t, count(*) OVER () AS n FROM future),
+g AS (SELECT {xmean_sql('CASE WHEN t < 4 THEN forecast END')} AS f4, {xmean_sql('CASE WHEN t >= n - 4 THEN forecast END')} AS l4 FROM t),
+ch AS (SELECT CASE WHEN f4 <> 0 THEN (l4 - f4) / f4 * 100.0::DOUBLE END AS chg FROM g)
+SELECT (SELECT count(*) FROM pred WHERE risk_category = 'High Risk') AS high_risk_customers,
+       (SELECT count(*) FROM inv WHERE risk_category = 'Critical' OR stockout_probability >= 0.5 OR reorder_urgency >= 0.6) AS critical_products,
+       CASE WHEN chg > 5 THEN 'up' WHEN chg < -5 THEN 'down' ELSE 'flat' END AS forecast_direction, chg AS pct_change_ahead
+FROM ch""")
+def executive_briefing(spark, sf_dir):
+    led, _, pred = _views(spark, sf_dir)
+    inv = iv.inventory_table(led)
+    hr = pred.agg(F.sum(F.when(F.col("risk_category") == "High Risk", 1).otherwise(0)).alias("high_risk_customers"))
+    cp = inv.agg(F.sum(F.when((F.col("risk_category") == "Critical") | (F.col("stockout_probability") >= 0.5)
+                              | (F.col("reorder_urgency") >= 0.6), 1).otherwise(0)).alias("critical_products"))
+    tr = fc.trend_label(_future(spark, sf_dir)).select(F.col("direction").alias("forecast_direction"), "pct_change_ahead")
+    return hr.crossJoin(cp).crossJoin(tr)

@@ -219,3 +219,78 @@ FROM st GROUP BY product_id""")
 def daily_gap_audit(spark, sf_dir):
     pd = ts.product_daily(sales_ledger(spark, sf_dir)).select("date", "product_id")
     return ts.gap_audit(pd, "date", 1, ["product_id"])
+
+
+@register("weekly_trend", "W23 W24", "slope double, intercept double, time_corr double, n bigint", sql=f"""
+WITH {WEEKLY_SQL_CTE},
+t AS (SELECT weekly_sales_amount AS v, CAST(row_number() OVER (ORDER BY date) - 1 AS DOUBLE) AS t FROM wk)
+SELECT regr_slope(v, t) AS slope, regr_intercept(v, t) AS intercept,
+       CASE WHEN stddev_pop(v) > 0 AND stddev_pop(t) > 0 THEN corr(v, t) END AS time_corr, count(*) AS n FROM t""")
+def weekly_trend(spark, sf_dir):
+    from pyspark.sql import functions as F
+    daily = ts.densify_daily(ts.daily_sales(sales_ledger(spark, sf_dir)), ["sales_amount", "quantity_sold"])
+    wk = ts.weekly_sales(daily).withColumn("weekly_sales_amount", F.col("weekly_sales_amount").cast("double"))
+    return ts.trend_slope(wk, "weekly_sales_amount")
+
+
+REMEDIATED = ["rolling_7_day_sales", "rolling_30_day_sales", "rolling_90_day_sales", "sales_volatility_30_day",
+              "demand_momentum"]
+
+
+@register("daily_features_remediated", "P15 P16 P17 D11",
+          "date date, sales_amount double, lag_1_sales double, lag_7_sales double, "
+          "weekday_seasonality_index double, rolling_7_day_sales_lag1 double, rolling_30_day_sales_lag1 double, "
+          "rolling_90_day_sales_lag1 double, sales_volatility_30_day_lag1 double, demand_momentum_lag1 double, "
+          "day_of_week bigint, month bigint, quarter bigint, week_of_year bigint", sql=f"""
+WITH {DAILY_SQL_CTE},
+f AS (
+  SELECT date, CAST(sales_amount AS DOUBLE) AS sales_amount,
+    CAST(lag(sales_amount, 1) OVER (ORDER BY date) AS DOUBLE) AS lag_1_sales,
+    CAST(lag(sales_amount, 7) OVER (ORDER BY date) AS DOUBLE) AS lag_7_sales,
+    (CAST(sum(sales_amount) OVER (PARTITION BY isodow(date)) AS DOUBLE) / count(sales_amount) OVER (PARTITION BY isodow(date)))
+      / (CAST(sum(sales_amount) OVER () AS DOUBLE) / count(sales_amount) OVER () + 1e-5) AS weekday_seasonality_index,
+    CAST(sum(sales_amount) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) / count(sales_amount) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS r7,
+    CAST(sum(sales_amount) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS DOUBLE) / count(sales_amount) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS r30,
+    CAST(sum(sales_amount) OVER (ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS DOUBLE) / count(sales_amount) OVER (ORDER BY date ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS r90,
+    coalesce(stddev_samp(CAST(sales_amount AS DOUBLE)) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 0.0) AS vol
+  FROM d),
+g AS (SELECT *, CASE WHEN r30 > 0 THEN r7 / r30 ELSE 1.0 END AS mom FROM f)
+SELECT date, sales_amount, lag_1_sales, lag_7_sales, weekday_seasonality_index,
+       lag(r7) OVER (ORDER BY date) AS rolling_7_day_sales_lag1, lag(r30) OVER (ORDER BY date) AS rolling_30_day_sales_lag1,
+       lag(r90) OVER (ORDER BY date) AS rolling_90_day_sales_lag1, lag(vol) OVER (ORDER BY date) AS sales_volatility_30_day_lag1,
+       lag(mom) OVER (ORDER BY date) AS demand_momentum_lag1,
+       isodow(date) - 1 AS day_of_week, month(date) AS month, quarter(date) AS quarter, weekofyear(date) AS week_of_year
+FROM g""")
+def daily_features_remediated(spark, sf_dir):
+    feats = ts.daily_features(sales_ledger(spark, sf_dir))
+    drop = ["quantity_sold", "rolling_7_day_quantity", "rolling_30_day_quantity", "rolling_90_day_quantity",
+            "lag_30_sales", "lag_1_qty", "lag_7_qty", "lag_30_qty", "monthly_seasonality_index",
+            "seasonality_index", "sales_growth_rate", "quantity_momentum"]
+    return ts.ensure_calendar(ts.remediate_leakage(feats, drop, REMEDIATED))
+
+
+@register("feature_recompute_audit", "Q8 W4 W6", "feature string, rows bigint, mismatches bigint", sql=f"""
+WITH {DAILY_SQL_CTE},
+st AS (SELECT date, CAST(sales_amount AS DOUBLE) AS v,
+              CAST(lag(sales_amount, 7) OVER (ORDER BY date) AS DOUBLE) AS lag_7_sales,
+              CAST(sum(sales_amount) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE)
+                / count(sales_amount) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7_day_sales
+       FROM d),
+re AS (SELECT *, lag(v, 7) OVER (ORDER BY date) AS lag7_re,
+              avg(v) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS r7_re FROM st)
+SELECT 'lag_7_sales' AS feature, count(*) AS rows,
+       count(*) FILTER (WHERE NOT coalesce((lag_7_sales IS NULL AND lag7_re IS NULL) OR abs(lag_7_sales - lag7_re) <= 1e-6, FALSE)) AS mismatches FROM re
+UNION ALL
+SELECT 'rolling_7_day_sales', count(*),
+       count(*) FILTER (WHERE NOT coalesce((rolling_7_day_sales IS NULL AND r7_re IS NULL) OR abs(rolling_7_day_sales - r7_re) <= 1e-6, FALSE)) FROM re""")
+def feature_recompute_audit(spark, sf_dir):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import quality as qu
+    feats = ts.daily_features(sales_ledger(spark, sf_dir))
+    w = Window.orderBy("date")
+    lag7 = F.lag("sales_amount", 7).over(w)  # recomputed from the stored target column
+    r7 = F.avg("sales_amount").over(w.rowsBetween(-6, 0))
+    return qu.verify_feature(feats, "lag_7_sales", lag7).unionByName(
+        qu.verify_feature(feats, "rolling_7_day_sales", r7, tol=1e-6))

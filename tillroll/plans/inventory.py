@@ -290,3 +290,21 @@ SELECT product_id, total_product_sales, total_product_quantity, average_product_
 FROM g3""")
 def product_features(spark, sf_dir):
     return iv.product_features(sales_ledger(spark, sf_dir))
+
+
+KPI_NAMES = ["total_products", "health_score", "risk_category_counts.Critical", "risk_category_counts.High",
+             "excess_stock_value_usd", "avg_eoq_class_a"]
+
+
+@register("inventory_kpi_wide", "E13", ", ".join(f"{n.replace('.', '_')} double" for n in KPI_NAMES),
+          sql=_kpi_sql().replace("WITH ", "WITH kl AS (WITH ", 1) + ")\nSELECT " + ", ".join(
+              f"coalesce(max(CASE WHEN metric = '{n}' THEN value END), 0.0) AS {n.replace('.', '_')}" for n in KPI_NAMES)
+          + " FROM kl")
+def inventory_kpi_wide(spark, sf_dir):
+    from tillroll.operators import decisions as de
+    return de.kpi_pivot(iv.inventory_kpis(_inv(spark, sf_dir)), KPI_NAMES)
+
+
+@register("inventory_audit", "K18 K4 S12 A18", "metric string, value double")
+def inventory_audit(spark, sf_dir):
+    return iv.inventory_audit(sales_ledger(spark, sf_dir))
