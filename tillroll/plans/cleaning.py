@@ -115,3 +115,63 @@ SELECT min(CAST(date AS DATE)) AS first_date, max(CAST(date AS DATE)) AS last_da
 FROM sales""")
 def date_coverage(spark, sf_dir):
     return _iv.date_coverage(sales_ledger(spark, sf_dir), expected_days=699)
+
+
+@register("export_roundtrip", "S1 S2 S5 S6 S7 S9", "artefact string, rows bigint", sql=f"""
+WITH sales AS ({SALES}),
+d AS (SELECT CAST(date AS DATE) AS d FROM sales)
+SELECT 'products.csv' AS artefact, count(DISTINCT product_id) AS rows FROM sales
+UNION ALL SELECT 'products.json', count(DISTINCT product_id) FROM sales
+UNION ALL SELECT 'products.parquet', count(DISTINCT product_id) FROM sales
+UNION ALL SELECT 'report.json', 1
+UNION ALL SELECT 'calendar_days', date_diff('day', min(d), max(d)) + 1 FROM d""")
+def export_roundtrip(spark, sf_dir):
+    """Write the product table in three formats plus a JSON report (S5, S6,
+    S9), back-fill a column in place (S7), re-read the CSV tolerantly (S1,
+    S2) and count every artefact."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from tillroll.session import ensure_checkpoint_dir
+    from tillroll.sources.tables import read_csv_table
+    led = sales_ledger(spark, sf_dir)
+    prods = led.groupBy("product_id").agg(F.sum("sales_amount").cast("double").alias("revenue"),
+                                         F.sum("quantity_sold").alias("quantity"))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillroll-export-{uuid.uuid4().hex[:12]}"
+    for fmt in ("csv", "json", "parquet"):
+        _sk.write_table(prods, f"{base}/products.{fmt}", fmt)
+    _sk.write_report(_iv.date_coverage(led), f"{base}/report.json")
+    _sk.upsert_columns(spark, f"{base}/products.parquet",
+                       lambda df: df.withColumn("unit_revenue", F.col("revenue") / F.greatest(F.col("quantity"), F.lit(1.0))))
+    csv = read_csv_table(spark, f"{base}/products.csv", trim_headers=True, required=["product_id"],
+                         drop_null_keys=["product_id"])
+    parts = [
+        csv.agg(F.lit("products.csv").alias("artefact"), F.count(F.lit(1)).alias("rows")),
+        spark.read.json(f"{base}/products.json").agg(F.lit("products.json").alias("artefact"), F.count(F.lit(1)).alias("rows")),
+        spark.read.parquet(f"{base}/products.parquet").filter(F.col("unit_revenue").isNotNull()).agg(
+            F.lit("products.parquet").alias("artefact"), F.count(F.lit(1)).alias("rows")),
+        spark.read.text(f"{base}/report.json").agg(F.lit("report.json").alias("artefact"), F.count(F.lit(1)).alias("rows")),
+        spark.read.text(f"{base}/report.json").select(
+            F.lit("calendar_days").alias("artefact"),
+            F.get_json_object("value", "$.total_days").cast("long").alias("rows")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("customer_master_clean", "P5 P11 P12 J2 F16", "customer_id string, segment string, nation string")
+def customer_master_clean(spark, sf_dir):
+    """Customer dimension: one row per id (first by account balance), market
+    segment title-cased, nation from a broadcast 25-row lookup."""
+    from pyspark.sql import functions as F
+    cust = _read(spark, sf_dir, "customer")
+    nat = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    c = cust.select(F.col("c_custkey").cast("string").alias("customer_id"), "c_acctbal", "c_nationkey",
+                    F.col("c_mktsegment").alias("segment"))
+    c = cl.dedupe_by_key(cl.with_customer(c), ["customer_id"], [F.col("c_acctbal").desc()])
+    c = cl.clean_categorical_cols(c, ["segment"])
+    return c.join(nat, c.c_nationkey == nat.n_nationkey, "left").select(
+        "customer_id", "segment", F.col("n_name").alias("nation"))

@@ -237,7 +237,7 @@ REMEDIATED = ["rolling_7_day_sales", "rolling_30_day_sales", "rolling_90_day_sal
               "demand_momentum"]
 
 
-@register("daily_features_remediated", "P15 P16 P17 D11",
+@register("daily_features_remediated", "P15 P16 P17 D1q",
           "date date, sales_amount double, lag_1_sales double, lag_7_sales double, "
           "weekday_seasonality_index double, rolling_7_day_sales_lag1 double, rolling_30_day_sales_lag1 double, "
           "rolling_90_day_sales_lag1 double, sales_volatility_30_day_lag1 double, demand_momentum_lag1 double, "
