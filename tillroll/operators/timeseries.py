@@ -16,16 +16,22 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
 from tillroll.functions.numeric import safe_corr, safe_div
+from tillroll.session import cut_lineage
 
 EPS = 1e-5
 
 
 # ---------------------------------------------------------------- aggregates
 def daily_sales(sales: DataFrame) -> DataFrame:
-    """A5 total amount and quantity per calendar day (trading days only)."""
-    return sales.groupBy(cal.day("date").alias("date")).agg(
+    """A5 total amount and quantity per calendar day (trading days only).
+
+    One row per day — bounded by the calendar, not the data — and read by
+    several branches (spine, windows, growth, seasonality), so it is
+    materialised once with a reliable checkpoint instead of re-aggregating
+    the ledger per branch."""
+    return cut_lineage(sales.groupBy(cal.day("date").alias("date")).agg(
         F.sum("sales_amount").alias("sales_amount"),
-        F.sum("quantity_sold").alias("quantity_sold"))
+        F.sum("quantity_sold").alias("quantity_sold")))
 
 
 def product_daily(sales: DataFrame) -> DataFrame:
@@ -269,14 +275,14 @@ def global_seasonality(sales: DataFrame) -> DataFrame:
     """Σ amount ÷ distinct trading days per weekday / month, divided
     by the mean trading-day total (no epsilon).  Long form: kind, key, index."""
     d = daily_sales(sales).select("date", "sales_amount")
-    overall = d.agg(F.avg("sales_amount").alias("_m"))
+    overall = d.agg((F.sum("sales_amount").cast("double") / F.count("sales_amount")).alias("_m"))
     by = d.select(
         F.explode(F.array(
             F.struct(F.lit("weekday").alias("kind"), cal.day_of_week("date").alias("key")),
             F.struct(F.lit("month").alias("kind"), F.month("date").alias("key")))).alias("k"),
         "sales_amount", "date")
     g = by.groupBy("k.kind", "k.key").agg(
-        (F.sum("sales_amount") / F.countDistinct("date")).alias("_mean"))
+        (F.sum("sales_amount").cast("double") / F.countDistinct("date")).alias("_mean"))
     return g.crossJoin(F.broadcast(overall)).select(
         "kind", "key", (F.col("_mean") / F.col("_m")).alias("index"))
 
