@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
-from tillroll.functions.numeric import safe_corr, safe_div
+from tillroll.functions.numeric import safe_corr
 from tillroll.session import cut_lineage
 
 EPS = 1e-5

@@ -15,7 +15,7 @@ from tillroll.plans.catalog import register
 from tillroll.plans.customers import CUTOFF, HORIZON, customer_features_sql, pred_sql
 from tillroll.plans.demand import DAILY_SQL_CTE, WEEKLY_SQL_CTE
 from tillroll.plans.inventory import HEALTH_EXPR, HEALTH_SQL, inventory_sql, master_sql
-from tillroll.sources.ledger import sales_ledger
+from tillroll.sources.ledger import ledger_sql, sales_ledger
 
 SEG_RULE = ("CASE WHEN customer_loyalty_score >= 7 THEN 'Cluster 0' WHEN customer_loyalty_score >= 4 "
             "THEN 'Cluster 1' ELSE 'Cluster 2' END")
@@ -213,10 +213,9 @@ def top_risk_customers(spark, sf_dir):
 
 
 @register("top_products", "T1 A4", "product_id string, revenue double, quantity double",
-          sql="""WITH sales AS ({s})
+          sql=f"""WITH sales AS ({ledger_sql()})
 SELECT product_id, CAST(sum(sales_amount) AS DOUBLE) AS revenue, sum(quantity_sold) AS quantity
-FROM sales GROUP BY product_id ORDER BY revenue DESC, product_id LIMIT 10""".format(
-              s=__import__("tillroll.sources.ledger", fromlist=["ledger_sql"]).ledger_sql()))
+FROM sales GROUP BY product_id ORDER BY revenue DESC, product_id LIMIT 10""")
 def top_products(spark, sf_dir):
     led = sales_ledger(spark, sf_dir)
     p = led.groupBy("product_id").agg(F.sum("sales_amount").cast("double").alias("revenue"),

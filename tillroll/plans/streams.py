@@ -3,7 +3,6 @@ query over the events table to completion and returns its output table."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import xsum_sql
 from tillroll.plans.catalog import register
