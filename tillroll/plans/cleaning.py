@@ -171,7 +171,7 @@ def customer_master_clean(spark, sf_dir):
     nat = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     c = cust.select(F.col("c_custkey").cast("string").alias("customer_id"), "c_acctbal", "c_nationkey",
                     F.col("c_mktsegment").alias("segment"))
-    c = cl.dedupe_by_key(cl.with_customer(c), ["customer_id"], [F.col("c_acctbal").desc()])
+    c = cl.dedupe_by_key(cl.with_customer(c), ["customer_id"], [-F.col("c_acctbal")])
     c = cl.clean_categorical_cols(c, ["segment"])
     return c.join(nat, c.c_nationkey == nat.n_nationkey, "left").select(
         "customer_id", "segment", F.col("n_name").alias("nation"))
