@@ -79,16 +79,19 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
 
 def rank_min(df: DataFrame, value: str, tiebreak: str, out: str, ascending: bool = False,
              partition_by: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
-    """W1 ``rank(method='min')``: tied values share the smallest row number.
-    Rows with a null ``value`` get a null rank."""
+    """W1 ``rank(method='min')``: tied values share the smallest rank, i.e.
+    1 + the number of rows with a strictly better value.  Computed over the
+    distinct values (partial aggregation collapses hot values) with a
+    range-partitioned running count, then joined back on the value.  Rows
+    with a null ``value`` get a null rank.  ``tiebreak`` is not needed for
+    ranks with ties and is kept for API symmetry."""
     pb = list(partition_by)
-    vcol = F.col(value).asc() if ascending else F.col(value).desc()
     base = df.filter(F.col(value).isNotNull())
-    rn = row_number_global(base, [vcol, F.col(tiebreak).asc()], pb, out="_rn",
-                           num_partitions=num_partitions)
-    # first row number per (group, value): partial aggregation absorbs hot values
-    firsts = rn.groupBy(*pb, value).agg(F.min("_rn").alias(out))
-    ranked = rn.drop("_rn").join(firsts, [*pb, value], "inner")
+    vc = base.groupBy(*pb, value).agg(F.count(F.lit(1)).alias("_c"))
+    order = F.col(value).asc() if ascending else F.col(value).desc()
+    cum = running_sum(vc, "_c", [order], "_cum", pb, num_partitions)
+    ranks = cum.select(*pb, value, (F.col("_cum") - F.col("_c") + 1).cast("long").alias(out))
+    ranked = base.join(ranks, [*pb, value], "inner")
     nulls = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("long"))
     return ranked.unionByName(nulls)
 
@@ -131,16 +134,31 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``quantile``, Spark
     ``percentile``, DuckDB ``quantile_cont``) as one row per group with one
-    column per entry of ``probs`` — distributed: no group is ever gathered
-    into one buffer (``percentile`` keeps a per-group value map)."""
+    column per entry of ``probs``.
+
+    Rows are first counted per distinct value (partial aggregation: a value
+    held by a third of all rows becomes one row), then a range-partitioned
+    running count over the distinct values locates the two values around
+    every target position — no group is gathered into one buffer (as
+    ``percentile`` would) and no row-level sort is needed.  ``tiebreak`` is
+    accepted for API symmetry; values need no tie-break here."""
     pb = list(partition_by)
-    base = df.select(*pb, col, *([tiebreak] if tiebreak else [])).filter(F.col(col).isNotNull())
-    if tiebreak is None:
-        base = base.withColumn("_tb", F.rand(17))
-        tiebreak = "_tb"
-    rn = row_number_global(base, [F.col(col).asc(), F.col(tiebreak).asc()], pb, out="_r",
-                           size_out="_n", num_partitions=num_partitions)
-    return quantiles_from_index(rn, col, probs, "_r", "_n", pb)
+    vc = df.filter(F.col(col).isNotNull()).groupBy(*pb, col).agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_sum(vc, "_c", [F.col(col).asc()], "_cum", pb, num_partitions)
+    sizes = vc.groupBy(*pb).agg(F.sum("_c").alias("_n"))
+    x = cum.join(F.broadcast(sizes) if not pb else sizes, pb) if pb else cum.crossJoin(F.broadcast(sizes))
+    start = F.col("_cum") - F.col("_c")  # rows before this value
+    aggs = []
+    for k, p in probs.items():
+        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.max(F.when((start < lo) & (lo <= F.col("_cum")), F.col(col))).alias(f"_lo_{k}"),
+                 F.max(F.when((start < hi) & (hi <= F.col("_cum")), F.col(col))).alias(f"_hi_{k}"),
+                 F.max(h - F.floor(h)).alias(f"_fr_{k}")]
+    g = x.groupBy(*pb).agg(*aggs)
+    return g.select(*pb, *[
+        (F.col(f"_lo_{k}") + F.col(f"_fr_{k}") * (F.col(f"_hi_{k}") - F.col(f"_lo_{k}"))).alias(k)
+        for k in probs])
 
 
 def running_sum(df: DataFrame, value: str, order: Sequence, out: str,
