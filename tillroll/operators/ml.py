@@ -228,8 +228,11 @@ def churn_drivers(model, df: DataFrame, features: Sequence[str], label: str) ->
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], label: str,
                            id_col: str = "customer_id") -> DataFrame:
-    """M16 AUC drop when one feature's values are permuted across rows
-    (values re-paired by a hash-ordered row number join)."""
+    """M16 AUC drop when one feature's values are permuted across rows.
+
+    Rows are numbered once in a hash order (range-partitioned); feature k
+    takes its values from the row ``shift_k`` places further along that
+    cycle — a derangement of the column — via one equi-join per feature."""
     spark = df.sparkSession
     base = df.withColumn("label", F.col(label).cast("double"))
 
@@ -237,14 +240,13 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
         s = model.transform(assemble(frame, features)).withColumn("p1", vector_to_array("probability")[1])
         return binary_metrics(s, "label", "p1", id_col=id_col).first()["roc_auc"]
     ref = auc_of(base)
+    idx = ranking.row_number_global(base.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(SEED))),
+                                    [F.col("_h"), F.col(id_col)], out="_ra", size_out="_n").drop("_h")
     rows = []
-    order_a = ranking.row_number_global(base.withColumn("_h", F.xxhash64(id_col)), [F.col("_h"), F.col(id_col)],
-                                        out="_ra")
-    for f in features:
-        donor = ranking.row_number_global(base.select(id_col, F.col(f).alias("_v"),
-                                                      F.xxhash64(F.col(id_col), F.lit(7)).alias("_h2")),
-                                          [F.col("_h2"), F.col(id_col)], out="_ra").select("_ra", "_v")
-        perm = order_a.join(donor, "_ra").drop(f, "_ra", "_h").withColumnRenamed("_v", f)
+    for k, f in enumerate(features):
+        shift = 1 + 7919 * (k + 1)
+        donor = idx.select(((F.col("_ra") - 1 + F.lit(shift)) % F.col("_n") + 1).alias("_ra"), F.col(f).alias("_v"))
+        perm = idx.drop(f).join(donor, "_ra").withColumnRenamed("_v", f).drop("_ra", "_n")
         rows.append((f, float(ref - auc_of(perm))))
     return spark.createDataFrame(rows, "feature string, auc_drop double")
 

@@ -220,7 +220,8 @@ def share_within(df: DataFrame, group: str, cat: str) -> DataFrame:
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """A11 value counts and % of total."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    return g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy()))
+    tot = df.agg(F.count(F.lit(1)).alias("_tot"))  # one-row total: no single-task window over values
+    return g.crossJoin(F.broadcast(tot)).select(col, "count", (F.col("count") * 100.0 / F.col("_tot")).alias("pct"))
 
 
 def group_profile(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -230,8 +231,9 @@ def group_profile(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
         exact_mean("value").alias("mean"), F.stddev_samp("value").alias("std"))
     med = ranking.exact_quantiles(long, "value", {"median": 0.5}, [key, "column"])
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g"))
-    sizes = sizes.withColumn("share_pct", F.col("_g") * 100.0 / F.sum("_g").over(Window.partitionBy()))
+    tot = df.agg(F.count(F.lit(1)).alias("_tot"))
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g")).crossJoin(F.broadcast(tot))
+    sizes = sizes.withColumn("share_pct", F.col("_g") * 100.0 / F.col("_tot")).drop("_tot")
     return st.join(med, [key, "column"], "left").join(sizes.drop("_g"), key, "left")
 
 
