@@ -308,3 +308,37 @@ def inventory_kpi_wide(spark, sf_dir):
 @register("inventory_audit", "K18 K4 S12 A18", "metric string, value double")
 def inventory_audit(spark, sf_dir):
     return iv.inventory_audit(sales_ledger(spark, sf_dir))
+
+
+@register("inventory_with_balances", "K9 K10 K12", MASTER_SCHEMA, sql=f"""WITH {inventory_sql("inv0")},
+snap AS (
+  SELECT product_id, DATE '2001-07-01' AS as_of, simulated_current_stock * 0.5::DOUBLE AS stock FROM inv0
+  UNION ALL SELECT product_id, DATE '2001-08-01', simulated_current_stock FROM inv0),
+latest AS (SELECT product_id, arg_max(stock, as_of) AS s FROM snap GROUP BY product_id),
+inv1 AS (SELECT inv0.* EXCLUDE (simulated_current_stock, days_to_stockout, reorder_urgency, stockout_probability, risk_category),
+                coalesce(latest.s, 0.0) AS simulated_current_stock
+         FROM inv0 LEFT JOIN latest ON inv0.product_id = latest.product_id),
+inv AS (
+  SELECT *,
+    CASE WHEN avg_daily_demand > 0 THEN simulated_current_stock / avg_daily_demand ELSE 999.0::DOUBLE END AS days_to_stockout,
+    CASE WHEN simulated_current_stock < reorder_point
+         THEN (reorder_point - simulated_current_stock) / (reorder_point + 1e-6) ELSE 0.0::DOUBLE END AS reorder_urgency,
+    {round_half_up_sql(f"least(greatest({normal_sf_sql('((simulated_current_stock - avg_daily_demand * CAST(lead_time AS DOUBLE)) / (demand_std_dev * sqrt(CAST(lead_time AS DOUBLE)) + 1e-5))')}, 0.0::DOUBLE), 1.0::DOUBLE)", 4)} AS stockout_probability,
+    CASE WHEN simulated_current_stock < safety_stock THEN 'Critical'
+         WHEN simulated_current_stock < reorder_point THEN 'High'
+         WHEN simulated_current_stock < 1.5::DOUBLE * reorder_point THEN 'Medium' ELSE 'Low' END AS risk_category
+  FROM inv1)
+{master_sql()}""")
+def inventory_with_balances(spark, sf_dir):
+    """K9: a balances table with two snapshots per product (the fixture stock
+    a month earlier at half the level, and on the last day); the latest
+    snapshot per product is attached, missing products get 0."""
+    from pyspark.sql import functions as F
+    from tillroll.session import cut_lineage
+    led = sales_ledger(spark, sf_dir)
+    stats = cut_lineage(iv.demand_stats(led))
+    pol = iv.inventory_policy(iv.abc_classify(stats))
+    cur = iv.fixture_stock(pol, "2001-08-01")
+    old = cur.select("product_id", F.to_date(F.lit("2001-07-01")).alias("as_of"), (F.col("stock") * 0.5).alias("stock"))
+    inv = iv.stockout_risk(iv.attach_stock(pol, cur.unionByName(old)))
+    return iv.inventory_master(inv)
