@@ -131,9 +131,13 @@ def loyalty_and_rank(base: DataFrame) -> DataFrame:
 
 
 def customer_features(sales: DataFrame, as_of: str | None = None) -> DataFrame:
-    """C2–C9 (C10 with ``as_of``): the 17-column customer feature table."""
+    """C2–C9 (C10 with ``as_of``): the 17-column customer feature table.
+
+    A module output read by many downstream branches (segments, churn,
+    scaling, audits), so it is materialised once (reliable checkpoint) rather
+    than re-derived per branch."""
     base = cut_lineage(customer_base(sales, as_of))
-    return loyalty_and_rank(base).select(*CUSTOMER_COLUMNS)
+    return cut_lineage(loyalty_and_rank(base).select(*CUSTOMER_COLUMNS))
 
 
 def churn_dataset(sales: DataFrame, cutoff: str, horizon_days: int = 90) -> DataFrame:
@@ -148,7 +152,8 @@ def churn_dataset(sales: DataFrame, cutoff: str, horizon_days: int = 90) -> Data
                            & F.col("customer_id").isNotNull())
               .select("customer_id").distinct())
     out = feats.join(active.withColumn("_act", F.lit(1)), "customer_id", "left")
-    return out.withColumn("true_churn_flag", F.when(F.col("_act").isNull(), 1).otherwise(0)).select(*CHURN_COLUMNS)
+    return cut_lineage(out.withColumn("true_churn_flag", F.when(F.col("_act").isNull(), 1).otherwise(0))
+                       .select(*CHURN_COLUMNS))
 
 
 def leakage_audit(df: DataFrame, label: str, features: list[str]) -> DataFrame:

@@ -22,6 +22,7 @@ from tillroll.plans.customers import CUTOFF, HORIZON, pred_sql
 from tillroll.plans.decisions import NAIVE_CTE
 from tillroll.plans.inventory import HEALTH_EXPR, HEALTH_SQL, inventory_sql
 from tillroll.plans.quality import SKEW_COLS, _std_sql
+from tillroll.session import cut_lineage
 from tillroll.sources.ledger import sales_ledger
 
 CHURN_FEATURES = [c for c in cu.CHURN_COLUMNS if c not in ("customer_id", "true_churn_flag")]
@@ -33,7 +34,7 @@ def _scaled(spark, sf_dir):
     feats = cu.customer_features(sales_ledger(spark, sf_dir))
     z = qu.standardize(qu.deskew(feats.select("customer_id", "customer_loyalty_score", *SKEW_COLS), SKEW_COLS),
                        SKEW_COLS)
-    return z
+    return cut_lineage(z)  # the clustering matrix is read by every model / metric branch
 
 
 @register("kmeans_segments", "M1 M5 F20", "customer_id string, cluster string")
