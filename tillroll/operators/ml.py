@@ -149,12 +149,13 @@ def binary_metrics(df: DataFrame, label: str = "label", prob: str = "probability
                 F.sum(F.when((pred == 1) & (y == 0), 1).otherwise(0)).alias("fp"),
                 F.sum(F.when((pred == 0) & (y == 0), 1).otherwise(0)).alias("tn"),
                 F.sum(F.when((pred == 0) & (y == 1), 1).otherwise(0)).alias("fn"))
-    rn = ranking.row_number_global(df.select(id_col, label, prob), [p.asc(), F.col(id_col).asc()], out="_r")
-    tie = rn.groupBy(prob).agg(((F.min("_r") + F.max("_r")) / 2.0).alias("_avg_rank"))
-    ranked = rn.join(tie, prob)
-    auc = ranked.agg(F.sum(F.when(y == 1, F.col("_avg_rank"))).alias("_rs"),
-                     F.sum(F.when(y == 1, 1).otherwise(0)).alias("_np"),
-                     F.sum(F.when(y == 0, 1).otherwise(0)).alias("_nn"))
+    # average rank of a score = rows with a lower score + (ties + 1) / 2, from
+    # per-distinct-score counts and a range-partitioned running count
+    vc = df.groupBy(prob).agg(F.count(F.lit(1)).alias("_c"), F.sum(F.when(y == 1, 1).otherwise(0)).alias("_npos"))
+    cum = ranking.running_sum(vc, "_c", [p.asc()], "_cum")
+    avg_rank = (F.col("_cum") - F.col("_c")) + (F.col("_c") + 1) / 2.0
+    auc = cum.agg(F.sum(F.col("_npos") * avg_rank).alias("_rs"), F.sum("_npos").alias("_np"),
+                  (F.sum("_c") - F.sum("_npos")).alias("_nn"))
     x = cm.crossJoin(auc)
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0)
