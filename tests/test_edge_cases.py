@@ -168,3 +168,13 @@ def test_customer_features_partition_invariant(spark, parts):
     if not hasattr(test_customer_features_partition_invariant, "ref"):
         test_customer_features_partition_invariant.ref = rows
     assert rows == test_customer_features_partition_invariant.ref
+
+
+def test_product_panel_calendar_option(spark):
+    rows = [("1", "2020-01-01", "c", "P", 2, 1.0, 2.0), ("2", "2020-01-04", "c", "P", 4, 1.0, 4.0),
+            ("3", "2020-01-02", "c", "Q", 1, 1.0, 1.0)]
+    sparse = timeseries.product_daily_features(ledger(spark, rows)).filter("product_id = 'P'").orderBy("date").collect()
+    dense = timeseries.product_daily_features(ledger(spark, rows), calendar=True).filter(
+        "product_id = 'P'").orderBy("date").collect()
+    assert len(sparse) == 2 and sparse[1].product_lag_1_qty == 2.0
+    assert [r.daily_quantity_sold for r in dense] == [2.0, 0.0, 0.0, 4.0] and dense[3].product_lag_1_qty == 0.0

@@ -242,10 +242,24 @@ def flag_partial_weeks(weekly: DataFrame, daily: DataFrame) -> DataFrame:
         F.when(days < 7, 1).otherwise(0).alias("is_partial_week"))
 
 
-def product_daily_features(sales: DataFrame) -> DataFrame:
-    """D2q: sparse product-day panel with per-product lags / rolling means
-    (rows = selling days, D17) and global weekday / month seasonality."""
+def densify_panel(pdy: DataFrame, key: str = "product_id", cols: Sequence[str] = (
+        "daily_sales_amount", "daily_quantity_sold")) -> DataFrame:
+    """J9 per series: every day between the series' own first and last day,
+    absent days filled with 0 (output is linear in the spans)."""
+    span = pdy.groupBy(key).agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
+    spine = span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    j = spine.join(pdy, [key, "date"], "left")
+    return j.select("date", key, *[F.coalesce(F.col(c), F.lit(0).cast(pdy.schema[c].dataType)).alias(c) for c in cols])
+
+
+def product_daily_features(sales: DataFrame, calendar: bool = False) -> DataFrame:
+    """D2q: product-day panel with per-product lags / rolling means and
+    global weekday / month seasonality.  Rows are selling days (D17, the
+    reference's choice); ``calendar=True`` densifies each product's own span
+    first so lags and windows count calendar days."""
     pdy = product_daily(sales)
+    if calendar:
+        pdy = densify_panel(pdy)
     pw = ("product_id",)
     r7 = rolling_mean("daily_sales_amount", 7, partition=pw)
     r30 = rolling_mean("daily_sales_amount", 30, partition=pw)
