@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chat",)
+MODULES = ("bpe", "secrets", "chat")
 
 
 def queries() -> dict:
