@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("bpe", "secrets", "chat")
+MODULES = ("bpe", "secrets", "packing", "chat")
 
 
 def queries() -> dict:
