@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("bpe", "secrets", "packing", "chat")
+MODULES = ("bpe", "secrets", "quality", "packing", "chat")
 
 
 def queries() -> dict:
