@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("lines", "bpe", "secrets", "quality", "packing", "chat")
+MODULES = ("lines", "bpe", "secrets", "quality", "packing", "suffixes", "chat")
 
 
 def queries() -> dict:
