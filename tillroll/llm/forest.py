@@ -239,12 +239,13 @@ def search(both: DataFrame, hasher: Hasher, k: int) -> DataFrame:
                 lo, hi = (0, len(index)) if depth[a] == 0 else (
                     np.searchsorted(index >> shift, code[a] >> shift, "left"), np.searchsorted(index >> shift, code[a] >> shift, "right"))
                 s = x[lo:hi] @ q[i]
-                if len(s) > k + 1:  # all that tie with the last place, then the smaller ids of these
-                    take = np.flatnonzero(s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1])
-                else:
-                    take = np.arange(len(s))
-                take = take[np.lexsort((low[lo:hi][take], -s[take]))][:k + 1]
-                out.append([{"s": float(s[t]), "low": int(low[lo + t]), "key": keys[lo + t]} for t in take])
+                take = np.arange(len(s))
+                if len(s) > k + 1:  # with all that rounding may part from the last place
+                    last = np.partition(s, len(s) - k - 1)[len(s) - k - 1]
+                    take = np.flatnonzero(s >= last - 1e-9 * (1 + abs(last)))
+                exact = np.cumsum(x[lo + take] * q[i], 1)[:, -1]  # the same bits in every bucket, unlike the product above
+                order = np.lexsort((low[lo + take], -exact))[:k + 1]
+                out.append([{"s": float(exact[t]), "low": int(low[lo + take[t]]), "key": keys[lo + take[t]]} for t in order])
             yield pa.RecordBatch.from_arrays([bucket.column("key").take(pa.array(asked)), pa.array(out, kind)], names=["key", "found"])
 
     return arranged(both).mapInArrow(run, RESULT)
@@ -289,8 +290,9 @@ def true_neighbours(index: DataFrame, sample: list, hasher: Hasher, k: int) -> d
     return {bytes(r["key"]): [x["codes"] for x in r["top"]] for r in top.collect()}  # SAMPLE x k rows at most
 
 
-def fitted_want(sample: list, truth: dict, hasher: Hasher, n: int, target: float) -> int:
-    """The least candidate number of the ladder that reaches the target on the sample."""
+def fitted_want(sample: list, truth: dict, hasher: Hasher, n: int, target: float, k: int) -> int:
+    """The least candidate number of the ladder that reaches the target on the sample.
+    The ladder starts where ``k`` + 1 different vectors are sure, met once in each tree."""
     shared, totals = [], []
     for r in sample:
         own, near = np.array(r["asked"]), np.array(truth.get(bytes(r["key"]), []), np.int64).reshape(-1, hasher.trees)
@@ -299,7 +301,7 @@ def fitted_want(sample: list, truth: dict, hasher: Hasher, n: int, target: float
             length[(hasher.prefix(near, d) == hasher.prefix(own, d)).any(1)] = d
         shared.append(length)
         totals.append(np.array(r["counts"]))
-    want, most = 4 * K, hasher.trees * n
+    want, most = hasher.trees * (k + 1), hasher.trees * n
     while want < most:
         got = [length >= max((d for d in range(1, hasher.depth + 1) if c[d - 1] >= want), default=0)
                for length, c in zip(shared, totals, strict=True)]
@@ -338,7 +340,7 @@ def nearest(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     sample = queries.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("key", "vec", "asked", "counts").collect()
     if not sample:
         return empty
-    want = fitted_want(sample, true_neighbours(index, sample, hasher, k), hasher, told["n"], target)
+    want = fitted_want(sample, true_neighbours(index, sample, hasher, k), hasher, told["n"], target, k)
     depth = F.coalesce(F.array_max(F.transform("counts", lambda c, i: F.when(c >= want, (i + 1).cast("int")))), F.lit(0))
     ready = queries.withColumn("depth", depth)
     found = search(entries(index, hasher, blocks, True).unionByName(asked_entries(ready, hasher, blocks, True)), hasher, k)
