@@ -13,7 +13,7 @@ import pyarrow as pa
 U64 = np.uint64
 ODD = U64(0x9E3779B97F4A7C15)
 #: Bytes taken at once; bounds the working arrays (about 100 bytes for each).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def is_space_table() -> np.ndarray:
@@ -124,6 +124,16 @@ def sequence_hashes(items: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def distinct(items: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (np.unique hashes integers, which is slower here)."""
+    items = np.sort(items)
+    if len(items) < 2:
+        return items
+    new = np.ones(len(items), bool)
+    np.not_equal(items[1:], items[:-1], out=new[1:])
+    return items[new]
+
+
 def row_shingles(data: np.ndarray, offsets: np.ndarray, width: int = 5, lower: bool = True):
     """Yield, for each row, the hashes of its word windows in reading order.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._bytes import SPACE, RangeHash, sequence_hashes, slices, text_buffers, word_bounds
+from ._bytes import SPACE, RangeHash, distinct, sequence_hashes, slices, text_buffers, word_bounds
 from ._stage import staged, table
 
 MAX_LABELLED = 20_000
@@ -68,16 +68,16 @@ def measured(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         n_words, chars, all_chars = np.diff(cuts), total(ink), total(_LETTER_START)
         symbols, lines = total(_SYMBOL), total(_NEWLINE) + 1
         windows = sequence_hashes(words, WINDOW)
-        repeats, distinct = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
+        repeats, differing = np.zeros(b - a, np.int64), np.zeros(b - a, np.int64)
         dup_lines, full_lines, ended = (np.zeros(b - a, np.int64) for _ in range(3))
         raw = part.tobytes()
         for i in range(b - a):
             lo, hi = int(cuts[i]), int(cuts[i + 1])
-            distinct[i] = len(np.unique(words[lo:hi]))
+            differing[i] = len(distinct(words[lo:hi]))
             if hi - lo > WINDOW:
                 own = windows[lo:hi - WINDOW + 1]
-                _, where, times = np.unique(own, return_inverse=True, return_counts=True)
-                if len(times) < len(own):
+                if len(distinct(own)) < len(own):
+                    _, where, times = np.unique(own, return_inverse=True, return_counts=True)
                     edge = np.zeros(hi - lo + 1, np.int64)
                     again = np.flatnonzero(times[where] > 1)
                     np.add.at(edge, again, 1)
@@ -93,7 +93,7 @@ def measured(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         features.append(np.stack([
             np.log1p(n_words), chars * per_word, symbols * per_char, dup_lines * per_line, repeats * per_word,
             n_words * per_line, total(_UPPER) * per_char, total(_DIGIT) * per_char, total(_STOP) * per_char,
-            total(_BAR) * per_char, total(_OTHER) * per_char, distinct * per_word, lines * per_char,
+            total(_BAR) * per_char, total(_OTHER) * per_char, differing * per_word, lines * per_char,
             ended * per_line], 1))
     if not counts:
         return np.zeros((0, len(COUNTS)), np.int64), np.zeros((0, len(FEATURES)))

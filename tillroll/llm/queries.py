@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("lines", "bpe", "forest", "secrets", "quality", "packing", "suffixes", "chat")
+MODULES = ("lines", "bpe", "forest", "secrets", "quality", "packing", "jaccard", "suffixes", "chat")
 
 
 def queries() -> dict:
