@@ -1,16 +1,45 @@
 """The corpus pipeline: an ordered list of stages over ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
-as Parquet and read again as the next stage's docs.
+as Parquet and read again as the next stage's docs.  All but the last return the
+columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm import jaccard, lines, packing, quality, secrets
 from tillroll.llm._stage import staged, table
 
-STAGES: list = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    return quality.filtered(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go from the text."""
+    return lines.dedup(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return jaccard.one_of_each(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text."""
+    return secrets.redact(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences: a row for each packed piece."""
+    return packing.pack(docs, packing.default_vocabulary())
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("secret_scan", secret_scan), ("best_fit_packing", best_fit_packing)]
 
 #: Learned verdicts and packing have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None

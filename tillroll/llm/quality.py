@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import SPACE, RangeHash, distinct, sequence_hashes, slices, text_buffers, word_bounds
-from ._stage import staged, table
+from ._stage import table
 
 MAX_LABELLED = 20_000
 TREES, DEPTH, RATE, BINS, MIN_ROWS, RIDGE = 80, 4, 0.15, 48, 8, 1.0
@@ -233,64 +233,65 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees | None:
     return flatten(grown, start, cut)
 
 
-def train(stats: DataFrame, labels: DataFrame) -> Trees | None:
-    """Fit on a bounded sample of the labelled documents, in an order fixed by their ids."""
+def train(docs: DataFrame, labels: DataFrame) -> Trees | None:
+    """Fit on at most ``MAX_LABELLED`` labelled documents, in an order fixed by their ids.
+    Only these are measured here, found by their ids; no text is shuffled."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("label"))
-    rows = (stats.join(known, "doc_id").select("features", "label", F.xxhash64("doc_id").alias("o"))
-            .orderBy("o").limit(MAX_LABELLED).collect())  # at most MAX_LABELLED rows
-    if not rows:
+    chosen = docs.select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    label = {r["doc_id"]: float(r["label"] > 0) for r in chosen.collect()}  # MAX_LABELLED rows at most, as below
+    if not label:
         return None
-    return fit(np.array([r["features"] for r in rows]), np.array([float(r["label"] > 0) for r in rows]))
+    ids = docs.sparkSession.createDataFrame([(x,) for x in label], "doc_id long")
+    rows = statistics(docs.join(F.broadcast(ids), "doc_id", "left_semi")).select("doc_id", "features").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["features"]))
+    return fit(np.array([r["features"] for r in rows]), np.array([label[r["doc_id"]] for r in rows]))
 
 
-def score(stats: DataFrame, trees: Trees | None) -> DataFrame:
-    """``statistics`` with ``score`` (log-odds, null without a model) and ``kept``."""
+def judged(counts: np.ndarray, features: np.ndarray, trees: Trees | None) -> tuple[np.ndarray, np.ndarray]:
+    """(log-odds, kept) of measured texts; without a model the base rule decides."""
+    kept = ~base_failed(counts)
     if trees is None:
-        return stats.withColumn("score", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
-    shared = stats.sparkSession.sparkContext.broadcast(trees)
-    names = stats.columns
+        return np.zeros(len(counts)), kept
+    parts = [trees.raw(features[k:k + 4096]) for k in range(0, len(features), 4096)]
+    raw = np.concatenate(parts) if parts else np.zeros(0)
+    return raw, kept & (raw >= trees.cut)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            x = np.array(batch.column("features").flatten()).reshape(len(batch), len(FEATURES))
-            raw = np.concatenate([model.raw(x[k:k + 4096]) for k in range(0, len(x), 4096)]) if len(x) else np.zeros(0)
-            failed = np.array(batch.column("base_failed").to_pylist(), bool)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw), pa.array(~failed & (raw >= model.cut))],
-                                             names=[*names, "score", "kept"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields)
-    return stats.mapInArrow(run, schema + ", score double, kept boolean")
+def verdicts(docs: DataFrame, trees: Trees | None) -> DataFrame:
+    """doc_id, the COUNTS, base_failed, kept and score (log-odds) of every document."""
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, data = text_buffers(batch.column(1))
+            counts, features = measured(data, offsets)
+            raw, kept = judged(counts, features, shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(counts[:, k]) for k in range(len(COUNTS))), pa.array(base_failed(counts)),
+                 pa.array(kept), pa.array(raw)], names=["doc_id", *COUNTS, "base_failed", "kept", "score"])
 
-def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    stats = staged(statistics(docs), "quality-statistics")
-    return score(stats, train(stats, labels))
+    schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, score double"
+    return docs.select("doc_id", docs["text"].cast("string")).mapInArrow(run, schema)
 
 
-def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, all columns.  The verdict is computed
-    again beside each text with the fitted model: no text is shuffled."""
-    trees = train(staged(statistics(docs), "quality-statistics"), labels)
+def filtered(docs: DataFrame, trees: Trees | None) -> DataFrame:
+    """The documents that the rules keep, all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = text_buffers(batch.column(at))
-            counts, x = measured(data, offsets)
-            keep = ~base_failed(counts)
-            if shared.value is not None and len(x):
-                keep &= np.concatenate([shared.value.raw(x[k:k + 4096]) for k in range(0, len(x), 4096)]) >= shared.value.cut
-            yield batch.filter(pa.array(keep))
+            yield batch.filter(pa.array(judged(*measured(data, offsets), shared.value)[1]))
 
     return docs.mapInArrow(run, docs.schema)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return found.select("doc_id", *COUNTS, "base_failed", "kept", "score")
+    docs = table(spark, sf_dir, "documents")
+    return verdicts(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {"op5_quality_rules": op5_quality_rules}
