@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,12 +36,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._stage import staged, table
+from .bpe import byte_characters
 
 CAPACITY, END_ID = 2048, 0
 VOCABULARY = "word_bpe_49k.json"
 #: Search effort, not data: nodes of the bin completion tree, fillings tried at each.
 SEARCH_NODES, FILLINGS = 40_000, 6
-REMEMBERED, LONGEST_REMEMBERED = 250_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
 
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -50,31 +53,47 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class WordCoder:
+#: Words of Latin-1 letters only: normalising them is lower-casing, and they are one
+#: pre-token, so the model alone gives their ids.  The punctuation in ``TAIL`` never
+#: joins such letters in one pre-token (unlike the apostrophe).
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+TAIL = b".,;:!?&%$#*|\"()[]"
+
+
+class WordCoder(dict):
     """Ids of whole texts.  The tokenizer drops white space and never joins over it,
-    so words encode on their own and frequent ones are encoded once a worker."""
+    so words encode on their own.  The coder remembers words' ids (little-endian,
+    unsigned, 32 bits each) and looks up others on first sight."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.seen: dict[bytes, bytes] = {}
+        self.bare, self.spelling = self.tokenizer.model, byte_characters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(TAIL)
+        text = word.decode("utf-8", "replace")
+        if LETTERS.fullmatch(text):
+            spelt = "".join([self.spelling[b] for b in text.lower().encode()])
+            ids = [t.id for t in self.bare.tokenize(spelt)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        elif len(core) < len(word) and LETTERS.fullmatch(core.decode("utf-8", "replace")):
+            found = self[core.lower()] + self[word[len(core):]]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST_REMEMBERED:
+            if len(self) > REMEMBERED:
+                self.clear()
+            self[word] = found
+        return found
 
     def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        words, seen, extra = text.encode("utf-8", "surrogatepass").split(), self.seen, {}
-        if new := list({w for w in words if w not in seen}):
-            if len(seen) > REMEMBERED:
-                seen.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for word, got in zip(new, found, strict=True):
-                (seen if len(word) <= LONGEST_REMEMBERED else extra)[word] = np.array(got.ids, "<u4").tobytes()
-        if extra:
-            return b"".join([seen[w] if w in seen else extra[w] for w in words])
-        return b"".join([seen[w] for w in words])
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))
 
 
 @lru_cache(maxsize=4)
