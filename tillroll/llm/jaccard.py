@@ -25,9 +25,9 @@ cannot change the components.
 
 Defined cases: null, empty or wordless texts have an empty set, are linked with
 nothing and are their own component; a text of fewer than five words is one
-shingle, its whole sequence; repeated rows with equal id are one document; a null
-doc_id takes part, after all others in order, and its component_id is null only if
-no other id is in it; an empty table gives an empty result; other columns pass
+shingle, its whole sequence; repeated rows are linked copies, rows of one id with
+different texts documents of their own; a null doc_id takes part, after all others
+in order, and its component_id is null only if no other id is in it; an empty table gives an empty result; other columns pass
 through ``one_of_each`` unchanged.
 """
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import distinct, row_shingles, text_buffers
 from ._graph import components
-from ._stage import partitions, staged, table, text_or_empty
+from ._stage import free_name, partitions, staged, table, text_or_empty
 
 WIDTH, PERCENT = 5, 75
 SLOT_BITS, SKETCH_PARTS = 20, 64
@@ -426,7 +426,8 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """doc_id, crc (of the text), n_shingles, component_id."""
+    """doc_id, crc (of the text), n_shingles, component_id and root (the component's own
+    number, null for an empty set)."""
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.crc32(text).alias("crc"))
     seen = staged(sets_and_sketch(rows, width), "sets-seen")
@@ -439,24 +440,26 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     roots = staged(roots, "final-roots")
     named = classes.join(roots, classes["k"] == roots["node"], "left").select("k", F.coalesce("root", "k").alias("root"), "least")
     lowest = named.groupBy("root").agg(F.min("least").alias("component"))
-    by_class = named.join(lowest, "root").select("k", "component")
+    by_class = named.join(lowest, "root").select("k", "component", "root")
     out = own.join(by_class, "k", "left")
     component = F.when(F.col("component") == NO_ID, F.lit(None)).otherwise(F.col("component"))
     return out.select("doc_id", "crc", F.col("n").alias("n_shingles"),
-                      F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(component).alias("component_id"))
+                      F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(component).alias("component_id"), "root")
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, whole rows;
-    documents with an empty set all stay, and of repeated rows of one id one stays."""
-    marks = jaccard_components(docs, width, percent)
-    keep = marks.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), (F.col("n_shingles") == 0).alias("_all")).distinct()
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.crc32(text_or_empty()) == F.col("_crc"))
+    documents with an empty set all stay."""
+    own, crc, empty = (free_name(docs, x) for x in ("_id", "_crc", "_empty"))
+    marks = staged(jaccard_components(docs, width, percent), "marks")
+    lowest = marks.where("n_shingles > 0").groupBy("root").agg(
+        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), "doc_id", "crc")).alias("x"))
+    keep = lowest.select("x.doc_id", "x.crc", F.lit(False)).union(
+        marks.where("n_shingles = 0").select("doc_id", "crc", F.lit(True)).distinct()).toDF(own, crc, empty)
+    on = docs["doc_id"].cast("long").eqNullSafe(keep[own]) & (F.crc32(text_or_empty()) == keep[crc])
     kept = docs.join(keep.hint("shuffle_hash"), on)
-    again = kept.where("_all").drop("_id", "_crc", "_all")
-    first = kept.where(~F.col("_all")).dropDuplicates(["_id"]).drop("_id", "_crc", "_all")
-    return first.unionByName(again)
+    again = kept.where(F.col(empty)).drop(own, crc, empty)
+    return kept.where(~F.col(empty)).dropDuplicates([own, crc]).drop(own, crc, empty).unionByName(again)
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

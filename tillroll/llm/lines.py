@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._stage import partitions, staged, table, text_or_empty
+from ._stage import free_name, partitions, staged, table, text_or_empty
 
 MIN_CHARS = 10
 STRIPPED = b"\x20\t\n\r\x0b\x0c"
@@ -177,11 +177,11 @@ def kept_lines(raw: bytes, keep: bytes | None) -> tuple[bytes, int, int]:
 
 
 def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the column ``_keep``, null where every line stays."""
-    maps = keep_bitmaps(docs, min_chars).select(
-        F.col("doc_id").alias("_map_id"), F.col("crc").alias("_map_crc"), F.col("keep").alias("_keep"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_map_id")) & (F.crc32(text_or_empty()) == F.col("_map_crc"))
-    return docs.join(maps.hint("shuffle_hash"), on, "left").drop("_map_id", "_map_crc")
+    """``docs`` and, as last column, the bitmap; null where every line stays."""
+    own, crc, keep = (free_name(docs, x) for x in ("_map_id", "_map_crc", "_keep"))
+    maps = keep_bitmaps(docs, min_chars).toDF(own, crc, keep)
+    on = docs["doc_id"].cast("long").eqNullSafe(maps[own]) & (F.crc32(text_or_empty()) == maps[crc])
+    return docs.join(maps.hint("shuffle_hash"), on, "left").drop(own, crc)
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -203,7 +203,7 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                     [o if t is None else len(t) for o, t in zip(old.to_pylist(), texts, strict=True)], old.type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_bitmaps(docs, min_chars).select(*names, "_keep").mapInArrow(run, schema)
+    return with_bitmaps(docs, min_chars).mapInArrow(run, schema)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,7 +220,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()), strict=True))],
                 names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    return with_bitmaps(docs).select("doc_id", "text", "_keep").mapInArrow(
+    return with_bitmaps(docs).mapInArrow(
         run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 

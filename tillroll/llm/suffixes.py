@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import ODD, SLICE_BYTES, RangeHash, mix, slices, text_buffers
-from ._stage import partitions, staged, table, text_or_empty
+from ._stage import free_name, partitions, staged, table, text_or_empty
 
 LENGTH, GRAM = 400, 50  # LENGTH is GRAM times a power of two
 #: Distinct contexts of a bucket that one task refines; contexts refined at once.
@@ -269,11 +269,11 @@ def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """``docs`` with the column ``_spans``, null where nothing repeats."""
-    spans = repeated_spans(docs, hot).select(
-        F.col("doc_id").alias("_span_id"), F.col("crc").alias("_span_crc"), F.col("spans").alias("_spans"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_span_id")) & (F.crc32(text_or_empty()) == F.col("_span_crc"))
-    return docs.join(spans.hint("shuffle_hash"), on, "left").drop("_span_id", "_span_crc")
+    """``docs`` and, as last column, the spans to remove; null where nothing repeats."""
+    own, crc, spans = (free_name(docs, x) for x in ("_span_id", "_span_crc", "_spans"))
+    found = repeated_spans(docs, hot).toDF(own, crc, spans)
+    on = docs["doc_id"].cast("long").eqNullSafe(found[own]) & (F.crc32(text_or_empty()) == found[crc])
+    return docs.join(found.hint("shuffle_hash"), on, "left").drop(own, crc)
 
 
 def _pairs(value) -> list[tuple[int, int]]:
@@ -295,7 +295,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_spans(docs, hot).select(*names, "_spans").mapInArrow(run, schema)
+    return with_spans(docs, hot).mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -311,7 +311,7 @@ def digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()], strict=True))],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return with_spans(docs.select(F.col("doc_id").cast("long"), "text"), hot).select("doc_id", "text", "_spans").mapInArrow(
+    return with_spans(docs.select(F.col("doc_id").cast("long"), "text"), hot).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
