@@ -17,7 +17,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,14 +61,14 @@ def entropy_spans(candidate: str, threshold: float, window: int = WINDOW) -> lis
     total, spans = 0.0, []
     limit = (math.log2(window) - threshold) * window + 1e-9  # H = log2(w) - sum(c log2 c) / w
     for i, entering in enumerate(candidate):
-        c = counts.get(entering, 0)
-        counts[entering] = c + 1
-        total += _XLOG[c + 1] - _XLOG[c]
         if i >= window:
             leaving = candidate[i - window]
             c = counts[leaving]
             counts[leaving] = c - 1
             total += _XLOG[c - 1] - _XLOG[c]
+        c = counts.get(entering, 0)
+        counts[entering] = c + 1
+        total += _XLOG[c + 1] - _XLOG[c]
         if i >= window - 1 and total <= limit:
             start = i - window + 1
             if spans and start <= spans[-1][1]:
@@ -90,6 +92,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Entropy spans that no base span holds."""
     found = []
+    starts, furthest = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
     for m in CANDIDATE.finditer(text):
         candidate = m.group()
         kind = character_class(candidate)
@@ -97,7 +100,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             continue
         for a, b in entropy_spans(candidate, THRESHOLDS[kind]):
             a, b = a + m.start(), b + m.start()
-            if not any(s <= a and b <= e for s, _, e in base):
+            at = bisect_right(starts, a)
+            if not at or furthest[at - 1] < b:
                 found.append((a, 3, b))
     return found
 
