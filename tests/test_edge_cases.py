@@ -119,7 +119,10 @@ def test_forecast_metrics_masks_zero_actuals(spark):
 def test_abc_tie_break_and_no_demand(spark):
     rows = [("1", "2020-01-01", "c", "A1", 1, 50.0, 50.0), ("2", "2020-01-01", "c", "A2", 1, 50.0, 50.0),
             ("3", "2020-01-02", "c", "Z", -1, 1.0, -1.0), ("4", "2020-01-03", "c", "A3", 1, 10.0, 10.0)]
-    inv = {r.product_id: r for r in inventory.inventory_table(ledger(spark, rows)).collect()}
+    stock = spark.createDataFrame([("A1", dt.date(2020, 1, 1), 5.0), ("A1", dt.date(2020, 1, 3), 7.0), ("other", dt.date(2020, 1, 1), 1.0)],
+                                  "product_id string, as_of date, stock double")
+    inv = {r.product_id: r for r in inventory.inventory_table(ledger(spark, rows), stock).collect()}
+    assert inv["A1"].simulated_current_stock == 7.0 and inv["A2"].simulated_current_stock == 0.0 and "other" not in inv
     assert inv["A1"].abc_class == "A" and inv["A2"].abc_class == "B"  # same revenue: id decides, crossing 0.8 → B
     assert inv["Z"].days_to_stockout == 999.0 and inv["Z"].avg_daily_demand == 0.0
 

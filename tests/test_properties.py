@@ -7,13 +7,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillroll.operators import customers, inventory, ranking, timeseries
-from tillroll.sources.ledger import sales_ledger
+from tillroll.sources.ledger import sales_ledger, stock_balances
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_abc_shares_and_cumulative_monotone(spark):
-    inv = inventory.inventory_table(sales_ledger(spark, SF))
+    inv = inventory.inventory_table(sales_ledger(spark, SF), stock_balances(spark, SF))
     summ = inventory.abc_summary(inv).collect()
     assert abs(sum(r.revenue_pct for r in summ) - 100.0) < 1e-9
     assert abs(sum(r.pct_of_catalog for r in summ) - 100.0) < 1e-9

@@ -15,7 +15,7 @@ from tillroll.plans.catalog import register
 from tillroll.plans.customers import CUTOFF, HORIZON, customer_features_sql, pred_sql
 from tillroll.plans.demand import DAILY_SQL_CTE, WEEKLY_SQL_CTE
 from tillroll.plans.inventory import HEALTH_EXPR, HEALTH_SQL, inventory_sql, master_sql
-from tillroll.sources.ledger import ledger_sql, sales_ledger
+from tillroll.sources.ledger import ledger_sql, sales_ledger, stock_balances
 
 SEG_RULE = ("CASE WHEN customer_loyalty_score >= 7 THEN 'Cluster 0' WHEN customer_loyalty_score >= 4 "
             "THEN 'Cluster 1' ELSE 'Cluster 2' END")
@@ -246,7 +246,7 @@ SELECT *, CASE WHEN health_score >= 80.0 THEN 'good' WHEN health_score >= 50.0 T
 FROM x""")
 def executive_kpis(spark, sf_dir):
     led, seg, pred = _views(spark, sf_dir)
-    inv = iv.inventory_table(led)
+    inv = iv.inventory_table(led, stock_balances(spark, sf_dir))
     return de.executive_kpis(seg, pred, iv.health_score(inv), inv, iv.reorder_recommendations(inv, 100))
 
 
@@ -350,7 +350,7 @@ SELECT *, (CASE WHEN high_risk_customers > 100 THEN 1 ELSE 0 END) + (CASE WHEN c
 FROM x""")
 def alert_summary(spark, sf_dir):
     led, _, pred = _views(spark, sf_dir)
-    return de.alert_summary(pred, iv.inventory_table(led), fc.demand_alerts(_future(spark, sf_dir)))
+    return de.alert_summary(pred, iv.inventory_table(led, stock_balances(spark, sf_dir)), fc.demand_alerts(_future(spark, sf_dir)))
 
 
 @register("history_tail", "T7", "date date, weekly_sales_amount double",
@@ -543,7 +543,7 @@ SELECT (SELECT count(*) FROM pred WHERE risk_category = 'High Risk') AS high_ris
 FROM ch""")
 def executive_briefing(spark, sf_dir):
     led, _, pred = _views(spark, sf_dir)
-    inv = iv.inventory_table(led)
+    inv = iv.inventory_table(led, stock_balances(spark, sf_dir))
     hr = pred.agg(F.sum(F.when(F.col("risk_category") == "High Risk", 1).otherwise(0)).alias("high_risk_customers"))
     cp = inv.agg(F.sum(F.when((F.col("risk_category") == "Critical") | (F.col("stockout_probability") >= 0.5)
                               | (F.col("reorder_urgency") >= 0.6), 1).otherwise(0)).alias("critical_products"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from tillroll.functions.numeric import normal_sf_sql, round_half_up_sql, xmean_sql, xsum_sql
 from tillroll.operators import inventory as iv
 from tillroll.plans.catalog import register
-from tillroll.sources.ledger import ledger_sql, sales_ledger
+from tillroll.sources.ledger import balances_sql, ledger_sql, sales_ledger, stock_balances
 
 SALES = ledger_sql()
 MIN_HOLD = repr(iv.MIN_UNIT_COST * iv.HOLDING_COST_RATE)
@@ -15,7 +15,6 @@ def inventory_sql(name: str = "inv", with_sales: bool = True) -> str:
     pol = ", ".join(f"('{c}', {sl}::DOUBLE, {z}::DOUBLE, {lt})" for c, sl, z, lt in iv.ABC_POLICY)
     z = "((simulated_current_stock - avg_daily_demand * CAST(lead_time AS DOUBLE)) / (demand_std_dev * sqrt(CAST(lead_time AS DOUBLE)) + 1e-5))"
     prob = round_half_up_sql(f"least(greatest({normal_sf_sql(z)}, 0.0::DOUBLE), 1.0::DOUBLE)", 4)
-    u = "(CAST(('0x' || substr(md5('42:' || product_id), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
     head = f"sales AS ({SALES}),\n" if with_sales else ""
     return head + f"""
 span AS (SELECT date_diff('day', min(CAST(date AS DATE)), max(CAST(date AS DATE))) + 1 AS total_days FROM sales),
@@ -44,8 +43,10 @@ ip2 AS (SELECT *, avg_daily_demand * CAST(lead_time AS DOUBLE) + safety_stock AS
                greatest(0.0::DOUBLE, avg_daily_demand * 365.0::DOUBLE) AS annual_demand,
                greatest(0.2::DOUBLE * unit_cost, {MIN_HOLD}::DOUBLE) AS holding_cost_per_unit FROM ip),
 ip3 AS (SELECT *, sqrt(greatest(0.0::DOUBLE, 2.0::DOUBLE * annual_demand * 50.0::DOUBLE) / holding_cost_per_unit) AS eoq FROM ip2),
-stk AS (SELECT *, greatest(0.0::DOUBLE, (safety_stock + avg_daily_demand * lead_time) * (0.1::DOUBLE + 1.9::DOUBLE * {u}))
-                  AS simulated_current_stock FROM ip3),
+balances AS ({balances_sql()}),
+latest AS (SELECT product_id, arg_max(stock, as_of) AS on_hand FROM balances GROUP BY product_id),
+stk AS (SELECT ip3.*, coalesce(on_hand, 0.0::DOUBLE) AS simulated_current_stock
+        FROM ip3 LEFT JOIN latest ON ip3.product_id = latest.product_id),
 {name} AS (
   SELECT *,
     CASE WHEN avg_daily_demand > 0 THEN simulated_current_stock / avg_daily_demand ELSE 999.0::DOUBLE END AS days_to_stockout,
@@ -73,7 +74,7 @@ MASTER_SCHEMA = ("product_id string, abc_class string, service_level double, lea
 
 
 def _inv(spark, sf_dir):
-    return iv.inventory_table(sales_ledger(spark, sf_dir))
+    return iv.inventory_table(sales_ledger(spark, sf_dir), stock_balances(spark, sf_dir))
 
 
 @register("inventory_master", "K6 K7 K8 K9 K10 K12 J10 A21 K3 F15 W11 S12", MASTER_SCHEMA,
@@ -203,7 +204,7 @@ s AS (SELECT count(DISTINCT product_id) AS source_products FROM sales)
 SELECT g.*, s.source_products, CASE WHEN inventory_products = source_products THEN 1 ELSE 0 END AS product_count_matches FROM g, s""")
 def inventory_checks(spark, sf_dir):
     led = sales_ledger(spark, sf_dir)
-    return iv.inventory_checks(iv.inventory_table(led), led)
+    return iv.inventory_checks(iv.inventory_table(led, stock_balances(spark, sf_dir)), led)
 
 
 @register("product_recommendations", "K20 K19",
@@ -311,13 +312,11 @@ def inventory_audit(spark, sf_dir):
 
 
 @register("inventory_with_balances", "K9 K10 K12", MASTER_SCHEMA, sql=f"""WITH {inventory_sql("inv0")},
-snap AS (
-  SELECT product_id, DATE '2001-07-01' AS as_of, simulated_current_stock * 0.5::DOUBLE AS stock FROM inv0
-  UNION ALL SELECT product_id, DATE '2001-08-01', simulated_current_stock FROM inv0),
-latest AS (SELECT product_id, arg_max(stock, as_of) AS s FROM snap GROUP BY product_id),
+older AS (SELECT product_id, arg_max(stock, as_of) AS s FROM balances
+          WHERE as_of <= (SELECT max(as_of) - 180 FROM balances) GROUP BY product_id),
 inv1 AS (SELECT inv0.* EXCLUDE (simulated_current_stock, days_to_stockout, reorder_urgency, stockout_probability, risk_category),
-                coalesce(latest.s, 0.0) AS simulated_current_stock
-         FROM inv0 LEFT JOIN latest ON inv0.product_id = latest.product_id),
+                coalesce(older.s, 0.0) AS simulated_current_stock
+         FROM inv0 LEFT JOIN older ON inv0.product_id = older.product_id),
 inv AS (
   SELECT *,
     CASE WHEN avg_daily_demand > 0 THEN simulated_current_stock / avg_daily_demand ELSE 999.0::DOUBLE END AS days_to_stockout,
@@ -330,15 +329,10 @@ inv AS (
   FROM inv1)
 {master_sql()}""")
 def inventory_with_balances(spark, sf_dir):
-    """K9: a balances table with two snapshots per product (the fixture stock
-    a month earlier at half the level, and on the last day); the latest
-    snapshot per product is attached, missing products get 0."""
+    """K9 with the balances known half a year before the last one: the latest
+    of these per product is attached, products without one get 0."""
     from pyspark.sql import functions as F
-    from tillroll.session import cut_lineage
-    led = sales_ledger(spark, sf_dir)
-    stats = cut_lineage(iv.demand_stats(led))
-    pol = iv.inventory_policy(iv.abc_classify(stats))
-    cur = iv.fixture_stock(pol, "2001-08-01")
-    old = cur.select("product_id", F.to_date(F.lit("2001-07-01")).alias("as_of"), (F.col("stock") * 0.5).alias("stock"))
-    inv = iv.stockout_risk(iv.attach_stock(pol, cur.unionByName(old)))
-    return iv.inventory_master(inv)
+    balances = stock_balances(spark, sf_dir)
+    cut = balances.agg(F.date_sub(F.max("as_of"), 180).alias("_cut"))  # one row
+    known = balances.crossJoin(F.broadcast(cut)).where(F.col("as_of") <= F.col("_cut")).drop("_cut")
+    return iv.inventory_master(iv.inventory_table(sales_ledger(spark, sf_dir), known))

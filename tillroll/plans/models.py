@@ -23,7 +23,7 @@ from tillroll.plans.decisions import NAIVE_CTE
 from tillroll.plans.inventory import HEALTH_EXPR, HEALTH_SQL, inventory_sql
 from tillroll.plans.quality import SKEW_COLS, _std_sql
 from tillroll.session import cut_lineage
-from tillroll.sources.ledger import sales_ledger
+from tillroll.sources.ledger import sales_ledger, stock_balances
 
 CHURN_FEATURES = [c for c in cu.CHURN_COLUMNS if c not in ("customer_id", "true_churn_flag")]
 SEG_RULE = ("CASE WHEN customer_loyalty_score >= 7 THEN 'Cluster 0' WHEN customer_loyalty_score >= 4 "
@@ -216,7 +216,7 @@ def model_registry(spark, sf_dir):
     d = ts.densify_daily(ts.daily_sales(led), ["sales_amount", "quantity_sold"])
     fm = fc.forecast_metrics(fc.naive_daily_predictions(d).filter(F.col("split") == "Test")).select(
         F.lit("demand_forecasting").alias("module"), F.lit("test_mape").alias("metric"), F.col("mape").alias("value"))
-    hs = iv.health_score(iv.inventory_table(led)).select(
+    hs = iv.health_score(iv.inventory_table(led, stock_balances(spark, sf_dir))).select(
         F.lit("inventory").alias("module"), F.lit("health_score").alias("metric"), F.col("health_score").alias("value"))
     rows = auc.unionByName(fm).unionByName(hs)
     ok = (F.when(F.col("metric") == "roc_auc", F.col("value") >= 0.7)

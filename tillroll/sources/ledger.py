@@ -133,3 +133,21 @@ def ledger_sql(with_region: bool = False, returns: bool = True) -> str:
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     {region_join}
     """
+
+
+def stock_balances(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
+    """Stock balances (product_id, as_of, stock) from the given tables: the units of
+    a product that came back (``l_returnflag = 'R'``) on one shipping day are what
+    is on hand that day.  ``until`` keeps the days up to a date."""
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    day = F.col("l_shipdate").cast("date")
+    if until:
+        li = li.where(day <= F.lit(until).cast("date"))
+    return li.groupBy(F.col("l_partkey").cast("string").alias("product_id"), day.alias("as_of")).agg(
+        F.sum("l_quantity").alias("stock"))
+
+
+def balances_sql() -> str:
+    """The same balances as a query body (used by the oracles)."""
+    return """SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_shipdate AS DATE) AS as_of, sum(l_quantity) AS stock
+  FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2"""
