@@ -114,11 +114,11 @@ def loyalty_and_rank(base: DataFrame) -> DataFrame:
     def quint(rn):
         return F.when(n <= 1, 1).otherwise(F.greatest(F.lit(1), F.ceil(5.0 * (F.col(rn) - 1) / (n - 1))))
     m = m.withColumn("_f", quint("rn_f")).withColumn("_m", quint("rn_m"))
-    qm = ranking.quantiles_from_index(m, "monetary", {"_q90": HIGH_VALUE_QUANTILE}, "rn_m", "n_rows")
-    qr = ranking.quantiles_from_index(m, "recency", {"_e1": 0.2, "_e2": 0.4, "_e3": 0.6, "_e4": 0.8}, "rn_r", "n_rows")
+    qm = ranking.quantiles_from_index(m, "monetary", {"_q90": HIGH_VALUE_QUANTILE}, "rn_m", "n_m")
+    qr = ranking.quantiles_from_index(m, "recency", {"_e1": 0.2, "_e2": 0.4, "_e3": 0.6, "_e4": 0.8}, "rn_r", "n_r")
     # rank descending, ties → minimum = n − (last ascending position of the value) + 1
-    last = m.groupBy("monetary").agg(F.max("rn_m").alias("_last_rm"))
-    m = m.join(last, "monetary").withColumn("customer_rank_by_revenue", (n - F.col("_last_rm") + 1).cast("long"))
+    m = ranking.tie_edge(m, "monetary", "rn_m", "_last_rm", first=False)
+    m = m.withColumn("customer_rank_by_revenue", (F.col("n_m") - F.col("_last_rm") + 1).cast("long"))
     m = m.crossJoin(F.broadcast(qm.crossJoin(qr)))  # one-row scalars
     m = m.withColumn("high_value_customer_flag", F.when(F.col("monetary") >= F.col("_q90"), 1).otherwise(0))
     # recency quintile (qcut on values, labels 5..1; first edge ≥ value wins, D14)
@@ -127,7 +127,7 @@ def loyalty_and_rank(base: DataFrame) -> DataFrame:
     comp = (LOYALTY_WEIGHTS["recency"] * r_score + LOYALTY_WEIGHTS["frequency"] * F.col("_f")
             + LOYALTY_WEIGHTS["monetary"] * F.col("_m"))
     m = m.withColumn("customer_loyalty_score", round_half_up(1.0 + (comp - 1.0) * (9.0 / 4.0), 2))
-    return m.drop("_f", "_m", "rn_f", "rn_m", "rn_r", "n_rows", "_q90", "_last_rm", "_e1", "_e2", "_e3", "_e4")
+    return m.drop("_f", "_m", "rn_f", "rn_m", "rn_r", "n_rows", "n_f", "n_m", "n_r", "_q90", "_last_rm", "_e1", "_e2", "_e3", "_e4")
 
 
 def customer_features(sales: DataFrame, as_of: str | None = None) -> DataFrame:

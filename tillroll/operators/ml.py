@@ -52,24 +52,25 @@ def kmeans_segments(df: DataFrame, cols: Sequence[str], k: int = 3, restarts: in
 def silhouette_sq(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """M3 mean silhouette with squared Euclidean distance in closed form
     (linear cost, no point pairs): per cluster n, Σy and Σ‖y‖² are enough
-    for the mean distance of a point to every cluster.  Singletons score 0."""
+    for the mean distance of a point to every cluster.  The k cluster sums
+    travel as one broadcast array row, so every point stays one row (equal
+    points count each).  Singletons score 0."""
     sq = sum(F.col(c) * F.col(c) for c in cols)
-    pts = df.select(F.col(cluster).alias("_own"), *[F.col(c).alias(f"x_{i}") for i, c in enumerate(cols)],
-                    sq.alias("_xx"))
-    stats = df.groupBy(F.col(cluster).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(sq).alias("_yy"),
-        *[F.sum(c).alias(f"s_{i}") for i, c in enumerate(cols)])
-    # every point meets every cluster: rows × k, k bounded by the model
-    pk = pts.crossJoin(F.broadcast(stats))
-    dot = sum(F.col(f"x_{i}") * F.col(f"s_{i}") for i in range(len(cols)))
-    total = F.col("_n") * F.col("_xx") - 2 * dot + F.col("_yy")
-    own = F.col("_own") == F.col("_k")
-    d = pk.select("_own", "_xx", *[f"x_{i}" for i in range(len(cols))],
-                  F.when(own, F.when(F.col("_n") > 1, total / (F.col("_n") - 1))).alias("_a"),
-                  F.when(~own, total / F.col("_n")).alias("_b"), F.when(own, F.col("_n")).alias("_own_n"))
-    per = d.groupBy("_own", "_xx", *[f"x_{i}" for i in range(len(cols))]).agg(
-        F.max("_a").alias("a"), F.min("_b").alias("b"), F.max("_own_n").alias("own_n"))
-    s = F.when((F.col("own_n") <= 1) | F.col("b").isNull(), 0.0).otherwise(
+    stats = df.groupBy(F.col(cluster).alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(sq).alias("yy"), F.array(*[F.sum(c) for c in cols]).alias("s"))
+    sums = stats.agg(F.collect_list(F.struct("k", "n", "yy", "s")).alias("_sums"))  # k entries
+    pts = df.select(F.col(cluster).alias("_own"), F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"),
+                    sq.alias("_xx")).crossJoin(F.broadcast(sums))
+
+    def total(g):
+        dot = F.aggregate(F.zip_with(F.col("_x"), g["s"], lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+        return g["n"] * F.col("_xx") - 2 * dot + g["yy"]
+
+    mine = F.get(F.filter("_sums", lambda g: g["k"].eqNullSafe(F.col("_own"))), F.lit(0))
+    a = F.when(mine["n"] > 1, total(mine) / (mine["n"] - 1))
+    b = F.array_min(F.transform(F.filter("_sums", lambda g: ~g["k"].eqNullSafe(F.col("_own"))), lambda g: total(g) / g["n"]))
+    per = pts.select(a.alias("a"), b.alias("b"))
+    s = F.when(F.col("a").isNull() | F.col("b").isNull() | (F.greatest("a", "b") == 0), 0.0).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b"))
     return per.agg(exact_mean(s).alias("silhouette"), F.count(F.lit(1)).alias("points"))
 

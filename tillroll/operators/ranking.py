@@ -186,16 +186,28 @@ def row_numbers_multi(df: DataFrame, id_col: str, orderings: dict[str, tuple[str
     """Several global orderings of one table in a single range-partitioned
     pass: rows are unpivoted to (ordering, value, id), numbered within each
     ordering, and pivoted back.  Adds ``rn_<name>`` (ties broken by
-    ``id_col``) and ``n_rows``.  Values must be numeric (descending orders
-    negate the value)."""
+    ``id_col``, nulls last), ``n_rows`` and ``n_<name>``, the number of
+    non-null values.  Values must be numeric (descending orders negate the
+    value)."""
     parts = [df.select(F.col(id_col), F.lit(name).alias("_o"),
                        (F.col(col).cast("double") if asc else -F.col(col).cast("double")).alias("_v"))
              for name, (col, asc) in orderings.items()]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    rn = row_number_global(long, [F.col("_v").asc(), F.col(id_col).asc()], ["_o"], out="_rn",
+    rn = row_number_global(long, [F.col("_v").asc_nulls_last(), F.col(id_col).asc()], ["_o"], out="_rn",
                            size_out="_n", num_partitions=num_partitions)
     wide = rn.groupBy(id_col).agg(*[F.max(F.when(F.col("_o") == name, F.col("_rn"))).alias(f"rn_{name}")
                                     for name in orderings], F.max("_n").alias("n_rows"))
-    return df.join(wide, id_col)
+    known = df.agg(*[F.count(col).alias(f"n_{name}") for name, (col, _) in orderings.items()])  # one row
+    return df.join(wide, id_col).crossJoin(F.broadcast(known))
+
+
+def tie_edge(df: DataFrame, value: str, rn: str, out: str, first: bool = True) -> DataFrame:
+    """Adds ``out``: the first (or last) position ``rn`` among the rows with an equal
+    ``value``; null where the value is null.  One row per distinct value is joined
+    back null-safely, so no row is lost and AQE can split a hot value."""
+    edge = (F.min if first else F.max)(rn)
+    ties = df.groupBy(F.col(value).alias("_tie")).agg(edge.alias("_edge"))
+    x = df.join(ties, df[value].eqNullSafe(ties["_tie"]), "left")
+    return x.withColumn(out, F.when(F.col(value).isNotNull(), F.col("_edge")).cast("long")).drop("_tie", "_edge")

@@ -303,19 +303,19 @@ def global_seasonality(sales: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- audits
 def gap_audit(df: DataFrame, date_col: str = "date", step_days: int = 1,
-              group: Sequence[str] = ()) -> DataFrame:
+              group: Sequence[str] = (), sequence: str | None = None) -> DataFrame:
     """W19/W20 per series: rows, span, distinct dates, missing dates in the
-    span, steps different from ``step_days``, out-of-order steps."""
-    w = _w(date_col, group)
-    prev = F.lag(date_col, 1).over(w)
-    step = F.datediff(F.col(date_col), prev)
-    x = df.select(*group, date_col, step.alias("_step"))
+    span, steps different from ``step_days``, and, in the order of the column
+    ``sequence`` (not of the date under audit), the steps back in time."""
+    step = F.datediff(F.col(date_col), F.lag(date_col, 1).over(_w(date_col, group)))
+    back = F.lit(False) if sequence is None else F.lag(date_col, 1).over(_w(sequence, group)) > F.col(date_col)
+    x = df.select(*group, date_col, step.alias("_step"), back.alias("_back"))
     g = x.groupBy(*group).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"),
         F.countDistinct(date_col).alias("distinct_dates"),
         F.sum(F.when(F.col("_step") != step_days, 1).otherwise(0)).alias("irregular_steps"),
-        F.sum(F.when(F.col("_step") < 0, 1).otherwise(0)).alias("out_of_order"))
+        F.sum(F.when(F.col("_back"), 1).otherwise(0)).alias("out_of_order"))
     expected = F.floor(F.datediff("last_date", "first_date") / step_days) + 1
     return g.withColumn("missing_dates", (expected - F.col("distinct_dates")).cast("long"))
 

@@ -210,15 +210,20 @@ def seasonal_decompose(spark, sf_dir):
           "product_id string, rows bigint, first_date date, last_date date, distinct_dates bigint, "
           "irregular_steps bigint, out_of_order bigint, missing_dates bigint", sql=f"""
 WITH sales AS ({SALES}),
-pd AS (SELECT DISTINCT CAST(date AS DATE) AS date, product_id FROM sales),
-st AS (SELECT product_id, date, date_diff('day', lag(date) OVER (PARTITION BY product_id ORDER BY date), date) AS step FROM pd)
+pd AS (SELECT CAST(date AS DATE) AS date, product_id, min(CAST(ltrim(transaction_id, 'C') AS BIGINT)) AS seq FROM sales GROUP BY 1, 2),
+st AS (SELECT product_id, date, date_diff('day', lag(date) OVER (PARTITION BY product_id ORDER BY date), date) AS step,
+              lag(date) OVER (PARTITION BY product_id ORDER BY seq) > date AS back FROM pd)
 SELECT product_id, count(*) AS rows, min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS distinct_dates,
-       count(*) FILTER (WHERE step <> 1) AS irregular_steps, count(*) FILTER (WHERE step < 0) AS out_of_order,
+       count(*) FILTER (WHERE step <> 1) AS irregular_steps, count(*) FILTER (WHERE back) AS out_of_order,
        floor(date_diff('day', min(date), max(date)) / 1) + 1 - count(DISTINCT date) AS missing_dates
 FROM st GROUP BY product_id""")
 def daily_gap_audit(spark, sf_dir):
-    pd = ts.product_daily(sales_ledger(spark, sf_dir)).select("date", "product_id")
-    return ts.gap_audit(pd, "date", 1, ["product_id"])
+    """The order under audit is that of the ledger's order numbers."""
+    from pyspark.sql import functions as F
+    from tillroll.functions import calendar as cal
+    number = F.ltrim(F.col("transaction_id"), F.lit("C")).cast("long")
+    pd = sales_ledger(spark, sf_dir).groupBy("product_id", cal.day("date").alias("date")).agg(F.min(number).alias("seq"))
+    return ts.gap_audit(pd, "date", 1, ["product_id"], "seq")
 
 
 @register("weekly_trend", "W23 W24", "slope double, intercept double, time_corr double, n bigint", sql=f"""
