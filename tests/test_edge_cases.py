@@ -19,7 +19,8 @@ def ts(s):
 
 def ledger(spark, rows):
     from decimal import Decimal
-    full = [(r[0], "src", ts(r[1]), r[2], r[3], float(r[4]), float(r[5]), Decimal(str(r[6])), "EU") for r in rows]
+    full = [(r[0], "src", ts(r[1]), r[2], r[3], None if r[4] is None else float(r[4]), float(r[5]),
+             None if r[6] is None else Decimal(str(r[6])), "EU") for r in rows]
     return spark.createDataFrame(full, SALES_SCHEMA)
 
 
@@ -181,3 +182,43 @@ def test_product_panel_calendar_option(spark):
         "product_id = 'P'").orderBy("date").collect()
     assert len(sparse) == 2 and sparse[1].product_lag_1_qty == 2.0
     assert [r.daily_quantity_sold for r in dense] == [2.0, 0.0, 0.0, 4.0] and dense[3].product_lag_1_qty == 0.0
+
+
+def test_silhouette_counts_equal_points(spark):
+    from tillroll.operators import ml
+    rows = [("a", 0.0, 0.0), ("a", 0.0, 0.0), ("a", 1.0, 0.0), ("b", 5.0, 5.0), ("b", 5.0, 5.0), ("b", 6.0, 5.0)]
+    got = ml.silhouette_sq(spark.createDataFrame(rows, "cluster string, x double, y double"), ["x", "y"]).first()
+    want = []
+    for i, (k, x, y) in enumerate(rows):
+        d = {c: [(x - u) ** 2 + (y - v) ** 2 for j, (c2, u, v) in enumerate(rows) if c2 == c and j != i] for c in "ab"}
+        a = sum(d[k]) / len(d[k])
+        b = min(sum(v) / len(v) for c, v in d.items() if c != k)
+        want.append((b - a) / max(a, b))
+    assert got.points == 6 and abs(got.silhouette - sum(want) / 6) < 1e-9
+
+
+def test_ranks_keep_rows_with_null_values(spark):
+    from tillroll.operators import ranking
+    df = spark.createDataFrame([("p1", 5.0), ("p2", None), ("p3", 5.0), ("p4", 9.0)], "id string, v double")
+    m = ranking.row_numbers_multi(df, "id", {"d": ("v", False), "a": ("v", True)})
+    out = {r.id: r for r in ranking.tie_edge(m, "v", "rn_d", "rank").collect()}
+    assert {k: r["rank"] for k, r in out.items()} == {"p4": 1, "p1": 2, "p3": 2, "p2": None}
+    assert all(r.n_d == 3 and r.n_rows == 4 for r in out.values()) and out["p2"].rn_a == 4
+
+
+def test_customers_and_products_without_amounts_stay(spark):
+    rows = [("1", "2020-01-01", "c1", "A1", 1, 50.0, 50.0), ("2", "2020-01-02", "c2", "A2", 2, 10.0, None),
+            ("3", "2020-01-03", "c3", "A3", 1, 1.0, 1.0), ("4", "2020-01-03", "c4", "A4", None, 1.0, 1.0)]
+    led = ledger(spark, rows)
+    cust = {r.customer_id: r for r in customers.customer_features(led).collect()}
+    assert set(cust) == {"c1", "c2", "c3", "c4"} and cust["c2"].customer_rank_by_revenue is None
+    assert [cust[c].customer_rank_by_revenue for c in ("c1", "c3", "c4")] == [1, 2, 2]
+    prod = {r.product_id: r for r in inventory.product_features(led).collect()}
+    assert set(prod) == {"A1", "A2", "A3", "A4"}
+    assert prod["A1"].product_rank_by_revenue == 1 and prod["A2"].product_rank_by_revenue is None
+
+
+def test_out_of_order_steps_follow_the_sequence(spark):
+    rows = [("x", dt.date(2020, 1, 1), 1), ("x", dt.date(2020, 1, 3), 2), ("x", dt.date(2020, 1, 2), 3), ("y", dt.date(2020, 1, 5), 1)]
+    out = {r.g: r for r in timeseries.gap_audit(spark.createDataFrame(rows, "g string, date date, seq int"), "date", 1, ["g"], "seq").collect()}
+    assert out["x"].out_of_order == 1 and out["x"].irregular_steps == 0 and out["y"].out_of_order == 0

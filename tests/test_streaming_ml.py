@@ -32,6 +32,42 @@ def test_surge_alerts_chain_previous_window(spark):
         by[r.event_type] = r.total_value
 
 
+def _event_files(spark, folder):
+    """Files read one a batch: a late row of a closed day (Spark drops by the watermark of
+    the batch before), a repeated id, a last open day."""
+    day = lambda d, h: f"2024-01-{d:02d} {h:02d}:00:00"
+    files = [[(1, day(1, 1), "a", 1.0), (2, day(1, 2), "a", 2.0), (2, day(1, 2), "a", 2.0)],
+             [(3, day(5, 1), "a", 4.0), (1, day(5, 2), "b", 1.0)],
+             [(6, day(6, 1), "b", 1.0)],
+             [(4, day(1, 3), "a", 100.0), (5, day(9, 1), "a", 8.0), (3, day(5, 1), "a", 4.0)]]
+    for k, rows in enumerate(files):
+        df = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double")
+        df.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema("event_id long, ts timestamp, event_type string, value double").option(
+        "maxFilesPerTrigger", 1).parquet(folder), spark.read.parquet(folder)
+
+
+def test_late_rows_and_open_windows_over_several_files(spark, tmp_path):
+    stream, batch = _event_files(spark, str(tmp_path / "events"))
+    closed = ev.run_to_table(ev.windowed_totals(stream), "late")
+    out = closed.unionByName(ev.open_windows(batch)).orderBy("window_start", "event_type").collect()
+    assert [(r.window_start.day, r.event_type, r.events, r.total_value) for r in out] == [
+        (1, "a", 3, 5.0), (5, "a", 2, 8.0), (5, "b", 1, 1.0), (6, "b", 1, 1.0), (9, "a", 1, 8.0)]
+
+
+def test_alerts_hand_over_between_batches(spark, tmp_path):
+    stream, batch = _event_files(spark, str(tmp_path / "events"))
+    out = ev.run_surge_alerts(ev.windowed_totals(stream), "several", ev.open_windows(batch)).orderBy("window_start")
+    own = [(r.window_start.day, r.previous_total is None) for r in out.collect() if r.event_type == "a"]
+    assert own == [(1, True), (5, False), (9, False)]
+
+
+def test_repeated_ids_over_several_files(spark, tmp_path):
+    stream, _ = _event_files(spark, str(tmp_path / "events"))
+    ids = [r.event_id for r in ev.run_to_table(ev.dedupe_events(stream, delay="30 days"), "ids").collect()]
+    assert sorted(ids) == [1, 2, 3, 4, 5, 6]
+
+
 def test_binary_metrics_auc_matches_pairwise(spark):
     df = spark.createDataFrame([(f"c{i}", y, p) for i, (y, p) in enumerate(
         [(1, 0.9), (0, 0.8), (1, 0.8), (0, 0.1), (1, 0.4), (0, 0.4)])], "customer_id string, y int, p double")

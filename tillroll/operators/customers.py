@@ -161,17 +161,17 @@ def leakage_audit(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     is constant), severity level and constant-feature flag; one row per feature."""
     aggs = []
     for c in features:
-        aggs += [safe_corr(c, label).alias(f"r__{c}"), F.countDistinct(c).alias(f"d__{c}")]
+        aggs += [safe_corr(c, label).alias(f"r__{c}"), (F.min(c).eqNullSafe(F.max(c))).alias(f"d__{c}")]
     guarded = df.agg(*aggs)
     rows = F.explode(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(f"r__{c}").alias("correlation"),
-        F.col(f"d__{c}").alias("n_distinct")) for c in features]))
+        F.col(f"d__{c}").alias("constant")) for c in features]))
     out = guarded.select(rows.alias("r")).select("r.*")
     a = F.abs("correlation")
     return out.select(
         "feature", "correlation", a.alias("abs_correlation"),
         F.when(a > 0.95, "fail").when(a > 0.90, "high").when(a > 0.70, "medium").otherwise("ok").alias("leakage_level"),
-        F.when(F.col("n_distinct") <= 1, 1).otherwise(0).alias("is_constant"))
+        F.col("constant").cast("int").alias("is_constant"))
 
 
 def risk_band(p) -> Column:

@@ -72,7 +72,7 @@ def silhouette_sq(df: DataFrame, cols: Sequence[str], cluster: str = "cluster")
     per = pts.select(a.alias("a"), b.alias("b"))
     s = F.when(F.col("a").isNull() | F.col("b").isNull() | (F.greatest("a", "b") == 0), 0.0).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return per.agg(exact_mean(s).alias("silhouette"), F.count(F.lit(1)).alias("points"))
+    return per.agg(F.avg(s).alias("silhouette"), F.count(F.lit(1)).alias("points"))
 
 
 def davies_bouldin(df: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:

@@ -36,11 +36,19 @@ merged AS (
   FROM seg s FULL OUTER JOIN pred p ON s.customer_id = p.customer_id)"""
 
 
+def _segments(led):
+    return de.segmentation_table(cu.customer_features(led))
+
+
+def _scores(led):
+    return cu.rule_churn_scores(cu.churn_dataset(led, CUTOFF, HORIZON))
+
+
 def _views(spark, sf_dir):
+    """Ledger, segmentation and churn scores; a plan that needs one of the two builds
+    only that one (each is materialised when built)."""
     led = sales_ledger(spark, sf_dir)
-    seg = de.segmentation_table(cu.customer_features(led))
-    pred = cu.rule_churn_scores(cu.churn_dataset(led, CUTOFF, HORIZON))
-    return led, seg, pred
+    return led, _segments(led), _scores(led)
 
 
 # columns that are null on one side of the outer join are declared double
@@ -147,7 +155,7 @@ SELECT o.cluster, seg_order, CASE o.cluster {SEG_LABELS} ELSE o.cluster END AS s
        avg_recency, avg_frequency, avg_monetary, avg_basket, avg_tenure
 FROM o LEFT JOIN g ON o.cluster = g.cluster""")
 def segment_profile(spark, sf_dir):
-    _, seg, _ = _views(spark, sf_dir)
+    seg = _segments(sales_ledger(spark, sf_dir))
     return de.segment_profile(seg)
 
 
@@ -167,7 +175,7 @@ mem AS (SELECT * FROM seg WHERE customer_id IN (SELECT customer_id FROM seg WHER
     quantile_cont(CAST({c} AS DOUBLE), 0.5) AS cluster_median FROM mem)""" for c in AUDIT_COLS) + "\n" +
           " UNION ALL ".join(f"SELECT * FROM a_{c}" for c in AUDIT_COLS))
 def cluster_audit(spark, sf_dir):
-    _, seg, _ = _views(spark, sf_dir)
+    seg = _segments(sales_ledger(spark, sf_dir))
     return de.cluster_audit(seg, "Cluster 1", AUDIT_COLS)
 
 
@@ -190,7 +198,7 @@ SELECT count(*) AS customers, count(*) FILTER (WHERE monetary > 10000) AS ultra_
        max(CASE WHEN frequency > 20 THEN frequency END) AS high_freq_max_frequency
 FROM seg""")
 def outlier_profile(spark, sf_dir):
-    _, seg, _ = _views(spark, sf_dir)
+    seg = _segments(sales_ledger(spark, sf_dir))
     return de.outlier_profile(seg)
 
 
@@ -198,7 +206,7 @@ def outlier_profile(spark, sf_dir):
           sql=f"""WITH {SEG_CTE}
 SELECT customer_id, monetary, frequency, recency, cluster FROM seg ORDER BY monetary DESC, customer_id LIMIT 20""")
 def top_spenders(spark, sf_dir):
-    _, seg, _ = _views(spark, sf_dir)
+    seg = _segments(sales_ledger(spark, sf_dir))
     return de.top_k(seg, "monetary", 20, "customer_id").select("customer_id", "monetary", "frequency", "recency", "cluster")
 
 
@@ -207,7 +215,7 @@ def top_spenders(spark, sf_dir):
 SELECT customer_id, churn_probability, risk_category, monetary FROM pred
 ORDER BY churn_probability DESC, customer_id LIMIT 20""")
 def top_risk_customers(spark, sf_dir):
-    _, _, pred = _views(spark, sf_dir)
+    pred = _scores(sales_ledger(spark, sf_dir))
     return de.top_k(pred, "churn_probability", 20, "customer_id").select(
         "customer_id", "churn_probability", "risk_category", "monetary")
 
@@ -236,7 +244,7 @@ s AS (SELECT count(*) AS total_customers, {xsum_sql('monetary')} AS total_revenu
              count(*) FILTER (WHERE high_value_customer_flag = 1) AS high_value_customers FROM seg),
 c AS (SELECT count(*) FILTER (WHERE risk_category = 'High Risk') AS high_risk_customers, count(*) AS scored FROM pred),
 i AS (SELECT count(*) FILTER (WHERE risk_category = 'Critical') AS critical_products FROM inv),
-r AS (SELECT count(*) AS reorder_recommendations FROM (SELECT 1 FROM m WHERE risk_category IN ('Critical', 'High') LIMIT 100)),
+r AS (SELECT count(*) AS reorder_recommendations FROM (SELECT 1 FROM m WHERE risk_category IN ('Critical', 'High'))),
 x AS (SELECT s.*, c.high_risk_customers, {HEALTH_EXPR} AS health_score, i.critical_products, r.reorder_recommendations,
              CASE WHEN total_customers > 0 THEN total_revenue / total_customers ELSE 0.0 END AS avg_customer_value,
              CASE WHEN scored > 0 THEN high_risk_customers * 100.0::DOUBLE / scored ELSE 0.0 END AS high_risk_pct
@@ -247,7 +255,7 @@ FROM x""")
 def executive_kpis(spark, sf_dir):
     led, seg, pred = _views(spark, sf_dir)
     inv = iv.inventory_table(led, stock_balances(spark, sf_dir))
-    return de.executive_kpis(seg, pred, iv.health_score(inv), inv, iv.reorder_recommendations(inv, 100))
+    return de.executive_kpis(seg, pred, iv.health_score(inv), inv, iv.reorder_recommendations(inv, None))
 
 
 # ----------------------------------------------------------- forecasting
@@ -349,7 +357,8 @@ SELECT *, (CASE WHEN high_risk_customers > 100 THEN 1 ELSE 0 END) + (CASE WHEN c
        + (CASE WHEN immediate_reorders > 0 THEN 1 ELSE 0 END) + surges + holiday_peaks AS total_alerts
 FROM x""")
 def alert_summary(spark, sf_dir):
-    led, _, pred = _views(spark, sf_dir)
+    led = sales_ledger(spark, sf_dir)
+    pred = _scores(led)
     return de.alert_summary(pred, iv.inventory_table(led, stock_balances(spark, sf_dir)), fc.demand_alerts(_future(spark, sf_dir)))
 
 
@@ -511,7 +520,7 @@ SELECT count(*) AS cohort_size, count(*) FILTER (WHERE risk_category = 'High Ris
 FROM pred""")
 def churn_kpis(spark, sf_dir):
     from tillroll.functions.numeric import exact_mean
-    _, _, pred = _views(spark, sf_dir)
+    pred = _scores(sales_ledger(spark, sf_dir))
     return pred.agg(F.count(F.lit(1)).alias("cohort_size"),
                     F.sum(F.when(F.col("risk_category") == "High Risk", 1).otherwise(0)).alias("high_risk_customers"),
                     exact_mean("churn_probability").alias("mean_churn_probability"),
@@ -525,7 +534,7 @@ SELECT count(DISTINCT customer_id) AS customers, count(DISTINCT cluster) AS segm
        {xmean_sql('monetary')} AS mean_spend FROM seg""")
 def segment_kpis(spark, sf_dir):
     from tillroll.functions.numeric import exact_mean
-    _, seg, _ = _views(spark, sf_dir)
+    seg = _segments(sales_ledger(spark, sf_dir))
     return seg.agg(F.countDistinct("customer_id").alias("customers"), F.countDistinct("cluster").alias("segments"),
                    (F.sum(F.when(F.col("high_value_customer_flag") == 1, 1).otherwise(0)) * 100.0
                     / F.count(F.lit(1))).alias("high_value_share"),
@@ -542,7 +551,8 @@ SELECT (SELECT count(*) FROM pred WHERE risk_category = 'High Risk') AS high_ris
        CASE WHEN chg > 5 THEN 'up' WHEN chg < -5 THEN 'down' ELSE 'flat' END AS forecast_direction, chg AS pct_change_ahead
 FROM ch""")
 def executive_briefing(spark, sf_dir):
-    led, _, pred = _views(spark, sf_dir)
+    led = sales_ledger(spark, sf_dir)
+    pred = _scores(led)
     inv = iv.inventory_table(led, stock_balances(spark, sf_dir))
     hr = pred.agg(F.sum(F.when(F.col("risk_category") == "High Risk", 1).otherwise(0)).alias("high_risk_customers"))
     cp = inv.agg(F.sum(F.when((F.col("risk_category") == "Critical") | (F.col("stockout_probability") >= 0.5)

@@ -51,11 +51,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint dir; only when none is set (local tests)
-    create a scratch one."""
+    """Use the configured checkpoint dir.  Only a local session without one gets a
+    scratch folder: on a cluster executors do not share the driver's disk."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()

@@ -17,7 +17,6 @@ asked for, so most queries keep a single ``lineitem``–``orders`` join.
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,17 +52,23 @@ def _materialised_path(spark, sf_dir, with_region, returns):
     if not base:
         return None
     names = ["lineitem", "orders"] + (["customer", "nation"] if with_region else [])
-    sig = [sf_dir, str(with_region), str(returns), "v3"]
-    try:
-        for n in names:
-            st = os.stat(f"{sf_dir.rstrip('/')}/{n}.parquet")
-            sig += [n, str(st.st_size), str(int(st.st_mtime))]
-    except OSError:
-        return None  # non-local input: keep the lazy join
+    sig = [sf_dir, str(with_region), str(returns), "v4"]
+    for n in names:
+        sig += _listing(spark, f"{sf_dir.rstrip('/')}/{n}.parquet")
     key = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
     return f"{base.rstrip('/')}/tillroll-ledger-{key}"
 
 
+def _listing(spark, path) -> list[str]:
+    """Name, length and change time of every file of a table, from its own store."""
+    fs, p = _fs(spark, path)
+    out, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return sorted(out)
+
+
 def _fs(spark, path):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,8 +83,11 @@ def _exists(spark, path) -> bool:
 def _rename(spark, src, dst) -> None:
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)
-    if not fs.exists(d):
-        fs.rename(s, d)  # atomic on HDFS / local; a concurrent winner keeps its copy
+    if not fs.exists(d) and fs.rename(s, d):  # atomic on HDFS / local
+        return
+    if not _exists(spark, dst):
+        raise OSError(f"the ledger could not be moved to {dst}")
+    fs.delete(s, True)  # a concurrent winner keeps its copy
 
 
 def build_ledger(spark: SparkSession, sf_dir: str, with_region: bool = False,

@@ -74,8 +74,29 @@ def surge_alerts_batch(batch: DataFrame, previous: DataFrame | None, batch_id: i
     return out
 
 
-def run_surge_alerts(daily: DataFrame, name: str = "surge") -> DataFrame:
-    """X3 driver: ``foreachBatch`` over the closed daily windows.  Each batch
+def open_windows(events: DataFrame, size: str = "1 day", slide: str | None = None, delay: str = WATERMARK) -> DataFrame:
+    """The windows that are still open at the end of a finite input: a stream in
+    append mode never emits them, as no later event moves the watermark past them.
+    Their rows cannot be late.  ``events`` is the input read as a batch."""
+    # the watermark rounds down to milliseconds
+    end = events.agg((F.date_trunc("millisecond", F.max("ts")) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
+    totals = windowed_totals(events, size, slide, delay)
+    return totals.crossJoin(F.broadcast(end)).where(F.col("window_end") > F.col("_mark")).drop("_mark")  # one row
+
+
+def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a batch, with the stream's timestamp type."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def run_surge_alerts(daily: DataFrame, name: str = "surge", still_open: DataFrame | None = None) -> DataFrame:
+    """X3 driver: ``foreachBatch`` over the closed daily windows; the windows that are
+    ``still_open`` at the end of the input follow as a last batch.  Each batch
     is written to its own ``batch_id=`` folder with overwrite, so a replayed
     batch replaces rather than duplicates its output; only the last closed
     window per event type (earlier batches) is read back as context."""
@@ -83,24 +104,27 @@ def run_surge_alerts(daily: DataFrame, name: str = "surge") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     run = f"{base}/tillroll-stream-{name}-{uuid.uuid4().hex[:12]}"
     out_path = f"{run}/alerts"
+    last: list[int] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
         prev = None
-        try:
-            hist = batch.sparkSession.read.parquet(out_path).filter(F.col("batch_id") < batch_id)
+        if _there(own, out_path):  # not in the first batch; a failed read is an error
+            hist = own.read.parquet(out_path).filter(F.col("batch_id") < batch_id)
             prev = hist.groupBy("event_type").agg(
                 F.max_by(F.struct("window_start", "total_value", "batch_id"), "window_start").alias("s")).select(
                 "event_type", "s.window_start", "s.total_value", "s.batch_id")
-        except Exception:  # noqa: BLE001 — first batch: nothing written yet
-            prev = None
         res = surge_alerts_batch(batch, prev, batch_id).drop("batch_id")
         res.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        last.append(batch_id)
 
     q = (daily.writeStream.foreachBatch(process).option("checkpointLocation", f"{run}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if still_open is not None:
+        process(still_open, max(last, default=-1) + 1)
     return spark.read.parquet(out_path)
 
 
