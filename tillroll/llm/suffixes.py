@@ -212,7 +212,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     spark = docs.sparkSession
     found = staged(anchors(docs), "anchors")
     several = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
-    several = several.where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("differ"))
+    # a table of its own, so that the join below can split a gram that very many anchors share
+    several = staged(several.where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("differ")), "grams")
     shared = staged(found.join(several, "gram"), "shared-anchors")
     contexts = shared.groupBy("gram", "context").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "crc", "at", "s1", "s2")).alias("first"),
@@ -223,7 +224,8 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     differing = contexts.where("differ").select("gram", "copies", "first.*")
     size = differing.groupBy("gram").agg(F.count("*").alias("k"), F.min("copies").alias("least"))
-    differing = differing.join(size.where("least = 1"), "gram")  # else every context has copies
+    size = staged(size.where("least = 1").select("gram", "k"), "gram-sizes")  # else every context has copies
+    differing = differing.join(size, "gram")
     wanted = differing.groupBy(F.col("doc_id").alias("w_id"), F.col("crc").alias("w_crc")).agg(
         F.collect_list(F.struct("gram", "copies", "at", "s1", "s2", "k")).alias("wanted"))
     text = text_or_empty()
