@@ -327,8 +327,46 @@ def compare_blocks(percent: int):
     return run
 
 
+def narrowed(pairs: DataFrame, sets: DataFrame, percent: int, part: int) -> DataFrame:
+    """The pairs (a, b, got) that may still be similar once the even (part 0) or the odd
+    (part 1) shingles are compared too, by 32 bits of each: with ``got`` matches before,
+    at most all shingles not yet seen can match.  Truncation only adds matches, so no
+    similar pair goes; a quarter of the bytes of the sets travels beside each pair."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for raw in batch.column(1):
+                own = np.frombuffer(raw.as_buffer(), U64)
+                odd = (own & U64(1)).astype(bool)
+                rows.append(((own[odd == bool(part)] >> U64(32)).astype(np.uint32).tobytes(), len(own), 0 if part else int(odd.sum())))
+            own, n, rest = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary()), pa.array(n, pa.int64()),
+                                              pa.array(rest, pa.int64())], names=["k", "own", "n", "rest"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
+                if len(x) > len(y):
+                    x, y = y, x
+                got.append(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0)
+            got = np.array(got, np.int64) + batch.column("got").to_numpy()
+            na, nb, ra, rb = (batch.column(c).to_numpy() for c in ("na", "nb", "ra", "rb"))
+            most = got + np.minimum(ra, rb)
+            keep = most * (100 + percent) >= percent * (na + nb)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(got)], names=["a", "b", "got"]).filter(
+                pa.array(keep))
+
+    some = sets.select("k", "own").mapInArrow(cut, "k long, own binary, n long, rest long")
+    one, two = some.toDF("a", "x", "na", "ra"), some.toDF("b", "y", "nb", "rb")
+    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "got", "x", "y", "na", "nb", "ra", "rb")
+    return rows.mapInArrow(judge, "a long, b long, got long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) whose full sets are similar enough."""
+    """The (a, b) whose full sets are similar enough; most others fall on the way there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,9 +380,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    near = pairs.select("a", "b", F.lit(0).cast("long").alias("got"))
+    for part in (0, 1):
+        near = narrowed(near, sets, percent, part)
     one = sets.select(F.col("k").alias("a"), F.col("own").alias("x"))
     two = sets.select(F.col("k").alias("b"), F.col("own").alias("y"))
-    rows = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    rows = staged(near.select("a", "b"), "near-pairs").join(one, "a").join(two, "b").select("a", "b", "x", "y")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -388,8 +429,9 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     close = staged(able.where(F.col("c") + more >= need).select("a", "b", "c"), "close-pairs")
 
     # the most central class of each frequent shingle
-    centre = some.groupBy("token").agg(F.max(F.struct("common", "k")).alias("x"), F.max(F.struct("n", "k")).alias("y"))
-    star = some.join(centre, "token").select("k", "n", F.col("x.k").alias("c"))
+    centre = staged(some.groupBy("token").agg(F.max(F.struct("common", "k")).alias("x")).select(
+        "token", F.col("x.k").alias("c")), "centres")
+    star = some.join(centre, "token").select("k", "c")
     star = star.where("k <> c").groupBy(F.least("k", "c").alias("a"), F.greatest("k", "c").alias("b")).agg(F.count("*").alias("c"))
     first = close.select("a", "b", "c").unionByName(star)
     sides = first.select(F.col("a").alias("k"), "a", "b", "c").union(first.select(F.col("b").alias("k"), "a", "b", "c"))
@@ -410,7 +452,7 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     apart = labelled(labelled(close.join(chosen, ["a", "b"], "left_anti"), "a", "la"), "b", "lb").where("la <> lb").select("a", "b")
     each = labelled(hot, "k", "label").select("k", "n", "p", "m", "label", "hot", F.explode("hot").alias("token"))
     buckets = each.groupBy("token").agg(F.count("*").alias("s"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    buckets = buckets.where("lo <> hi").select("token", F.ceil(F.col("s") / block).cast("int").alias("blocks"))
+    buckets = staged(buckets.where("lo <> hi").select("token", F.ceil(F.col("s") / block).cast("int").alias("blocks")), "buckets")
     each = each.join(buckets, "token").withColumn("own", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     each = each.select("token", "k", "n", "p", "m", "label", "hot", "own", other)
