@@ -27,6 +27,7 @@ from tillroll.operators import ranking
 from tillroll.session import cut_lineage
 
 SEED = 42
+KMEANS_ITERATIONS = 300
 
 
 # ------------------------------------------------------------- clustering
@@ -41,7 +42,7 @@ def kmeans_segments(df: DataFrame, cols: Sequence[str], k: int = 3, restarts: in
     data = cut_lineage(assemble(df, cols))
     best, best_cost = None, None
     for s in range(restarts):
-        model = KMeans(k=k, seed=SEED + s, featuresCol="features", predictionCol="_c").fit(data)
+        model = KMeans(k=k, seed=SEED + s, maxIter=KMEANS_ITERATIONS, featuresCol="features", predictionCol="_c").fit(data)
         cost = model.summary.trainingCost
         if best_cost is None or cost < best_cost:
             best, best_cost = model, cost
@@ -91,20 +92,28 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], cluster: str = "cluster")
     return r.agg(exact_mean("_r").alias("davies_bouldin"), F.count(F.lit(1)).alias("clusters"))
 
 
-def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 9),
-                 id_col: str = "customer_id") -> DataFrame:
-    """M2 WCSS, silhouette (squared Euclidean) and Davies–Bouldin per k."""
+def kmeans_sweep(df: DataFrame, feature_sets: dict[str, Sequence[str]], ks: Sequence[int] = range(2, 9),
+                 restarts: int = 10) -> DataFrame:
+    """M2/T10 per feature set and k, best of ``restarts`` starts: WCSS, silhouette
+    (squared Euclidean), Davies–Bouldin, and whether k has the set's best silhouette."""
     spark = df.sparkSession
-    data = cut_lineage(assemble(df, cols))
     rows = []
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="_c", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
-    for k in ks:
-        model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="_c").fit(data)
-        pred = model.transform(data)
-        db = davies_bouldin(pred, cols, "_c").first()["davies_bouldin"]
-        rows.append((int(k), float(model.summary.trainingCost), float(ev.evaluate(pred)), float(db)))
-    return spark.createDataFrame(rows, "k long, wcss double, silhouette double, davies_bouldin double")
+    for name, cols in feature_sets.items():
+        data = cut_lineage(assemble(df, cols))
+        own = []
+        for k in ks:
+            fits = [KMeans(k=k, seed=SEED + s, maxIter=KMEANS_ITERATIONS, featuresCol="features", predictionCol="_c").fit(data)
+                    for s in range(restarts)]
+            model = min(fits, key=lambda m: m.summary.trainingCost)
+            pred = cut_lineage(model.transform(data))
+            db = davies_bouldin(pred, cols, "_c").first()["davies_bouldin"]
+            own.append((name, int(k), float(model.summary.trainingCost), float(ev.evaluate(pred)), float(db)))
+        best = max(own, key=lambda r: (r[3], -r[1]))[1]
+        rows += [(*r, int(r[1] == best)) for r in own]
+    return spark.createDataFrame(rows, "feature_set string, k long, wcss double, silhouette double, davies_bouldin double, "
+                                       "is_best long")
 
 
 # ------------------------------------------------------------------ churn
@@ -172,7 +181,7 @@ def binary_metrics(df: DataFrame, label: str = "label", prob: str = "probability
 
 CHURN_MODELS = {
     "logistic_regression": lambda: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                                      maxIter=100),
+                                                      maxIter=1000),
     "random_forest": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                                     numTrees=100, seed=SEED),
     "boosted_trees_a": lambda: GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
@@ -199,6 +208,23 @@ def train_churn(df: DataFrame, features: Sequence[str], label: str = "true_churn
     return metrics, fitted
 
 
+def cross_validate(df: DataFrame, features: Sequence[str], label: str = "true_churn_flag", folds: int = 5,
+                   models: Sequence[str] = tuple(CHURN_MODELS)) -> DataFrame:
+    """M10 stratified cross-validation: every model is fitted on the other folds and
+    scored on its own; one row per model and fold with the held-out metrics."""
+    base = class_weights(fold_column(df, label, folds), label, "balanced").withColumn("label", F.col(label).cast("double"))
+    data = cut_lineage(assemble(base, features))
+    out = None
+    for fold in range(folds):
+        train, test = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
+        for name in models:
+            scored = CHURN_MODELS[name]().fit(train).transform(test).withColumn("p1", vector_to_array("probability")[1])
+            met = binary_metrics(scored, label, "p1").select(
+                F.lit(name).alias("model"), F.lit(fold).cast("long").alias("fold"), "accuracy", "precision", "recall", "f1", "roc_auc")
+            out = met if out is None else out.unionByName(met)
+    return out
+
+
 def champion(metrics: DataFrame) -> DataFrame:
     """T9 best model by (ROC AUC, recall)."""
     return metrics.agg(F.max_by("model", F.struct("roc_auc", "recall", "model")).alias("champion"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import xmean_sql
 from tillroll.operators import customers as cu
+from tillroll.operators import density, ranking
 from tillroll.operators import ml
 from tillroll.operators import quality as qu
 from tillroll.operators import timeseries as ts
@@ -43,9 +44,11 @@ def kmeans_segments(spark, sf_dir):
     return seg.select("customer_id", "cluster")
 
 
-@register("kmeans_sweep", "M2 M3 M4 T10", "k bigint, wcss double, silhouette double, davies_bouldin double")
+@register("kmeans_sweep", "M2 M3 M4 T10", "feature_set string, k bigint, wcss double, silhouette double, "
+          "davies_bouldin double, is_best bigint")
 def kmeans_sweep(spark, sf_dir):
-    return ml.kmeans_sweep(_scaled(spark, sf_dir), SKEW_COLS, range(2, 9))
+    sets = {"with_active_months": SKEW_COLS, "without_active_months": [c for c in SKEW_COLS if c != "active_months"]}
+    return ml.kmeans_sweep(_scaled(spark, sf_dir), sets, range(2, 9))
 
 
 def _scaled_seg_sql() -> str:
@@ -65,6 +68,54 @@ def _rule_scaled(spark, sf_dir):
 SQ = " + ".join(f"{c} * {c}" for c in SKEW_COLS)
 
 
+def _density_points(spark, sf_dir):
+    return density.numbered(_scaled(spark, sf_dir), SKEW_COLS, "customer_id")
+
+
+def _density_sql() -> str:
+    dist = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in SKEW_COLS) + ")"
+    return f"""RECURSIVE {_scaled_seg_sql().strip().removeprefix('WITH')},
+pts AS (SELECT *, row_number() OVER (ORDER BY customer_id) AS nid FROM z),
+dist AS (SELECT a.nid AS a, b.nid AS b, {dist} AS d FROM pts a, pts b)"""
+
+
+@register("density_clusters", "J13 M7", "customer_id string, cluster bigint", sql=f"""WITH {_density_sql()},
+near AS (SELECT a, b FROM dist WHERE d <= 0.8),
+core AS (SELECT a AS nid FROM near GROUP BY a HAVING count(*) >= 7),
+links AS (SELECT a, b FROM near WHERE a <> b AND a IN (SELECT nid FROM core) AND b IN (SELECT nid FROM core)),
+lab(n, l) USING KEY (n) AS (
+  SELECT nid, nid FROM core
+  UNION SELECT e.b, min(lab.l) FROM lab JOIN links e ON lab.n = e.a JOIN recurring.lab cur ON cur.n = e.b
+        WHERE lab.l < cur.l GROUP BY e.b),
+border AS (SELECT a AS n, min(b) AS c FROM near WHERE a NOT IN (SELECT nid FROM core) AND b IN (SELECT nid FROM core) GROUP BY a),
+member AS (SELECT n, l FROM lab UNION ALL SELECT border.n, lab.l FROM border JOIN lab ON border.c = lab.n),
+name AS (SELECT l, row_number() OVER (ORDER BY l) - 1 AS cluster FROM (SELECT DISTINCT l FROM member))
+SELECT customer_id, coalesce(cluster, -1) AS cluster FROM pts LEFT JOIN member ON nid = n LEFT JOIN name USING (l)""")
+def density_clusters(spark, sf_dir):
+    pts = _density_points(spark, sf_dir)
+    return density.density_labels(pts, [(0.8, 7)]).join(pts.select("nid", "customer_id"), "nid").select("customer_id", "cluster")
+
+
+@register("density_grid", "M8 T10", "eps double, min_samples bigint, n_clusters bigint, n_noise bigint, noise_pct double, "
+          "silhouette double, is_best bigint")
+def density_grid(spark, sf_dir):
+    return density.density_grid(_density_points(spark, sf_dir))
+
+
+K_PERCENTILES = (50, 75, 80, 85, 90, 92, 95, 97, 99)
+
+
+@register("k_distance_profile", "J13 M6", "percentile bigint, distance double", sql=f"""WITH {_density_sql()},
+ranked AS (SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d) AS r FROM dist),
+kth AS (SELECT d FROM ranked WHERE r = 10)
+""" + "\nUNION ALL\n".join(f"SELECT {p} AS percentile, quantile_cont(d, {p / 100}) AS distance FROM kth" for p in K_PERCENTILES))
+def k_distance_profile(spark, sf_dir):
+    kth = density.kth_distances(_density_points(spark, sf_dir), 10)
+    q = ranking.exact_quantiles(kth, "distance", {f"p{p}": p / 100 for p in K_PERCENTILES})
+    rows = F.array(*[F.struct(F.lit(p).cast("long").alias("percentile"), F.col(f"p{p}").alias("distance")) for p in K_PERCENTILES])
+    return q.select(F.inline(rows))
+
+
 @register("silhouette_rule_clusters", "M3", "silhouette double, points bigint", sql=_scaled_seg_sql() + f""",
 st AS (SELECT cluster AS k, count(*) AS n, sum({SQ}) AS yy, {', '.join(f'sum({c}) AS s_{c}' for c in SKEW_COLS)}
        FROM zs GROUP BY cluster),
@@ -138,10 +189,20 @@ def churn_cv_folds(spark, sf_dir):
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("customers"), F.avg("true_churn_flag").alias("churn_rate"))
 
 
+@register("churn_cv_metrics", "M10 M12 M13", "model string, folds bigint, accuracy double, precision double, recall double, "
+          "f1 double, roc_auc double, roc_auc_std double")
+def churn_cv_metrics(spark, sf_dir):
+    """Means over the folds, and the spread of the AUC."""
+    per = ml.cross_validate(_churn(spark, sf_dir), CHURN_FEATURES)
+    return per.groupBy("model").agg(F.count(F.lit(1)).alias("folds"), *[
+        F.avg(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")],
+        F.stddev_pop("roc_auc").alias("roc_auc_std"))
+
+
 @register("churn_scores", "M14 T9 C13", "customer_id string, churn_probability double, risk_category string, model string")
 def churn_scores(spark, sf_dir):
     ch = _churn(spark, sf_dir)
-    metrics, fitted = ml.train_churn(ch, CHURN_FEATURES, models=("logistic_regression", "boosted_trees_b"))
+    metrics, fitted = ml.train_churn(ch, CHURN_FEATURES)
     best = ml.champion(metrics).first()["champion"]
     return ml.score_customers(fitted[best], ch, CHURN_FEATURES).select(
         "customer_id", "churn_probability", "risk_category", F.lit(best).alias("model"))
