@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, packing, quality, secrets
+from tillroll.llm import bpe, packing, quality, secrets, weaklabels
 
 SMALL = "/root/testdata/sf0.001"
 LONG = "word " * 30_000 + "\n" + "x" * 100_000 + " é" * 5_000
@@ -255,3 +255,52 @@ def test_bin_completion_is_optimal_on_small_cases():
                 used[x] += n
         assert (used == counts).all()
         assert packing.lower_bound(counts, capacity) <= sum(n for _, n in plan) == fewest(items.tolist(), capacity)
+
+
+def test_weak_labels_recover_the_kinds_of_junk():
+    rng = np.random.default_rng(7)
+    n, kinds = 6000, len(weaklabels.LABELLERS)
+    kind = np.where(rng.random(n) < 0.8, 0, rng.integers(1, 4, n))  # good, or junk that one of three labellers sees
+    found = np.full((n, kinds), weaklabels.NONE)
+    for j in range(kinds):
+        chance = np.where(kind == j + 1, 0.9, 0.01)
+        found[rng.random(n) < chance, j] = weaklabels.BAD
+    found[(kind == 0) & (rng.random(n) < 0.7), 6] = weaklabels.GOOD
+    codes, times = np.unique(weaklabels.patterns(found), return_counts=True)
+    assert (weaklabels.unpacked(weaklabels.patterns(found)) == found).all()
+    model = weaklabels.expectation_maximisation(codes, times)
+    said = model.posterior(found) < 0.5
+    assert said[kind > 0].mean() > 0.85 and said[kind == 0].mean() < 0.1
+    worth = list(model.accuracies().values())
+    assert min(worth[:3]) > 0.75  # nearly all their votes fall on junk
+    assert weaklabels.expectation_maximisation(codes[:0], times[:0]) is None
+    clean = weaklabels.patterns(np.full((1, kinds), weaklabels.NONE))
+    assert weaklabels.expectation_maximisation(clean, np.array([9])) is None
+
+
+def test_trigrams_are_counted_within_rows():
+    from tillroll.llm._bytes import text_buffers
+    import pyarrow as pa
+
+    offsets, data = text_buffers(pa.array(["abcabc", "ab", None, "ABC", "xyzabc"]))
+    x = weaklabels.trigrams(data, offsets)
+    assert np.allclose((x ** 2).sum(1), [1, 0, 0, 1, 1]) and (x[3] > 0).sum() == 1
+    at = int(x[3].argmax())
+    assert np.allclose(x[0, at] ** 2, 0.5) and np.allclose(x[4, at] ** 2, 0.25)
+
+
+def test_quality_classifier_against_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")
+    out = weaklabels.op6_quality_classifier(spark, sf)
+    assert out.count() == 1000
+    rows = out.join(labels, "doc_id").select("kept", "quality", F.length("text").alias("n")).collect()
+    assert np.mean([r["kept"] for r in rows if r["quality"] == 1 and r["n"] > 200]) >= 0.97
+    assert np.mean([r["kept"] for r in rows if r["quality"] == 0]) <= 0.1
+
+
+def test_quality_classifier_edge_cases(spark, docs):
+    out = weaklabels.classify(docs, *weaklabels.train(docs)).collect()
+    assert len(out) == docs.count() and all(r["kept"] is not None and 0 <= r["posterior"] <= 1 for r in out)
+    empty = docs.limit(0)
+    assert weaklabels.train(empty) == (None, None) and weaklabels.classify(empty, None, None).count() == 0
