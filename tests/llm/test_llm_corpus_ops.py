@@ -180,8 +180,10 @@ def jaccard_cases():
     return [(1000 - i, t) for i, t in enumerate(rows)] + [(None, rows[0]), (None, "no other has this text at all"), (700, "one"), (1000, rows[0])]
 
 
-@pytest.mark.parametrize(("small", "block"), [(64, 512), (3, 4), (1, 7)])
-def test_jaccard_components(spark, small, block):
+@pytest.mark.parametrize(("small", "block", "bytes_", "listed"), [(64, 512, 96 << 20, 500_000), (3, 4, 2_000, 0), (1, 7, 96 << 20, 0)])
+def test_jaccard_components(spark, monkeypatch, small, block, bytes_, listed):
+    monkeypatch.setattr(jaccard, "CLUSTER_BYTES", bytes_)
+    monkeypatch.setattr(jaccard, "LISTED", listed)
     rows = jaccard_cases()
     docs = spark.createDataFrame([(i, t, 1, "k") for i, t in rows], "doc_id long, text string, n int, k string").repartition(5)
     out = jaccard.jaccard_components(docs, small=small, block=block).select("doc_id", "n_shingles", "component_id").collect()
@@ -221,8 +223,8 @@ def test_demand_is_never_too_high():
         for s in (a, b):
             base = len(s) - -(-75 * len(s) // 100)
             size.append(min(len(s), base + int(rng.choice([1, 1 + len(s) // 32, 1 + len(s) // 8]))))
-        need = -(-75 * (len(a) + len(b)) // 175)
-        demand = max(1, min(need - (len(a) - size[0]), need - (len(b) - size[1])))
+        demand = jaccard.demanded(np, *(np.array(x) for x in (len(a) << 32 | size[0], len(b) << 32 | size[1], sorted(a)[size[0] - 1],
+                                                              sorted(b)[size[1] - 1])), 75)
         assert len(set(sorted(a)[:size[0]]) & set(sorted(b)[:size[1]])) >= demand
 
 

@@ -18,10 +18,9 @@ prefix shingles as both prefixes and sizes demand before it is verified.
 most central one, and all other pairs are counted block against block inside tasks,
 where only pairs that pass the demand and are not yet connected come out.
 
-*Verification.*  First the best candidate of every class, then, after the first
-components are known, the candidates between different components: exact
-intersections of the full sets.  Pairs within a component need no check, as it
-cannot change the components.
+*Verification.*  Exact intersections of the full sets.  The sets of a component of
+candidates meet in one task, or, if they are too many, pair by pair.  Pairs that
+are already connected need no check, as it cannot change the components.
 
 Defined cases: null, empty or wordless texts have an empty set, are linked with
 nothing and are their own component; a text of fewer than five words is one
@@ -49,6 +48,10 @@ WIDTH, PERCENT = 5, 75
 SLOT_BITS, SKETCH_PARTS = 20, 64
 #: Classes of a shingle whose pairs are listed; above it blocks are compared.
 SMALL, BLOCK = 64, 512
+#: Bytes of the sets of a candidate component that one task verifies.
+CLUSTER_BYTES = 96 << 20
+#: Classes (24 bytes each) up to which a list of them is broadcast.
+LISTED = 500_000
 #: Stands for a null doc_id where ids are compared.
 NO_ID = (1 << 63) - 1
 U64 = np.uint64
@@ -115,7 +118,7 @@ class Order:
 
     def __init__(self, counts: np.ndarray, percent: int):
         mean = max(1.0, counts.sum() / len(counts))
-        self.level = np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))), 0, 31).astype(np.uint8)
+        self.level = np.clip(np.floor(np.log2(np.maximum(counts, 1) / (2 * mean))), 0, 15).astype(np.uint8)  # ordered numbers stay positive as longs
         self.excess = np.maximum(counts - 2 * mean, 0).astype(np.float32)
         self.percent = percent
 
@@ -137,12 +140,9 @@ class Order:
         return key[order[:length]], int(1000 * (self.level[at] > 0).sum() // n)
 
 
-def needed_overlap(a: Column, b: Column, percent: int) -> Column:
-    return F.ceil((a + b) * percent / F.lit(100 + percent))
-
-
 def postings(docs: DataFrame, order: Order, width: int) -> DataFrame:
-    """(token, k, n, p, common): the prefix of each set, once for each task that meets it."""
+    """(token, k, size, last, common): the prefix of each set, once for each task that meets
+    it; ``size`` packs the set's size (upper half) and the prefix's, ``last`` is its last token."""
     shared = docs.sparkSession.sparkContext.broadcast(order)  # 2**SLOT_BITS slots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,11 +155,12 @@ def postings(docs: DataFrame, order: Order, width: int) -> DataFrame:
 
             def flush(tokens=tokens, rows=rows):
                 size = np.array([len(t) for t in tokens])
-                columns = [np.repeat(np.array(c, np.int64), size) for c in zip(*rows, strict=True)]
-                k, n, common = columns
+                k, n, common = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+                last = np.array([t[-1] for t in tokens], U64).view(np.int64)
                 out = pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(k), pa.array(n),
-                     pa.array(np.repeat(size, size)), pa.array(common)], names=["token", "k", "n", "p", "common"])
+                    [pa.array(np.concatenate(tokens).view(np.int64)),
+                     *(pa.array(np.repeat(c, size)) for c in (k, n << 32 | size, last, common))],
+                    names=["token", "k", "size", "last", "common"])
                 tokens.clear()
                 rows.clear()
                 return out
@@ -183,19 +184,19 @@ def postings(docs: DataFrame, order: Order, width: int) -> DataFrame:
             if tokens:
                 yield flush()
 
-    return docs.mapInArrow(run, "token long, k long, n long, p long, common long")
+    return docs.mapInArrow(run, "token long, k long, size long, last long, common long")
 
 
-#: ``kind`` 0: a pair with ``c`` common tokens; 1: how many tokens of small buckets
-#: ``a`` has (in ``c``); 2: a token (in ``b``) of a large bucket with its class.
-MET = "kind int, a long, b long, c long, na long, nb long, pa long, pb long, common long"
+#: ``kind`` 0: a pair with ``c`` common tokens; 1: a token (in ``b``) of a small bucket
+#: with its class; 2: a token of a large bucket with its class.
+MET = "kind int, a long, b long, c long, sa long, sb long, la long, lb long, common long"
 
 
-def _met(kind: int, a, b, c, na, nb, pa_, pb, common) -> pa.RecordBatch:
+def _met(kind: int, a, b, c, sa, sb, la, lb, common) -> pa.RecordBatch:
     m = len(a)
     fill = lambda x: np.zeros(m, np.int64) if x is None else np.asarray(x, np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(m, kind, np.int32)), *(pa.array(fill(x)) for x in (a, b, c, na, nb, pa_, pb, common))],
+        [pa.array(np.full(m, kind, np.int32)), *(pa.array(fill(x)) for x in (a, b, c, sa, sb, la, lb, common))],
         names=[f.split()[0] for f in MET.split(", ")])
 
 
@@ -203,7 +204,7 @@ def meet(percent: int, small: int):
     """Streams postings sorted by (token, k)."""
 
     def listed(t: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Pairs of complete buckets of up to ``small`` classes; t: tokens, rows: k, n, p, common."""
+        """Pairs of complete buckets of up to ``small`` classes; t: tokens, rows: k, size, last, common."""
         if not len(t):
             return
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
@@ -217,10 +218,9 @@ def meet(percent: int, small: int):
         if not ones:
             return
         many = np.repeat(size > 1, size)
-        own, times = np.unique(rows[many, 0], return_counts=True)
-        yield _met(1, own, None, times, None, None, None, None, None)
+        yield _met(1, rows[many, 0], t[many], None, None, None, None, None, None)
         one, two = np.concatenate(ones), np.concatenate(twos)
-        na, nb = rows[one, 1], rows[two, 1]
+        na, nb = rows[one, 1] >> 32, rows[two, 1] >> 32
         fits = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent
         one, two = one[fits], two[fits]
         if not len(one):
@@ -260,10 +260,21 @@ def meet(percent: int, small: int):
     return run
 
 
-def demanded(na: Column, nb: Column, pa_: Column, pb: Column, percent: int) -> Column:
-    """Prefix shingles that a similar pair must share."""
-    need = needed_overlap(na, nb, percent)
-    return F.greatest(F.lit(1), F.least(need - (na - pa_), need - (nb - pb)))
+def demanded(xp, sa, sb, la, lb, percent: int):
+    """Prefix shingles that a similar pair must share, for arrays (``xp`` is numpy).  Of
+    the prefix that ends first, every shared shingle lies in both prefixes; only the
+    rest of its set can add to the overlap."""
+    na, nb, pa_, pb = sa >> 32, sb >> 32, sa & 0xFFFFFFFF, sb & 0xFFFFFFFF
+    need = -(-percent * (na + nb) // (100 + percent))
+    return xp.maximum(1, xp.where(la <= lb, need - (na - pa_), need - (nb - pb)))
+
+
+def demanded_column(percent: int) -> Column:
+    """The same for the columns sa, sb, la, lb."""
+    na, nb = F.shiftright("sa", 32), F.shiftright("sb", 32)
+    pa_, pb = (F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in ("sa", "sb"))
+    need = F.ceil((na + nb) * percent / F.lit(100 + percent))
+    return F.greatest(F.lit(1), F.when(F.col("la") <= F.col("lb"), need - (na - pa_)).otherwise(need - (nb - pb)))
 
 
 def compare_blocks(percent: int):
@@ -273,10 +284,12 @@ def compare_blocks(percent: int):
     def told(rows: list[dict], one: int, two: int) -> list[tuple]:
         rows = sorted(rows, key=lambda r: r["side"])
         token = rows[0]["token"]
-        k, n, p, m, label, side = (np.array([r[x] for r in rows]) for x in ("k", "n", "p", "m", "label", "side"))
-        size = np.array([len(r["hot"]) for r in rows])
-        names, column = np.unique(np.concatenate([np.asarray(r["hot"], np.int64) for r in rows]), return_inverse=True)
-        here = int(np.searchsorted(names, token))
+        k, s, last, label, side = (np.array([r[x] for r in rows], np.int64) for x in ("k", "s", "last", "label", "side"))
+        size = np.array([len(r["hot"]) + len(r["rare"]) for r in rows])
+        names, column, times = np.unique(np.concatenate([np.asarray([*r["hot"], *r["rare"]], np.int64) for r in rows]),
+                                         return_inverse=True, return_counts=True)
+        frequent = np.isin(names, np.unique(np.concatenate([np.asarray(r["hot"], np.int64) for r in rows])))
+        earlier = frequent & (names < token)
         row = np.repeat(np.arange(len(rows)), size)
         a = np.arange(len(rows)) if one == two else np.flatnonzero(side == 0)
         b = a if one == two else np.flatnonzero(side == 1)
@@ -284,20 +297,18 @@ def compare_blocks(percent: int):
             return []
         common = np.zeros((len(a), len(b)), np.float32)
         before = np.zeros((len(a), len(b)), np.float32)
-        for lo in range(0, len(names), 4096):  # columns at once
-            hi = min(lo + 4096, len(names))
-            part = (column >= lo) & (column < hi)
-            x = np.zeros((len(rows), hi - lo), np.float32)
-            x[row[part], column[part] - lo] = 1
+        for some in np.array_split(np.flatnonzero(times > 1), 1 + len(names) // 4096):  # columns at once
+            at = np.full(len(names), -1)
+            at[some] = np.arange(len(some))
+            part = at[column] >= 0
+            x = np.zeros((len(rows), len(some)), np.float32)
+            x[row[part], at[column[part]]] = 1
             common += x[a] @ x[b].T
-            if lo < here:
-                x = x[:, :min(here, hi) - lo]
-                before += x[a] @ x[b].T
-        na, nb = n[a][:, None], n[b][None, :]
-        need = -(-percent * (na + nb) // (100 + percent))
-        demand = np.maximum(1, np.minimum(need - (na - p[a][:, None]), need - (nb - p[b][None, :])))
-        possible = common + np.minimum(m[a][:, None], m[b][None, :])
-        good = ((before == 0) & (possible >= demand) & (label[a][:, None] != label[b][None, :])
+            x = x[:, earlier[some]]
+            before += x[a] @ x[b].T
+        na, nb = s[a][:, None] >> 32, s[b][None, :] >> 32
+        demand = demanded(np, s[a][:, None], s[b][None, :], last[a][:, None], last[b][None, :], percent)
+        good = ((before == 0) & (common >= demand) & (label[a][:, None] != label[b][None, :])
                 & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent))
         if one == two:
             good &= k[a][:, None] < k[b][None, :]
@@ -389,6 +400,57 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def check_clusters(percent: int):
+    """Streams clusters, each with its sets and then its pairs, most promising first: a
+    pair that earlier links already connect needs no check."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets, root = None, {}, {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for batch in batches:
+            one, two = [], []
+            for i, (cluster, kind, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("root", "kind", "a", "b")), strict=True)):
+                if cluster != now:
+                    now, sets, root = cluster, {}, {}
+                if kind == 0:
+                    sets[a] = np.frombuffer(batch.column("own")[i].as_py(), U64)
+                    continue
+                p, q = find(a), find(b)
+                if p == q:
+                    continue
+                x, y = sorted((sets[a], sets[b]), key=len)
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    root[p] = q
+                    one.append(a)
+                    two.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def linked(pairs: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what the candidate pairs (a, b, c) connect.  ``clusters``
+    (k, root, small) holds the candidate components; in the small ones every set travels once,
+    to its cluster's task, the pairs of others are verified one by one."""
+    n = partitions(pairs.sparkSession)
+    own = clusters.withColumnsRenamed({"k": "a"})
+    dealt = staged(pairs.join(own, "a"), "dealt-pairs")
+    inside = dealt.where("small").select("root", F.lit(1).alias("kind"), (-F.col("c")).alias("rank"), "a", "b",
+                                         F.lit(None).cast("binary").alias("own"))
+    asked = dealt.where("small").select("root").distinct()
+    members = clusters.where("small").join(asked, "root", "left_semi").join(sets, "k").select(
+        "root", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("rank"), F.col("k").alias("a"), F.lit(None).cast("long").alias("b"), "own")
+    rows = members.unionByName(inside).repartition(n, "root").sortWithinPartitions("root", "kind", "rank", "a", "b")
+    found = rows.mapInArrow(check_clusters(percent), "a long, b long")
+    return found.unionByName(verified(dealt.where("not small"), sets, percent))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(k, own) of the wanted classes, read from the text of their first document."""
 
@@ -399,7 +461,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["k", "own"])
 
     on = docs["doc_id"].eqNullSafe(F.col("rep")) & (docs["crc"] == F.col("rep_crc"))
-    rows = docs.join(wanted.select("k", "rep", "rep_crc").hint("shuffle_hash"), on)
+    wanted = wanted.select("k", "rep", "rep_crc")
+    few = wanted.count() <= LISTED  # then the list goes to the texts, else the texts to the list
+    rows = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), on)
     return rows.select("k", "text").mapInArrow(run, "k long, own binary")
 
 
@@ -412,57 +476,51 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
 
     # classes that meet in rare shingles, and in frequent ones
     pairs = met.where("kind = 0").groupBy("a", "b").agg(
-        F.sum("c").alias("c"), *(F.max(x).alias(x) for x in ("na", "nb", "pa", "pb")))
-    some = met.where("kind = 2").select(F.col("a").alias("k"), F.col("b").alias("token"), F.col("na").alias("n"),
-                                        F.col("pa").alias("p"), "common")
-    hot = some.groupBy("k").agg(F.max("n").alias("n"), F.max("p").alias("p"), F.max("common").alias("common"),
+        F.sum("c").alias("c"), *(F.max(x).alias(x) for x in ("sa", "sb", "la", "lb")))
+    some = met.where("kind = 2").select(F.col("a").alias("k"), F.col("b").alias("token"), F.col("sa").alias("s"),
+                                        F.col("la").alias("last"), "common")
+    hot = some.groupBy("k").agg(F.max("s").alias("s"), F.max("last").alias("last"),
                                 F.array_sort(F.collect_set("token")).alias("hot"))  # a class's own prefix at most
-    rare = met.where("kind = 1").groupBy(F.col("a").alias("k")).agg(F.sum("c").alias("m"))
-    hot = staged(hot.join(rare, "k", "left").withColumn("m", F.coalesce("m", F.lit(0).cast("long"))), "hot-classes")
-    # a pair that also meets in frequent shingles is judged there, with all its matches; here it is
-    # judged by its rare ones and what its frequent ones could add
-    h = hot.select("k", F.size("hot").alias("h"))
-    able = pairs.join(h.withColumnsRenamed({"k": "a", "h": "ha"}), "a", "left").join(
-        h.withColumnsRenamed({"k": "b", "h": "hb"}), "b", "left")
-    need = demanded(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb"), percent)
-    more = F.coalesce(F.least("ha", "hb"), F.lit(0))
-    close = staged(able.where(F.col("c") + more >= need).select("a", "b", "c"), "close-pairs")
+    rare = met.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("token"))
+    rare = rare.join(hot.select("k"), "k", "left_semi").groupBy("k").agg(F.collect_set("token").alias("rare"))
+    hot = staged(hot.join(rare, "k", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<bigint>"))), "hot-classes")
+    # a pair that also meets in a frequent shingle is judged there, with all its matches
+    close = staged(pairs.where(F.col("c") >= demanded_column(percent)).select("a", "b", "c"), "close-pairs")
 
     # the most central class of each frequent shingle
     centre = staged(some.groupBy("token").agg(F.max(F.struct("common", "k")).alias("x")).select(
         "token", F.col("x.k").alias("c")), "centres")
     star = some.join(centre, "token").select("k", "c")
     star = star.where("k <> c").groupBy(F.least("k", "c").alias("a"), F.greatest("k", "c").alias("b")).agg(F.count("*").alias("c"))
-    first = close.select("a", "b", "c").unionByName(star)
-    sides = first.select(F.col("a").alias("k"), "a", "b", "c").union(first.select(F.col("b").alias("k"), "a", "b", "c"))
-    chosen = sides.groupBy("k").agg(F.max(F.struct("c", "a", "b")).alias("x")).select("x.a", "x.b").union(
-        star.select("a", "b")).distinct()
-    chosen = staged(chosen, "first-pairs")
-
+    first = staged(close.unionByName(star).groupBy("a", "b").agg(F.max("c").alias("c")), "first-pairs")
     ends = close.select(F.col("a").alias("k")).union(close.select("b")).union(hot.select("k")).distinct()
-    sets = staged(full_sets(docs, classes.join(ends, "k", "left_semi"), width), "sets")
-    links = staged(verified(chosen, sets, percent), "links")
+    sets = staged(full_sets(docs, staged(classes.join(ends, "k", "left_semi"), "wanted"), width), "sets")
+    clusters = staged(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))), "clusters")
+    clusters = clusters.select(F.col("node").alias("k"), "root")
+    size = clusters.join(sets.select("k", F.length("own").alias("b")), "k").groupBy("root").agg(
+        (F.sum("b") <= CLUSTER_BYTES).alias("small"))
+    clusters = staged(clusters.join(staged(size, "cluster-sizes"), "root"), "clusters")
+    links = staged(linked(first, clusters, sets, percent), "links")
     roots = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
 
-    # what is left between different components
+    # pairs of classes in frequent shingles that are still in different components
     def labelled(rows: DataFrame, by: str, name: str) -> DataFrame:
         own = roots.select(F.col("node").alias(by), F.col("root").alias(name))
         return rows.join(own, by, "left").withColumn(name, F.coalesce(name, by))
 
-    apart = labelled(labelled(close.join(chosen, ["a", "b"], "left_anti"), "a", "la"), "b", "lb").where("la <> lb").select("a", "b")
-    each = labelled(hot, "k", "label").select("k", "n", "p", "m", "label", "hot", F.explode("hot").alias("token"))
-    buckets = each.groupBy("token").agg(F.count("*").alias("s"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    buckets = staged(buckets.where("lo <> hi").select("token", F.ceil(F.col("s") / block).cast("int").alias("blocks")), "buckets")
+    each = labelled(hot, "k", "label").select("k", "s", "last", "rare", "label", "hot", F.explode("hot").alias("token"))
+    buckets = each.groupBy("token").agg(F.count("*").alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    buckets = staged(buckets.where("lo <> hi").select("token", F.ceil(F.col("many") / block).cast("int").alias("blocks")), "buckets")
     each = each.join(buckets, "token").withColumn("own", F.pmod(F.xxhash64("k"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    each = each.select("token", "k", "n", "p", "m", "label", "hot", "own", other)
+    each = each.select("token", "k", "s", "last", "rare", "label", "hot", "own", other)
     one, two = F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")
-    dealt = each.select("token", one, two, (F.col("own") > F.col("other")).cast("int").alias("side"), "k", "n", "p", "m", "label", "hot")
+    dealt = each.select("token", one, two, (F.col("own") > F.col("other")).cast("int").alias("side"), "k", "s", "last", "rare", "label", "hot")
     keys = ["token", "one", "two"]
     found = dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(
         compare_blocks(percent), "a long, b long")
-    found = found.join(chosen, ["a", "b"], "left_anti")
-    more_links = staged(verified(staged(apart.union(found).distinct(), "last-pairs"), sets, percent), "links")
+    found = found.distinct().join(first, ["a", "b"], "left_anti").withColumn("c", F.lit(0).cast("long"))
+    more_links = staged(linked(found, clusters, sets, percent), "links")
     every = links.union(more_links)
     return components(every.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
