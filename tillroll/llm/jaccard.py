@@ -434,37 +434,45 @@ def check_clusters(percent: int):
     return run
 
 
-def linked(pairs: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect what the candidate pairs (a, b, c) connect.  ``clusters``
-    (k, root, small) holds the candidate components; in the small ones every set travels once,
-    to its cluster's task, the pairs of others are verified one by one."""
-    n = partitions(pairs.sparkSession)
-    own = clusters.withColumnsRenamed({"k": "a"})
-    dealt = staged(pairs.join(own, "a"), "dealt-pairs")
-    inside = dealt.where("small").select("root", F.lit(1).alias("kind"), (-F.col("c")).alias("rank"), "a", "b",
-                                         F.lit(None).cast("binary").alias("own"))
-    asked = dealt.where("small").select("root").distinct()
-    members = clusters.where("small").join(asked, "root", "left_semi").join(sets, "k").select(
-        "root", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("rank"), F.col("k").alias("a"), F.lit(None).cast("long").alias("b"), "own")
-    rows = members.unionByName(inside).repartition(n, "root").sortWithinPartitions("root", "kind", "rank", "a", "b")
-    found = rows.mapInArrow(check_clusters(percent), "a long, b long")
-    return found.unionByName(verified(dealt.where("not small"), sets, percent))
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(k, own) of the wanted classes, read from the text of their first document."""
+    """(k, root, own): the sets of the wanted classes (k, root, rep, rep_crc), read from the
+    text of their first document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, data = text_buffers(batch.column(1))
+            offsets, data = text_buffers(batch.column(2))
             own = [distinct(s).tobytes() for s, _ in row_shingles(data, offsets, width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["k", "own"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.binary())], names=["k", "root", "own"])
 
     on = docs["doc_id"].eqNullSafe(F.col("rep")) & (docs["crc"] == F.col("rep_crc"))
-    wanted = wanted.select("k", "rep", "rep_crc")
+    wanted = staged(wanted.select("k", "root", "rep", "rep_crc"), "wanted")
     few = wanted.count() <= LISTED  # then the list goes to the texts, else the texts to the list
     rows = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), on)
-    return rows.select("k", "text").mapInArrow(run, "k long, own binary")
+    return rows.select("k", "root", "text").mapInArrow(run, "k long, root long, own binary")
+
+
+def linked(pairs: DataFrame, clusters: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect what the candidate pairs (a, b, c) connect.  ``clusters``
+    (k, root, small) holds the candidate components; in the small ones every set travels once,
+    from its text to its cluster's task, the pairs of others are verified one by one."""
+    spark = pairs.sparkSession
+    dealt = staged(pairs.join(clusters.withColumnRenamed("k", "a"), "a"), "dealt-pairs")
+    told = dealt.agg(F.count_if("small").alias("inside"), F.count_if(~F.col("small")).alias("outside")).first()
+    out = spark.createDataFrame([], "a long, b long")
+    if told["inside"]:
+        inside = dealt.where("small").select("root", F.lit(1).alias("kind"), (-F.col("c")).alias("rank"), "a", "b",
+                                             F.lit(None).cast("binary").alias("own"))
+        asked = clusters.where("small").join(dealt.select("root").distinct(), "root", "left_semi").select("k", "root")
+        members = full_sets(docs, classes.join(asked, "k"), width).select(
+            "root", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("rank"), F.col("k").alias("a"), F.lit(None).cast("long").alias("b"), "own")
+        rows = members.unionByName(inside).repartition(partitions(spark), "root").sortWithinPartitions("root", "kind", "rank", "a", "b")
+        out = out.unionByName(rows.mapInArrow(check_clusters(percent), "a long, b long"))
+    if told["outside"]:
+        outside = dealt.where("not small")
+        ends = outside.select(F.col("a").alias("k")).union(outside.select("b")).distinct()
+        asked = classes.join(ends, "k", "left_semi").withColumn("root", F.lit(0).cast("long"))
+        out = out.unionByName(verified(outside, staged(full_sets(docs, asked, width).select("k", "own"), "sets"), percent))
+    return out
 
 
 def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width: int, percent: int, small: int, block: int) -> DataFrame:
@@ -493,14 +501,11 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     star = some.join(centre, "token").select("k", "c")
     star = star.where("k <> c").groupBy(F.least("k", "c").alias("a"), F.greatest("k", "c").alias("b")).agg(F.count("*").alias("c"))
     first = staged(close.unionByName(star).groupBy("a", "b").agg(F.max("c").alias("c")), "first-pairs")
-    ends = close.select(F.col("a").alias("k")).union(close.select("b")).union(hot.select("k")).distinct()
-    sets = staged(full_sets(docs, staged(classes.join(ends, "k", "left_semi"), "wanted"), width), "sets")
     clusters = staged(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))), "clusters")
     clusters = clusters.select(F.col("node").alias("k"), "root")
-    size = clusters.join(sets.select("k", F.length("own").alias("b")), "k").groupBy("root").agg(
-        (F.sum("b") <= CLUSTER_BYTES).alias("small"))
-    clusters = staged(clusters.join(staged(size, "cluster-sizes"), "root"), "clusters")
-    links = staged(linked(first, clusters, sets, percent), "links")
+    size = clusters.join(classes.select("k", "n"), "k").groupBy("root").agg((8 * F.sum("n") <= CLUSTER_BYTES).alias("small"))
+    clusters = staged(clusters.join(staged(size, "cluster-sizes"), "root").select("k", "root", "small"), "clusters")
+    links = staged(linked(first, clusters, classes, docs, width, percent), "links")
     roots = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
 
     # pairs of classes in frequent shingles that are still in different components
@@ -520,7 +525,7 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     found = dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(
         compare_blocks(percent), "a long, b long")
     found = found.distinct().join(first, ["a", "b"], "left_anti").withColumn("c", F.lit(0).cast("long"))
-    more_links = staged(linked(found, clusters, sets, percent), "links")
+    more_links = staged(linked(found, clusters, classes, docs, width, percent), "links")
     every = links.union(more_links)
     return components(every.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -534,8 +539,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     own = seen.where("kind = 0").select("doc_id", "crc", "n", "k")
     sort_id = F.coalesce("doc_id", F.lit(NO_ID))
     classes = staged(own.where("k is not null").groupBy("k").agg(
-        F.min(F.struct(sort_id.alias("i"), "doc_id", "crc")).alias("x")).select(
-        "k", F.col("x.i").alias("least"), F.col("x.doc_id").alias("rep"), F.col("x.crc").alias("rep_crc")), "classes")
+        F.min(F.struct(sort_id.alias("i"), "doc_id", "crc")).alias("x"), F.max("n").alias("n")).select(
+        "k", "n", F.col("x.i").alias("least"), F.col("x.doc_id").alias("rep"), F.col("x.crc").alias("rep_crc")), "classes")
     roots = linked_classes(rows, seen, classes, width, percent, small, block)
     roots = staged(roots, "final-roots")
     named = classes.join(roots, classes["k"] == roots["node"], "left").select("k", F.coalesce("root", "k").alias("root"), "least")
