@@ -120,6 +120,32 @@ def test_entropy_finds_keys_and_allows_the_rest():
     assert secrets.redacted(f"{text} token = abcdefgh12") == "use [SECRET] now [SECRET]"
 
 
+def shares_found(alphabet, length, rng, keys=400):
+    """Share of random keys that get a span, and that one span covers."""
+    spans = [secrets.added_spans("".join(rng.choice(alphabet) for _ in range(length)), []) for _ in range(keys)]
+    return sum(map(bool, spans)) / keys, sum(s == [(0, 3, length)] for s in spans) / keys
+
+
+@pytest.mark.parametrize("alphabet", [
+    "0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz234567"])
+def test_random_keys_of_one_case_are_found(alphabet):
+    rng = random.Random(4)
+    for length in (20, 24, 32, 40):
+        found, covered = shares_found(alphabet, length, rng)
+        assert found >= 0.95 and covered >= 0.93, (length, found, covered)
+
+
+def test_random_mixed_case_keys_are_found_and_words_are_not():
+    rng, base62 = random.Random(4), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for alphabet in (base62, base62 + "+/", base62 + "-_"):
+        for length in (20, 24, 32, 40):
+            assert shares_found(alphabet, length, rng)[0] >= 0.93
+    for clean in ("/usr/lib/python3/dist-packages/numpy2", "the-2nd-world-war-in-1944", "2024-01-a-long-title-of-a-post",
+                  "utf8_general_ci_and_more", "--max-old-space-size=4096", "HTTP_STATUS_404_NOT_FOUND", "covid19-and-the-1990s"):
+        assert secrets.added_spans(clean, []) == [], clean
+
+
 def test_redact_keeps_rows_and_columns(spark):
     rows = [(1, "token=abcdefgh1", 15, "a"), (2, None, None, None), (None, "clean", 5, "b"), (1, "token=abcdefgh1", 15, "a")]
     out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string"))

@@ -35,24 +35,34 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-#: Bits a character at or above which a window counts, by the candidate's class.
-THRESHOLDS = {"hex": 3.3, "mixed": 3.9}
-#: Candidates that are no secrets: words of one case or capitalised, with or without
-#: joints (prose, paths, slugs, constants); UUIDs; and numbers.
+#: Bits a character at or above which a window counts, by the alphabet that the candidate shows.
+#: Each is under the 0.5 % quantile of windows of uniform random keys over the smallest alphabet in
+#: use for it: 16 characters, 32 (base32 in either case), 58 (base58).
+THRESHOLDS = {"hex": 2.82, "lower": 3.28, "upper": 3.28, "mixed": 3.58}
+#: A word of one case or capitalised, a short one with a number (``python3``), a number, an ordinal or unit.
+PIECE = (r"(?:[A-Z]?[a-z]+|[A-Z]+|(?:[A-Z]?[a-z]{1,14}|[A-Z]{1,15})[0-9]{1,4}"
+         r"|[0-9]{1,4}(?:st|nd|rd|th|[dhkmpsx]|px|[kmg]b|[ap]m)?)")
+#: Candidates that are no secrets: pieces with or without joints (prose, paths, slugs,
+#: constants); UUIDs; and numbers.
 ALLOWED = re.compile(
-    r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/=+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[-_/=+]*"
+    rf"[-_/=+]*{PIECE}(?:[-_/=+]+{PIECE})*[-_/=+]*"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
     r"|[-+_/=0-9]+")
 #: A digest that its own label declares (a checksum, not a secret).
 DECLARED = re.compile(r"(?:sha(?:1|224|256|384|512)|md5|integrity|checksum|commit)[\"']?[\x20:=-]{1,3}[\"']?$", re.IGNORECASE)
+_HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
 _XLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
 def character_class(candidate: str) -> str | None:
-    """``hex`` or ``mixed`` (letters and digits); None where no digit or no letter occurs."""
-    if not any(c.isdigit() for c in candidate) or not any(c.isalpha() for c in candidate):
+    """``hex``, or letters of ``lower``, ``upper`` or ``mixed`` case with digits, whatever
+    the joints; None where no digit or no letter occurs."""
+    seen = set(candidate) - set("+/_=-")
+    if not any(c.isdigit() for c in seen) or not any(c.isalpha() for c in seen):
         return None
-    return "hex" if all(c in "0123456789abcdefABCDEF" for c in candidate) else "mixed"
+    if seen <= _HEX_DIGITS:
+        return "hex"
+    return "lower" if not any(c.isupper() for c in seen) else "upper" if not any(c.islower() for c in seen) else "mixed"
 
 
 def entropy_spans(candidate: str, threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:
