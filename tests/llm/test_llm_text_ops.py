@@ -146,6 +146,19 @@ def test_random_mixed_case_keys_are_found_and_words_are_not():
         assert secrets.added_spans(clean, []) == [], clean
 
 
+def test_random_keys_without_a_digit_are_found_and_identifiers_are_not():
+    rng, letters = random.Random(4), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for alphabet in (letters, letters + "+/", letters + "_-"):
+        for length in (20, 24, 30, 40):
+            found, covered = shares_found(alphabet, length, rng)
+            assert found >= 0.95 and covered >= 0.93, (alphabet, length, found, covered)
+    for clean in ("getElementsByTagNameAndClass", "handleHTTPResponseCodeOfPage", "XMLHttpRequestFactoryBuilder", "/usr/share/doc/MyPackage",
+                  "some-PhD-thesis-on-URLs-and-PDFs", "iPhoneSettingsController2", "exportReportToPDF/andThenPrint", "/////////////////////////",
+                  "one_of_a_kind-fooBar-" * 20, "Landesverwaltungsgericht/Oberverwaltungsgericht"):
+        assert secrets.added_spans(clean, []) == [], clean
+    assert secrets.added_spans("fooBar-" * 2000 + "xQzWvKjRtYpLmNbGhXcD", [])  # and no endless matching
+
+
 def test_redact_keeps_rows_and_columns(spark):
     rows = [(1, "token=abcdefgh1", 15, "a"), (2, None, None, None), (None, "clean", 5, "b"), (1, "token=abcdefgh1", 15, "a")]
     out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string"))

@@ -37,11 +37,16 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Bits a character at or above which a window counts, by the alphabet that the candidate shows.
 #: Each is under the 0.5 % quantile of windows of uniform random keys over the smallest alphabet in
-#: use for it: 16 characters, 32 (base32 in either case), 58 (base58).
-THRESHOLDS = {"hex": 2.82, "lower": 3.28, "upper": 3.28, "mixed": 3.58}
-#: A word of one case or capitalised, a short one with a number (``python3``), a number, an ordinal or unit.
-PIECE = (r"(?:[A-Z]?[a-z]+|[A-Z]+|(?:[A-Z]?[a-z]{1,14}|[A-Z]{1,15})[0-9]{1,4}"
-         r"|[0-9]{1,4}(?:st|nd|rd|th|[dhkmpsx]|px|[kmg]b|[ap]m)?)")
+#: use for it: 16 characters, 32 (base32 in either case), 58 (base58), 52 (letters of both cases).
+THRESHOLDS = {"hex": 2.82, "lower": 3.28, "upper": 3.28, "mixed": 3.58, "letters": 3.52}
+#: Words in camel case; a word may be an acronym where all others have four letters or more or are common.
+CAMEL = (r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*"
+         r"|(?:[A-Z]?[a-z]{3,}|get|set|[A-Z]{2,5}(?=[A-Z][a-z]{3}))(?:[A-Z][a-z]{3,}|(?:And|As|At|By|For|In|Is|Not|Of|On|Or|To)(?![a-z])"
+         r"|[A-Z]{2,4}(?=[A-Z][a-z]{3}|[^A-Za-z]|$))*)[0-9]{0,4}")
+#: A word of one case, a short one with a number (``python3``), a short name, camel case, a number, an
+#: ordinal or unit.  Atomic, as one text may be several of these.
+PIECE = (r"(?>(?:[a-z]+|[A-Z]+|(?:[a-z]{1,14}|[A-Z]{1,15})[0-9]{1,4}|[A-Za-z]{1,3}|[A-Z]{2,5}s|" + CAMEL +
+         r"|[0-9]{1,4}(?:st|nd|rd|th|[dhkmpsx]|px|[kmg]b|[ap]m)?)(?![A-Za-z0-9]))")
 #: Candidates that are no secrets: pieces with or without joints (prose, paths, slugs,
 #: constants); UUIDs; and numbers.
 ALLOWED = re.compile(
@@ -54,14 +59,14 @@ _HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
 _XLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def character_class(candidate: str) -> str | None:
-    """``hex``, or letters of ``lower``, ``upper`` or ``mixed`` case with digits, whatever
-    the joints; None where no digit or no letter occurs."""
+def character_class(candidate: str) -> str:
+    """``hex``, ``letters`` without a digit, or letters of ``lower``, ``upper`` or ``mixed``
+    case with digits, whatever the joints."""
     seen = set(candidate) - set("+/_=-")
-    if not any(c.isdigit() for c in seen) or not any(c.isalpha() for c in seen):
-        return None
     if seen <= _HEX_DIGITS:
         return "hex"
+    if not any(c.isdigit() for c in seen):
+        return "letters"
     return "lower" if not any(c.isupper() for c in seen) else "upper" if not any(c.islower() for c in seen) else "mixed"
 
 
@@ -105,10 +110,9 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     starts, furthest = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
     for m in CANDIDATE.finditer(text):
         candidate = m.group()
-        kind = character_class(candidate)
-        if kind is None or ALLOWED.fullmatch(candidate) or DECLARED.search(text[max(0, m.start() - 24):m.start()]):
+        if ALLOWED.fullmatch(candidate) or DECLARED.search(text[max(0, m.start() - 24):m.start()]):
             continue
-        for a, b in entropy_spans(candidate, THRESHOLDS[kind]):
+        for a, b in entropy_spans(candidate, THRESHOLDS[character_class(candidate)]):
             a, b = a + m.start(), b + m.start()
             at = bisect_right(starts, a)
             if not at or furthest[at - 1] < b:
