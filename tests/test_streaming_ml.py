@@ -85,3 +85,20 @@ def test_kmeans_and_recursive_forecast_plans(spark):
     fc = qs["forecast_recursive_products"](spark, SF)
     g = fc.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.min("forecast").alias("lo")).collect()
     assert all(r.n == 30 and r.lo >= 0 for r in g)
+
+
+def test_forecast_search_registers_a_hundred_trials_over_all_parameters(spark, monkeypatch):
+    settings = ml.search_settings(100)
+    assert settings == ml.search_settings(100) and len({tuple(p.items()) for p in settings}) == 100
+    for name, lo, hi in (("maxIter", 50, 500), ("stepSize", 0.01, 0.3), ("maxDepth", 2, 8), ("minInstancesPerNode", 1, 10),
+                         ("subsamplingRate", 0.5, 1.0), ("featureSubsetStrategy", 0.5, 1.0)):
+        seen = [float(p[name]) for p in settings]
+        assert lo <= min(seen) < lo + 0.2 * (hi - lo) and hi - 0.2 * (hi - lo) < max(seen) <= hi, name
+    asked = []
+    small = [{"maxIter": n, "stepSize": 0.2, "maxDepth": 2, "minInstancesPerNode": 3, "subsamplingRate": 0.8,
+              "featureSubsetStrategy": "0.6"} for n in (2, 4)]
+    monkeypatch.setattr(ml, "search_settings", lambda trials, seed: asked.append(trials) or small)
+    rows = e.queries()["forecast_search"](spark, SF).orderBy("trial").collect()
+    assert asked == [100]
+    assert [(r.trial, r.max_iter, r.min_instances_per_node, r.feature_share) for r in rows] == [(0, 2, 3, 0.6), (1, 4, 3, 0.6)]
+    assert rows[0].val_mape != rows[1].val_mape and all(r.val_mape > 0 for r in rows)

@@ -10,9 +10,11 @@ by nature inside one series) and for the unit-root test (Q9).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -294,38 +296,57 @@ def daily_model_table(daily_feats: DataFrame) -> DataFrame:
         F.weekday("date").cast("double").alias("day_of_week"), F.month("date").cast("double").alias("month"))
 
 
+def _forecast_rows(table: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows with their split and feature vector; a calendar-sized table, so one partition."""
+    from tillroll.operators.timeseries import chrono_split
+    t = chrono_split(table, 30, 30, required=list(features))
+    t = t.filter(F.col("split") != "Dropped").withColumn("is_val", F.col("split") == "Validation")
+    return cut_lineage(assemble(t, features).coalesce(1))
+
+
 def train_forecast(table: DataFrame, features: Sequence[str] = DAILY_MODEL_FEATURES,
                    params: dict | None = None) -> tuple[DataFrame, object]:
     """D6q boosted-tree regressor with early stopping on the validation
     split; returns (predictions with split, model)."""
-    from tillroll.operators.timeseries import chrono_split
-    t = chrono_split(table, 30, 30, required=list(features))
-    t = t.filter(F.col("split") != "Dropped").withColumn("is_val", F.col("split") == "Validation")
-    t = cut_lineage(assemble(t, features))
-    fit_on = t.filter(F.col("split") != "Test")
+    t = _forecast_rows(table, features)
     p = dict(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED)
     p.update(params or {})
     model = GBTRegressor(featuresCol="features", labelCol="actual", validationIndicatorCol="is_val",
-                         validationTol=0.001, **p).fit(fit_on)
+                         validationTol=0.001, **p).fit(t.filter(F.col("split") != "Test"))
     pred = model.transform(t).withColumnRenamed("prediction", "predicted").drop("features", "is_val")
     return pred, model
 
 
-def search_forecast(table: DataFrame, trials: int = 6, seed: int = SEED) -> DataFrame:
-    """D7q seeded random search over booster settings; validation MAPE per
-    trial (lowest first)."""
-    from tillroll.operators.forecasting import forecast_metrics
+def search_settings(trials: int, seed: int = SEED) -> list[dict]:
+    """Seeded random settings over the reference's ranges, the step size on a log scale."""
     rng = np.random.default_rng(seed)
+    return [{"maxIter": int(rng.integers(50, 501)), "stepSize": float(np.exp(rng.uniform(np.log(0.01), np.log(0.3)))),
+             "maxDepth": int(rng.integers(2, 9)), "minInstancesPerNode": int(rng.integers(1, 11)),
+             "subsamplingRate": float(rng.uniform(0.5, 1.0)), "featureSubsetStrategy": str(float(rng.uniform(0.5, 1.0)))}
+            for _ in range(trials)]
+
+
+def search_forecast(table: DataFrame, trials: int = 100, seed: int = SEED,
+                    features: Sequence[str] = DAILY_MODEL_FEATURES) -> DataFrame:
+    """D7q seeded random search over booster settings: each is fitted on the
+    training split with all its rounds and scored by its validation MAPE.
+    The driver keeps several fits of the small table going at once."""
+    from tillroll.operators.forecasting import forecast_metrics
     spark = table.sparkSession
-    rows = []
-    for i in range(trials):
-        prm = {"maxDepth": int(rng.integers(2, 7)), "stepSize": float(np.round(rng.uniform(0.03, 0.3), 3)),
-               "maxIter": int(rng.integers(20, 120)), "subsamplingRate": float(np.round(rng.uniform(0.6, 1.0), 2))}
-        pred, _ = train_forecast(table, params=prm)
-        m = forecast_metrics(pred).filter(F.col("split") == "Validation").first()
-        rows.append((i, prm["maxDepth"], prm["stepSize"], prm["maxIter"], prm["subsamplingRate"], float(m["mape"])))
-    return spark.createDataFrame(rows, "trial long, max_depth long, step_size double, max_iter long, "
-                                       "subsampling_rate double, val_mape double")
+    t = _forecast_rows(table, features)
+    train, val = t.filter(F.col("split") == "Train"), t.filter(F.col("split") == "Validation")
+
+    def trial(prm: dict) -> float:
+        model = GBTRegressor(featuresCol="features", labelCol="actual", seed=SEED, **prm).fit(train)
+        pred = model.transform(val).withColumnRenamed("prediction", "predicted")
+        return float(forecast_metrics(pred).first()["mape"])
+    settings = search_settings(trials, seed)
+    with ThreadPool(max(1, min(spark.sparkContext.defaultParallelism, trials))) as pool:
+        mapes = pool.map(inheritable_thread_target(spark)(trial), settings, chunksize=1)
+    rows = [(i, p["maxDepth"], p["stepSize"], p["maxIter"], p["subsamplingRate"], p["minInstancesPerNode"],
+             float(p["featureSubsetStrategy"]), m) for i, (p, m) in enumerate(zip(settings, mapes, strict=True))]
+    return spark.createDataFrame(rows, "trial long, max_depth long, step_size double, max_iter long, subsampling_rate double, "
+                                       "min_instances_per_node long, feature_share double, val_mape double")
 
 
 PANEL_FEATURES = ["lag_1", "lag_7", "mean_7", "mean_28"]

@@ -234,9 +234,9 @@ def forecast_gbt_metrics(spark, sf_dir):
 
 
 @register("forecast_search", "D7q", "trial bigint, max_depth bigint, step_size double, max_iter bigint, "
-          "subsampling_rate double, val_mape double")
+          "subsampling_rate double, min_instances_per_node bigint, feature_share double, val_mape double")
 def forecast_search(spark, sf_dir):
-    return ml.search_forecast(_daily_table(spark, sf_dir), trials=4)
+    return ml.search_forecast(_daily_table(spark, sf_dir), trials=100)
 
 
 @register("forecast_recursive_products", "D9q", "product_id string, date date, step bigint, forecast double")
