@@ -20,7 +20,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -361,20 +361,50 @@ def _panel_inputs(series: DataFrame, key: str, value: str) -> DataFrame:
         F.avg(value).over(w.rowsBetween(-28, -1)).alias("mean_28"))
 
 
+def _tree_arrays(model) -> tuple[np.ndarray, ...]:
+    """A boosted model as one node table: feature, threshold, left, right, value, the root and
+    weight of each tree, and the greatest depth.  A leaf is its own child."""
+    nodes: list[tuple[int, float, int, int, float]] = []
+
+    def add(node) -> int:
+        at = len(nodes)
+        nodes.append((0, 0.0, at, at, float(node.prediction())))
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            feature, threshold = int(split.featureIndex()), float(split.threshold())
+            nodes[at] = (feature, threshold, add(node.leftChild()), add(node.rightChild()), 0.0)
+        return at
+    roots = [add(t._call_java("rootNode")) for t in model.trees]
+    return (*(np.array(c) for c in zip(*nodes, strict=True)), np.array(roots), np.array(model.treeWeights),
+            np.array(max(t.depth for t in model.trees)))
+
+
+def _boosted(arrays: tuple[np.ndarray, ...], x: Sequence[float]) -> float:
+    """What the boosted model predicts for one row: all trees are descended at once."""
+    feature, threshold, left, right, value, at, weights, depth = arrays
+    x = np.asarray(x, dtype=float)
+    for _ in range(int(depth)):
+        at = np.where(x[feature[at]] <= threshold[at], left[at], right[at])
+    return float(np.dot(value[at], weights))
+
+
 def forecast_recursive(series: DataFrame, key: str = "product_id", value: str = "qty",
-                       horizon: int = 30, history: int = 28) -> DataFrame:
+                       horizon: int = 30, history: int = 28, rounds: int = 100) -> DataFrame:
     """D9q recursive multi-step forecast for every series in parallel.
 
-    A linear model on lag features is fitted on all series with Spark ML;
-    its coefficients (a handful of numbers) go to the executors, where each
+    Days without a row, up to the last day of all series, count as 0.  A
+    boosted-tree model on lag features is fitted on all series with Spark ML;
+    its trees (a few thousand numbers) go to the executors, where each
     series — only its last ``history`` days — steps forward ``horizon`` days,
     every prediction feeding the next step's features, floored at 0."""
+    from tillroll.operators.timeseries import densify_panel
+    end = series.agg(F.max("date").alias("_end"))
+    series = densify_panel(series, key, (value,), to_last=True)
     inputs = _panel_inputs(series, key, value).na.drop()
-    lr = LinearRegression(featuresCol="features", labelCol="y", regParam=0.01).fit(assemble(inputs, PANEL_FEATURES))
-    coef = [float(c) for c in lr.coefficients.toArray()]
-    icpt = float(lr.intercept)
-    last = series.withColumn("_rk", F.row_number().over(Window.partitionBy(key).orderBy(F.col("date").desc())))
-    tail = last.filter(F.col("_rk") <= history).select(key, "date", F.col(value).cast("double").alias("y"))
+    arrays = _tree_arrays(GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=4, stepSize=0.1,
+                                       seed=SEED).fit(assemble(inputs, PANEL_FEATURES).select("features", "y")))
+    tail = series.crossJoin(F.broadcast(end)).filter(F.col("date") > F.date_sub("_end", history)).select(
+        key, "date", F.col(value).cast("double").alias("y"))
 
     def step(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
@@ -384,7 +414,7 @@ def forecast_recursive(series: DataFrame, key: str = "product_id", value: str =
         for h in range(1, horizon + 1):
             arr = np.asarray(hist, dtype=float)
             x = [arr[-1], arr[-7] if len(arr) >= 7 else arr[0], arr[-7:].mean(), arr[-28:].mean()]
-            yhat = max(0.0, icpt + float(np.dot(coef, x)))
+            yhat = max(0.0, _boosted(arrays, x))
             hist.append(yhat)
             out.append((pdf[key].iloc[0], (start + pd.Timedelta(days=h)).date(), h, yhat))
         return pd.DataFrame(out, columns=[key, "date", "step", "forecast"])

@@ -243,10 +243,13 @@ def flag_partial_weeks(weekly: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def densify_panel(pdy: DataFrame, key: str = "product_id", cols: Sequence[str] = (
-        "daily_sales_amount", "daily_quantity_sold")) -> DataFrame:
-    """J9 per series: every day between the series' own first and last day,
-    absent days filled with 0 (output is linear in the spans)."""
+        "daily_sales_amount", "daily_quantity_sold"), to_last: bool = False) -> DataFrame:
+    """J9 per series: every day between the series' own first and last day
+    (``to_last``: the last day of all series), absent days filled with 0
+    (output is linear in the spans)."""
     span = pdy.groupBy(key).agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
+    if to_last:
+        span = span.drop("_hi").crossJoin(F.broadcast(pdy.agg(F.max("date").alias("_hi"))))
     spine = span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
     j = spine.join(pdy, [key, "date"], "left")
     return j.select("date", key, *[F.coalesce(F.col(c), F.lit(0).cast(pdy.schema[c].dataType)).alias(c) for c in cols])
