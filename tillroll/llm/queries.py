@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("lines", "bpe", "forest", "secrets", "quality", "weaklabels", "packing", "jaccard", "suffixes", "chat")
+MODULES = ("lines", "bpe", "forest", "secrets", "quality", "weaklabels", "packing", "jaccard", "suffixes", "chat",
+           "merkle")
 
 
 def queries() -> dict:
