@@ -25,12 +25,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     folders are removed when the driver's Python ends.
     """
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = kept_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def kept_path(spark: SparkSession, name: str) -> str:
+    """A fresh shared folder that is removed when the driver's Python ends."""
+    path = shared_path(spark, name)
     if not _WRITTEN:
         atexit.register(remove_staged)
     _WRITTEN.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def remove_staged() -> None:
