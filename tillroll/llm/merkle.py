@@ -76,8 +76,9 @@ def numbered(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     key = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
     order = ["part", F.col("doc_id").asc_nulls_first(), "leaf"]
+    hashed = staged(rows.withColumn("part", key), "merkle-hashes")  # sampled and dealt out from here: texts are read once
     placed = staged(
-        rows.withColumn("part", key).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+        hashed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
         .withColumn("pid", F.spark_partition_id())
         .withColumn("at", F.monotonically_increasing_id() - F.shiftleft(F.col("pid").cast("long"), 33)), "merkle-leaves")
     counts = placed.groupBy("pid", "part").agg(F.count("*").alias("c"), F.min("at").alias("first"))

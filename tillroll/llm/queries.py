@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("lines", "bpe", "forest", "secrets", "quality", "weaklabels", "packing", "jaccard", "suffixes", "chat",
-           "merkle", "warc")
+           "merkle", "warc", "alignment")
 
 
 def queries() -> dict:

@@ -145,7 +145,7 @@ def measured(piece: bytes) -> tuple[dict[str, list[str]], int, int] | None:
     for line in piece[:end].decode("utf-8", "replace").split("\r\n")[1:]:
         key, colon, value = line.partition(":")
         if line[:1] in (" ", "\t") and last:  # a folded line goes on with the last field
-            fields[last][-1] += " " + line.strip()
+            fields[last][-1] = f"{fields[last][-1]} {line.strip()}".strip()
         elif colon:
             last = key.strip().lower()
             fields.setdefault(last, []).append(value.strip())
