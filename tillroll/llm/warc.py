@@ -235,7 +235,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 def captures(found: DataFrame) -> DataFrame:
     """One row for each transaction: ``capture`` (the response, revisit or resource record, null
-    if missing), ``requests`` and ``metadata`` (by record id), each with the columns of ``found``."""
+    if missing), ``requests`` and ``metadata`` (by record id), each with the columns of ``found``,
+    which is read several times: give it as a written table."""
     whole = F.struct(*found.columns).alias("one")
     answers = found.where(F.col("type").isin("response", "revisit", "resource")).select(F.col("record_id").alias("key"), whole)
     others = found.where(F.col("type").isin("request", "metadata"))
@@ -256,7 +257,8 @@ def captures(found: DataFrame) -> DataFrame:
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = kept_path(spark, "warc")
     write(marked(table(spark, sf_dir, "pages")), path)
-    made = staged(captures(records(spark, path).drop("payload", "date", "profile", "target_uri")), "warc-captures")
+    found = staged(records(spark, path).drop("payload", "date", "profile", "target_uri"), "warc-records")  # read once
+    made = staged(captures(found), "warc-captures")
     page_id = F.regexp_extract(F.get("metadata", F.lit(0))["head"], r"(?m)^page-id: (-?\d+)", 1)
     rows = made.select("capture.record_id", F.when(page_id != "", page_id.cast("long")).alias("page_id"), "capture.payload_bytes",
                        "capture.payload_digest", F.col("capture.type").alias("record_type"), "capture.refers_to")
