@@ -51,10 +51,13 @@ OTHER_WHITE = "\t-\r\x1c-\x1f\x85\xa0 ᠎ -     　"
 HARD = re.compile(f"[{OTHER_WHITE}] ")
 CUT = re.compile(f"(?<=[^ {OTHER_WHITE}])(?= )")
 WORDS = re.compile(" *[^ ]+| +")
+WHITE_END = re.compile(f"[{OTHER_WHITE}]")
+#: Characters of new segments that are encoded in one call.
+BLOCK_CHARS = 4_000
 #: Text of one chunk; bounds the working arrays (about 100 bytes for each byte of text).
 CHUNK_BYTES = 2 << 20
 #: Tokens remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 5_000_000
 COMMA, BAR, SEMICOLON, END = range(4)
 
 
@@ -105,49 +108,67 @@ class Aligner:
         self.starts, self.sizes, self.whole = (array("q", [0]), array("q", [0])), array("q"), array("b")
         self.ids, self.ends = ([], []), ([], [])
 
-    def _learn(self, segments: list[str]) -> None:
-        """Tokens of new segments, each of which begins with a space; B adds its own."""
-        coded_a = self.a.encode_batch(segments, add_special_tokens=False)
-        coded_b = self.b.encode([s[1:] for s in segments], return_type="proto", num_threads=1)
+    def _learn(self, segments: list[str], alone: bool = False) -> None:
+        """Tokens of new segments, each of which begins with a space; B adds its own.
+
+        Segments that end in a non-space are joined to blocks, which the tokenizers cut there again
+        (``alone``: each one is a block); others, and those with B's space mark, stay alone."""
+        segments = sorted(segments, key=self._odd)
+        blocks, sizes = [], []
+        for segment in segments:
+            if alone or not blocks or len(blocks[-1]) > BLOCK_CHARS or self._odd(segment):
+                blocks.append("")
+                sizes.append(0)
+            blocks[-1] += segment
+            sizes[-1] += 1
         joined = "".join(segments)
-        raw = joined.encode()
-        chars = np.fromiter(map(len, segments), np.int64, len(segments))
         code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         wide = np.concatenate([[0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))])  # characters to bytes
-        upto = np.cumsum(chars)
-        starts, sizes = wide[upto - chars], wide[upto] - wide[upto - chars]
-
-        counts = np.fromiter((len(x) for x in coded_a), np.int64, len(segments))
-        found = np.array([o for x in coded_a for o in x.offsets], np.int64).reshape(-1, 2) + np.repeat(upto - chars, counts)[:, None]
-        first = np.repeat(np.cumsum(counts) - counts, counts)
+        upto = wide[np.cumsum(np.fromiter(map(len, segments), np.int64, len(segments)))]
+        chars = np.fromiter(map(len, blocks), np.int64, len(blocks))
+        char_at = np.cumsum(chars) - chars
+        byte_at = wide[char_at]
+
+        coded = self.a.encode_batch(blocks, add_special_tokens=False)
+        counts_a = np.fromiter(map(len, coded), np.int64, len(blocks))
+        found = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in coded)), np.int64).reshape(-1, 2)
+        found = wide[found + np.repeat(char_at, counts_a)[:, None]]
         sure = np.ones(len(found), bool)
         sure[:-1] = found[1:, 0] >= found[:-1, 1]
-        ids = np.array([i for x in coded_a for i in x.ids], np.int64)
-        ends = refined(wide[found[:, 1]] - np.repeat(starts, counts), sure, self.a_len[ids], first)
-        whole = self._kept(0, ids, ends, counts, raw, starts, sizes)
-
-        counts = np.fromiter((len(y.pieces) for y in coded_b), np.int64, len(segments))
-        spans = np.array([(p.id, p.begin, p.end) for y in coded_b for p in y.pieces], np.int64).reshape(-1, 3)
-        first = np.repeat(np.cumsum(counts) - counts, counts)
-        ends = refined(spans[:, 2] + 1, spans[:, 2] > spans[:, 1], self.b_len[spans[:, 0]], first)
-        whole &= self._kept(1, spans[:, 0], ends, counts, raw, starts, sizes)
+        ids_a = np.fromiter(chain.from_iterable(x.ids for x in coded), np.int64)
+        ends_a = refined(found[:, 1] - np.repeat(byte_at, counts_a), sure, self.a_len[ids_a], np.repeat(np.cumsum(counts_a) - counts_a, counts_a))
+
+        protos = [y.pieces for y in self.b.encode([t[1:] for t in blocks], return_type="proto", num_threads=1)]
+        counts_b = np.fromiter(map(len, protos), np.int64, len(blocks))
+        spans = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for y in protos for p in y), np.int64).reshape(-1, 3)
+        ids_b = spans[:, 0]
+        ends_b = refined(spans[:, 2] + 1, spans[:, 2] > spans[:, 1], self.b_len[ids_b], np.repeat(np.cumsum(counts_b) - counts_b, counts_b))
+
+        raw = joined.encode()
+        whole = np.ones(len(segments), bool)
+        for ids, words in ((ids_a, self.a_bytes), (ids_b, self.b_bytes)):
+            if b"".join([words[i] for i in ids.tolist()]) != raw:
+                if len(blocks) < len(segments):
+                    return self._learn(segments, alone=True)
+                cuts = np.concatenate([[0], np.cumsum(counts_a if ids is ids_a else counts_b)]).tolist()
+                whole &= np.array([b"".join([words[i] for i in ids[x:y].tolist()]) == t.encode()
+                                   for x, y, t in zip(cuts[:-1], cuts[1:], segments, strict=True)], bool)
+        start = np.concatenate([[0], upto[:-1]])
+        for k, (ids, ends, counts) in enumerate(((ids_a, ends_a, counts_a), (ids_b, ends_b, counts_b))):
+            if len(blocks) == len(segments):
+                each = counts
+            else:  # a block's tokens end where its segments do
+                each = np.bincount(np.searchsorted(upto, ends + np.repeat(byte_at, counts)), minlength=len(segments))
+            self.ids[k].append(ids.astype(np.int32))
+            self.ends[k].append((ends + np.repeat(byte_at, counts) - np.repeat(start, each)).astype(np.int32))
+            self.starts[k].frombytes((np.cumsum(each) + self.starts[k][-1]).astype(np.int64).tobytes())
         self.known.update(zip(segments, range(len(self.sizes), len(self.sizes) + len(segments)), strict=True))
-        self.sizes.extend(sizes.tolist())
-        self.whole.extend(whole.astype(np.int8).tolist())
-
-    def _kept(self, k: int, ids: np.ndarray, ends: np.ndarray, counts: np.ndarray, raw: bytes, starts: np.ndarray,
-              sizes: np.ndarray) -> np.ndarray:
-        """Store one side's tokens; whether their joined bytes are the segments' own."""
-        words, lengths = (self.a_bytes, self.a_len) if k == 0 else (self.b_bytes, self.b_len)
-        self.ids[k].append(ids.astype(np.int32))
-        self.ends[k].append(ends.astype(np.int32))
-        self.starts[k].extend((np.cumsum(counts) + self.starts[k][-1]).tolist())
-        spelt = b"".join([words[i] for i in ids.tolist()])
-        if spelt == raw:
-            return np.ones(len(counts), bool)
-        upto = np.concatenate([[0], np.cumsum(lengths[ids])])[np.cumsum(counts)]
-        before = np.concatenate([[0], upto[:-1]])
-        return np.array([spelt[a:b] == raw[c:c + d] for a, b, c, d in zip(before.tolist(), upto.tolist(), starts.tolist(), sizes.tolist(), strict=True)], bool)
+        self.sizes.frombytes((upto - start).astype(np.int64).tobytes())
+        self.whole.frombytes(whole.astype(np.int8).tobytes())
+
+    @staticmethod
+    def _odd(segment: str) -> bool:
+        return SPACE_MARK in segment or segment[-1] == " " or bool(WHITE_END.match(segment[-1]))
 
     def segments(self, text: str) -> list[str]:
         text = " " + text
