@@ -1,26 +1,23 @@
-"""Model-based operators on Spark ML (M1–M16, D6q, D7q, D9q, Q9).
+"""Model-based operators on Spark ML.
 
 Fits are distributed Spark ML estimators; the driver only loops over a
 handful of seeds / models / parameter settings, never over data.  Python
-runs on executors in two places, each parallel across series:
-``applyInPandas`` per product for the recursive forecast (D9q, sequential
-by nature inside one series) and for the unit-root test (Q9).
+runs on executors in one place, parallel across series: ``applyInPandas``
+per product for the unit-root test (Q9).  Forecasting models are in
+:mod:`model_forecasts` (the totals) and :mod:`panel_forecast` (products).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -281,146 +278,7 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     return spark.createDataFrame(rows, "feature string, auc_drop double")
 
 
-# ------------------------------------------------------------ forecasting
-DAILY_MODEL_FEATURES = ["lag_1_sales", "lag_7_sales", "lag_30_sales", "rolling_7_day_sales_lag1",
-                        "rolling_30_day_sales_lag1", "day_of_week", "month"]
-
-
-def daily_model_table(daily_feats: DataFrame) -> DataFrame:
-    """P17 leak-free inputs: trailing means shifted by one day, calendar parts."""
-    w = Window.orderBy("date")
-    return daily_feats.select(
-        "date", F.col("sales_amount").alias("actual"), "lag_1_sales", "lag_7_sales", "lag_30_sales",
-        F.lag("rolling_7_day_sales", 1).over(w).alias("rolling_7_day_sales_lag1"),
-        F.lag("rolling_30_day_sales", 1).over(w).alias("rolling_30_day_sales_lag1"),
-        F.weekday("date").cast("double").alias("day_of_week"), F.month("date").cast("double").alias("month"))
-
-
-def _forecast_rows(table: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows with their split and feature vector; a calendar-sized table, so one partition."""
-    from tillroll.operators.timeseries import chrono_split
-    t = chrono_split(table, 30, 30, required=list(features))
-    t = t.filter(F.col("split") != "Dropped").withColumn("is_val", F.col("split") == "Validation")
-    return cut_lineage(assemble(t, features).coalesce(1))
-
-
-def train_forecast(table: DataFrame, features: Sequence[str] = DAILY_MODEL_FEATURES,
-                   params: dict | None = None) -> tuple[DataFrame, object]:
-    """D6q boosted-tree regressor with early stopping on the validation
-    split; returns (predictions with split, model)."""
-    t = _forecast_rows(table, features)
-    p = dict(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED)
-    p.update(params or {})
-    model = GBTRegressor(featuresCol="features", labelCol="actual", validationIndicatorCol="is_val",
-                         validationTol=0.001, **p).fit(t.filter(F.col("split") != "Test"))
-    pred = model.transform(t).withColumnRenamed("prediction", "predicted").drop("features", "is_val")
-    return pred, model
-
-
-def search_settings(trials: int, seed: int = SEED) -> list[dict]:
-    """Seeded random settings over the reference's ranges, the step size on a log scale."""
-    rng = np.random.default_rng(seed)
-    return [{"maxIter": int(rng.integers(50, 501)), "stepSize": float(np.exp(rng.uniform(np.log(0.01), np.log(0.3)))),
-             "maxDepth": int(rng.integers(2, 9)), "minInstancesPerNode": int(rng.integers(1, 11)),
-             "subsamplingRate": float(rng.uniform(0.5, 1.0)), "featureSubsetStrategy": str(float(rng.uniform(0.5, 1.0)))}
-            for _ in range(trials)]
-
-
-def search_forecast(table: DataFrame, trials: int = 100, seed: int = SEED,
-                    features: Sequence[str] = DAILY_MODEL_FEATURES) -> DataFrame:
-    """D7q seeded random search over booster settings: each is fitted on the
-    training split with all its rounds and scored by its validation MAPE.
-    The driver keeps several fits of the small table going at once."""
-    from tillroll.operators.forecasting import forecast_metrics
-    spark = table.sparkSession
-    t = _forecast_rows(table, features)
-    train, val = t.filter(F.col("split") == "Train"), t.filter(F.col("split") == "Validation")
-
-    def trial(prm: dict) -> float:
-        model = GBTRegressor(featuresCol="features", labelCol="actual", seed=SEED, **prm).fit(train)
-        pred = model.transform(val).withColumnRenamed("prediction", "predicted")
-        return float(forecast_metrics(pred).first()["mape"])
-    settings = search_settings(trials, seed)
-    with ThreadPool(max(1, min(spark.sparkContext.defaultParallelism, trials))) as pool:
-        mapes = pool.map(inheritable_thread_target(spark)(trial), settings, chunksize=1)
-    rows = [(i, p["maxDepth"], p["stepSize"], p["maxIter"], p["subsamplingRate"], p["minInstancesPerNode"],
-             float(p["featureSubsetStrategy"]), m) for i, (p, m) in enumerate(zip(settings, mapes, strict=True))]
-    return spark.createDataFrame(rows, "trial long, max_depth long, step_size double, max_iter long, subsampling_rate double, "
-                                       "min_instances_per_node long, feature_share double, val_mape double")
-
-
-PANEL_FEATURES = ["lag_1", "lag_7", "mean_7", "mean_28"]
-
-
-def _panel_inputs(series: DataFrame, key: str, value: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy("date")
-    return series.select(
-        key, "date", F.col(value).cast("double").alias("y"),
-        F.lag(value, 1).over(w).cast("double").alias("lag_1"), F.lag(value, 7).over(w).cast("double").alias("lag_7"),
-        F.avg(value).over(w.rowsBetween(-7, -1)).alias("mean_7"),
-        F.avg(value).over(w.rowsBetween(-28, -1)).alias("mean_28"))
-
-
-def _tree_arrays(model) -> tuple[np.ndarray, ...]:
-    """A boosted model as one node table: feature, threshold, left, right, value, the root and
-    weight of each tree, and the greatest depth.  A leaf is its own child."""
-    nodes: list[tuple[int, float, int, int, float]] = []
-
-    def add(node) -> int:
-        at = len(nodes)
-        nodes.append((0, 0.0, at, at, float(node.prediction())))
-        if node.subtreeDepth() > 0:
-            split = node.split()
-            feature, threshold = int(split.featureIndex()), float(split.threshold())
-            nodes[at] = (feature, threshold, add(node.leftChild()), add(node.rightChild()), 0.0)
-        return at
-    roots = [add(t._call_java("rootNode")) for t in model.trees]
-    return (*(np.array(c) for c in zip(*nodes, strict=True)), np.array(roots), np.array(model.treeWeights),
-            np.array(max(t.depth for t in model.trees)))
-
-
-def _boosted(arrays: tuple[np.ndarray, ...], x: Sequence[float]) -> float:
-    """What the boosted model predicts for one row: all trees are descended at once."""
-    feature, threshold, left, right, value, at, weights, depth = arrays
-    x = np.asarray(x, dtype=float)
-    for _ in range(int(depth)):
-        at = np.where(x[feature[at]] <= threshold[at], left[at], right[at])
-    return float(np.dot(value[at], weights))
-
-
-def forecast_recursive(series: DataFrame, key: str = "product_id", value: str = "qty",
-                       horizon: int = 30, history: int = 28, rounds: int = 100) -> DataFrame:
-    """D9q recursive multi-step forecast for every series in parallel.
-
-    Days without a row, up to the last day of all series, count as 0.  A
-    boosted-tree model on lag features is fitted on all series with Spark ML;
-    its trees (a few thousand numbers) go to the executors, where each
-    series — only its last ``history`` days — steps forward ``horizon`` days,
-    every prediction feeding the next step's features, floored at 0."""
-    from tillroll.operators.timeseries import densify_panel
-    end = series.agg(F.max("date").alias("_end"))
-    series = densify_panel(series, key, (value,), to_last=True)
-    inputs = _panel_inputs(series, key, value).na.drop()
-    arrays = _tree_arrays(GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=4, stepSize=0.1,
-                                       seed=SEED).fit(assemble(inputs, PANEL_FEATURES).select("features", "y")))
-    tail = series.crossJoin(F.broadcast(end)).filter(F.col("date") > F.date_sub("_end", history)).select(
-        key, "date", F.col(value).cast("double").alias("y"))
-
-    def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        hist = list(pdf["y"].to_numpy())
-        start = pd.Timestamp(pdf["date"].iloc[-1])
-        out = []
-        for h in range(1, horizon + 1):
-            arr = np.asarray(hist, dtype=float)
-            x = [arr[-1], arr[-7] if len(arr) >= 7 else arr[0], arr[-7:].mean(), arr[-28:].mean()]
-            yhat = max(0.0, _boosted(arrays, x))
-            hist.append(yhat)
-            out.append((pdf[key].iloc[0], (start + pd.Timedelta(days=h)).date(), h, yhat))
-        return pd.DataFrame(out, columns=[key, "date", "step", "forecast"])
-    return tail.groupBy(key).applyInPandas(step, f"{key} string, date date, step int, forecast double")
-
-
+# ------------------------------------------------------------- unit roots
 # MacKinnon (2010) asymptotic critical values, constant-only regression
 # (fixed values of the published response surface, large-sample terms).
 ADF_CRITICAL = {"1%": -3.43035, "5%": -2.86154, "10%": -2.56677}

@@ -36,7 +36,7 @@ class Plan:
 REGISTRY: dict[str, Plan] = {}
 
 _MODULES = ("cleaning", "customers", "inventory", "demand", "quality", "decisions",
-            "models", "streams")
+            "models", "model_forecasts", "streams")
 
 
 def parse_schema(schema: str) -> tuple[tuple[str, str], ...]:

@@ -1,5 +1,7 @@
 """Model plans (M1–M16, D6q–D9q, Q9, E10).
 
+Forecasting models are in :mod:`tillroll.plans.model_forecasts`.
+
 Plans whose numbers depend on a learner's internals (k-means seeds, tree
 ensembles, boosted regressors) have no SQL oracle and are checked on rows
 only; the deterministic evaluation pieces (silhouette in closed form,
@@ -222,30 +224,6 @@ def churn_permutation_importance(spark, sf_dir):
     return ml.permutation_importance(fitted["logistic_regression"], ch, CHURN_FEATURES, "true_churn_flag")
 
 
-def _daily_table(spark, sf_dir):
-    return ml.daily_model_table(ts.daily_features(sales_ledger(spark, sf_dir)))
-
-
-@register("forecast_gbt_metrics", "D6q D4q P17", "split string, n bigint, mape double, mae double, rmse double, r2 double")
-def forecast_gbt_metrics(spark, sf_dir):
-    from tillroll.operators.forecasting import forecast_metrics
-    pred, _ = ml.train_forecast(_daily_table(spark, sf_dir))
-    return forecast_metrics(pred)
-
-
-@register("forecast_search", "D7q", "trial bigint, max_depth bigint, step_size double, max_iter bigint, "
-          "subsampling_rate double, min_instances_per_node bigint, feature_share double, val_mape double")
-def forecast_search(spark, sf_dir):
-    return ml.search_forecast(_daily_table(spark, sf_dir), trials=100)
-
-
-@register("forecast_recursive_products", "D9q", "product_id string, date date, step bigint, forecast double")
-def forecast_recursive_products(spark, sf_dir):
-    pdy = ts.product_daily(sales_ledger(spark, sf_dir)).select(
-        "product_id", "date", F.col("daily_quantity_sold").alias("qty"))
-    return ml.forecast_recursive(pdy, "product_id", "qty", horizon=30)
-
-
 @register("adf_products", "Q9", "product_id string, nobs bigint, adf_stat double, used_lag bigint, stationary bigint, "
           "crit_1pct double, crit_5pct double, crit_10pct double")
 def adf_products(spark, sf_dir):
