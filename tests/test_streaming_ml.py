@@ -1,9 +1,5 @@
 """Streaming extensions and learner plans (rows and invariants)."""
 
-import datetime
-
-import numpy as np
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as e
@@ -89,41 +85,3 @@ def test_kmeans_and_recursive_forecast_plans(spark):
     fc = qs["forecast_recursive_products"](spark, SF)
     g = fc.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.min("forecast").alias("lo")).collect()
     assert all(r.n == 30 and r.lo >= 0 for r in g)
-
-
-def test_forecast_search_registers_a_hundred_trials_over_all_parameters(spark, monkeypatch):
-    settings = ml.search_settings(100)
-    assert settings == ml.search_settings(100) and len({tuple(p.items()) for p in settings}) == 100
-    for name, lo, hi in (("maxIter", 50, 500), ("stepSize", 0.01, 0.3), ("maxDepth", 2, 8), ("minInstancesPerNode", 1, 10),
-                         ("subsamplingRate", 0.5, 1.0), ("featureSubsetStrategy", 0.5, 1.0)):
-        seen = [float(p[name]) for p in settings]
-        assert lo <= min(seen) < lo + 0.2 * (hi - lo) and hi - 0.2 * (hi - lo) < max(seen) <= hi, name
-    asked = []
-    small = [{"maxIter": n, "stepSize": 0.2, "maxDepth": 2, "minInstancesPerNode": 3, "subsamplingRate": 0.8,
-              "featureSubsetStrategy": "0.6"} for n in (2, 4)]
-    monkeypatch.setattr(ml, "search_settings", lambda trials, seed: asked.append(trials) or small)
-    rows = e.queries()["forecast_search"](spark, SF).orderBy("trial").collect()
-    assert asked == [100]
-    assert [(r.trial, r.max_iter, r.min_instances_per_node, r.feature_share) for r in rows] == [(0, 2, 3, 0.6), (1, 4, 3, 0.6)]
-    assert rows[0].val_mape != rows[1].val_mape and all(r.val_mape > 0 for r in rows)
-
-
-def test_recursive_forecast_counts_days_without_sales(spark):
-    day = datetime.date(2024, 1, 1)
-    sold = [("often", day + datetime.timedelta(days=i), 10.0) for i in range(120)]
-    sold += [("weekly", day + datetime.timedelta(days=i), 10.0) for i in range(0, 120, 7)]
-    sold += [("ended", day + datetime.timedelta(days=i), 10.0) for i in range(40)]
-    out = ml.forecast_recursive(spark.createDataFrame(sold, "product_id string, date date, qty double"), rounds=20).collect()
-    mean = {p: sum(r.forecast for r in out if r.product_id == p) / 30 for p in ("often", "weekly", "ended")}
-    assert {r.date for r in out} == {day + datetime.timedelta(days=120 + i) for i in range(30)} and len(out) == 90
-    assert 9 < mean["often"] < 11 and 0.5 < mean["weekly"] < 3 and mean["ended"] < 0.5, mean
-
-
-def test_trees_on_executors_predict_as_the_model(spark):
-    rng = np.random.default_rng(3)
-    rows = [(*map(float, x), float(x[0] * 2 + (x[1] > 0.5) * 5 + x[2] * x[3])) for x in rng.random((300, 4))]
-    table = ml.assemble(spark.createDataFrame(rows, [*ml.PANEL_FEATURES, "y"]), ml.PANEL_FEATURES)
-    model = GBTRegressor(featuresCol="features", labelCol="y", maxIter=8, maxDepth=4).fit(table)
-    arrays = ml._tree_arrays(model)
-    for r in model.transform(table).collect():
-        assert abs(ml._boosted(arrays, r.features.toArray()) - r.prediction) < 1e-9
