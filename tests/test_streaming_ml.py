@@ -1,5 +1,8 @@
 """Streaming extensions and learner plans (rows and invariants)."""
 
+import datetime
+
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as e
@@ -62,6 +65,60 @@ def test_alerts_hand_over_between_batches(spark, tmp_path):
     assert own == [(1, True), (5, False), (9, False)]
 
 
+def test_alerts_go_on_after_a_restart(spark, tmp_path):
+    """Files that come after a stop are alerted on against the last window before it; each batch
+    reads its own files only."""
+    source, folder = tmp_path / "events", str(tmp_path / "run")
+    day = lambda d: f"2024-01-{d:02d} 05:00:00"
+
+    def more(*rows):
+        df = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double")
+        df.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(str(source))
+
+    def run():
+        stream = spark.readStream.schema("event_id long, ts timestamp, event_type string, value double").option(
+            "maxFilesPerTrigger", 1).parquet(str(source))
+        return ev.run_surge_alerts(ev.windowed_totals(stream), "again", folder=folder).orderBy("event_type", "window_start").collect()
+
+    more((1, day(1), "a", 10.0), (2, day(1), "b", 4.0))
+    more((3, day(2), "a", 13.0))
+    more((4, day(5), "a", 5.0))
+    before = run()
+    assert [(r.event_type, r.window_start.day, r.previous_total, r.alert) for r in before] == [
+        ("a", 1, None, None), ("a", 2, 10.0, "surge"), ("b", 1, None, None)]
+    more((5, day(8), "b", 4.5))
+    more((6, day(12), "a", 5.0))
+    after = run()
+    assert [(r.event_type, r.window_start.day, r.previous_total, r.alert) for r in after] == [
+        ("a", 1, None, None), ("a", 2, 10.0, "surge"), ("a", 5, 13.0, "drop"), ("b", 1, None, None), ("b", 8, 4.0, None)]
+    assert run() == after
+
+
+def test_adf_decides_and_declines(spark):
+    assert [round(ml.adf_p_value(s), 2) for s in (-3.43035, -2.86154, -2.56677)] == [0.01, 0.05, 0.1]
+    assert ml.adf_p_value(3) == 1 and ml.adf_p_value(-30) == 0 and abs(ml.adf_p_value(-1.61) - 0.478) < 0.01
+    rng = np.random.default_rng(4)
+    noise, steps = rng.normal(size=200), np.cumsum(rng.normal(size=200))
+    series = {"noise": noise, "walk": steps, "line": np.arange(40.0), "flat": np.full(40, 3.0), "short": noise[:10],
+              "cycle": np.tile([0.0, 1.0], 30), "impulse": np.eye(1, 60, 30)[0]}
+    rows = [(k, datetime.date(2020, 1, 1) + datetime.timedelta(days=i), float(v)) for k, y in series.items() for i, v in enumerate(y)]
+    rows += [("noise", datetime.date(2030, 1, 1), None)]
+    got = {r.k: r for r in ml.adf_by_series(spark.createDataFrame(rows, "k string, date date, v double"), "k", "v").collect()}
+    assert got["noise"].stationary == 1 and got["noise"].p_value < 1e-6 and got["noise"].nobs == 200
+    assert got["walk"].stationary == 0 and got["walk"].p_value > 0.05
+    for k in ("line", "flat", "short", "cycle"):
+        assert (got[k].adf_stat, got[k].p_value, got[k].stationary) == (None, None, None), k
+    # by the definition, for the order that was chosen
+    for k in ("noise", "walk", "impulse"):
+        y, p = series[k], got[k].used_lag
+        d = np.diff(y)
+        x = np.column_stack([np.ones(len(d) - p), y[p:-1], *[d[p - j:-j] for j in range(1, p + 1)]])
+        beta = np.linalg.pinv(x) @ d[p:]
+        resid = d[p:] - x @ beta
+        se = np.sqrt(resid @ resid / (len(x) - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+        assert abs(got[k].adf_stat - beta[1] / se) < 1e-6, k
+
+
 def test_repeated_ids_over_several_files(spark, tmp_path):
     stream, _ = _event_files(spark, str(tmp_path / "events"))
     ids = [r.event_id for r in ev.run_to_table(ev.dedupe_events(stream, delay="30 days"), "ids").collect()]

@@ -10,6 +10,7 @@ per product for the unit-root test (Q9).  Forecasting models are in
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -279,48 +280,81 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
 
 
 # ------------------------------------------------------------- unit roots
-# MacKinnon (2010) asymptotic critical values, constant-only regression
-# (fixed values of the published response surface, large-sample terms).
+# Fixed values, regression with a constant: MacKinnon (2010) large-sample critical values, and the
+# response surface of MacKinnon (1994) for p-values: polynomials in the statistic whose normal
+# probability is p, below and above the switch-over; 0 and 1 beyond the range.
 ADF_CRITICAL = {"1%": -3.43035, "5%": -2.86154, "10%": -2.56677}
+ADF_SMALL_P, ADF_LARGE_P = (2.1659, 1.4412, 0.038269), (1.7339, 0.93202, -0.12745, -0.010368)
+ADF_SWITCH, ADF_LOWEST, ADF_HIGHEST = -1.61, -18.83, 2.74
+
+
+def adf_p_value(stat: float) -> float:
+    """p-value of an ADF statistic (constant, no trend)."""
+    if stat > ADF_HIGHEST:
+        return 1.0
+    if stat < ADF_LOWEST:
+        return 0.0
+    terms = ADF_SMALL_P if stat <= ADF_SWITCH else ADF_LARGE_P
+    return NormalDist().cdf(sum(c * stat ** k for k, c in enumerate(terms)))
+
+
+def adf_statistic(y: np.ndarray) -> tuple[float, int] | None:
+    """(statistic, lag order by AIC over one sample), None where the series decides nothing: too
+    short, constant, lags that depend on each other, or a fit without residuals."""
+    n = len(y)
+    dy = np.diff(y)
+    most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
+    if most < 0 or not np.isfinite(y).all():
+        return None
+    floor = 1e-14 * max(float(np.mean(dy ** 2)), 1e-300)
+
+    def fitted(p: int, first: int):
+        """(coefficients, design, mean squared residual) of the regression with p lags, None if its columns depend."""
+        target = dy[first:]
+        x = np.column_stack([np.ones_like(target), y[first:-1], *[dy[first - j:-j] for j in range(1, p + 1)]])
+        scale = np.sqrt((x ** 2).sum(0))
+        if (scale == 0).any():
+            return None
+        beta, _, rank, _ = np.linalg.lstsq(x / scale, target, rcond=1e-10)
+        if rank < x.shape[1] or len(target) <= x.shape[1]:
+            return None
+        resid = target - x / scale @ beta
+        return beta / scale, x, float(resid @ resid) / len(target)
+
+    best = None
+    for p in range(most + 1):
+        got = fitted(p, most)
+        if got is None:
+            continue
+        if got[2] <= floor:
+            return None
+        aic = (n - 1 - most) * np.log(got[2]) + 2 * (p + 2)
+        if best is None or aic < best[0]:
+            best = (aic, p)
+    got = None if best is None else fitted(best[1], best[1])
+    if got is None or got[2] <= floor:
+        return None
+    beta, x, mean_sq = got
+    s2 = mean_sq * len(x) / (len(x) - x.shape[1])
+    r = np.linalg.qr(x, mode="r")
+    width = np.linalg.solve(r.T, np.eye(x.shape[1])[1])  # the second row of R^-1, transposed
+    return float(beta[1] / np.sqrt(s2 * (width @ width))), best[1]
 
 
 def adf_by_series(series: DataFrame, key: str, value: str, min_obs: int = 20) -> DataFrame:
-    """Q9 augmented Dickey–Fuller statistic per series (constant, lag order
-    by AIC up to 12·(n/100)^¼), with 1/5/10 % critical values and the
-    stationarity verdict at 5 %."""
+    """Q9 augmented Dickey-Fuller test per series (constant, lag order by AIC up to
+    12 (n/100)^1/4): statistic, p-value, verdict at p < 0.05, and the 1/5/10 % critical values.
+    A series that decides nothing has null in all of them; null values are left out."""
+    kind = series.schema[key].dataType.simpleString()
+
     def adf(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("date")[value].to_numpy(dtype=float)
-        k = pdf[key].iloc[0]
-        n = len(y)
-        if n < min_obs or np.allclose(y, y[0]):
-            return pd.DataFrame([(k, n, None, None, None)], columns=[key, "nobs", "adf_stat", "used_lag", "stationary"])
-        maxlag = int(np.ceil(12 * (n / 100) ** 0.25))
-        maxlag = max(0, min(maxlag, n // 2 - 2))
-        dy = np.diff(y)
-        best = None
-        for p in range(maxlag + 1):
-            t0 = maxlag  # same sample for every lag order
-            Y = dy[t0:]
-            cols = [np.ones_like(Y), y[t0:-1]] + [dy[t0 - j:-j] for j in range(1, p + 1)]
-            X = np.column_stack(cols)
-            beta, *_ = np.linalg.lstsq(X, Y, rcond=None)
-            resid = Y - X @ beta
-            m = len(Y)
-            sigma2 = resid @ resid / m
-            aic = m * np.log(sigma2) + 2 * X.shape[1]
-            if best is None or aic < best[0]:
-                best = (aic, p)
-        p = best[1]
-        Y = dy[p:]
-        X = np.column_stack([np.ones_like(Y), y[p:-1]] + [dy[p - j:-j] for j in range(1, p + 1)])
-        beta, *_ = np.linalg.lstsq(X, Y, rcond=None)
-        resid = Y - X @ beta
-        dof = len(Y) - X.shape[1]
-        s2 = resid @ resid / dof
-        cov = s2 * np.linalg.inv(X.T @ X)
-        stat = beta[1] / np.sqrt(cov[1, 1])
-        return pd.DataFrame([(k, n, float(stat), int(p), int(stat < ADF_CRITICAL["5%"]))],
-                            columns=[key, "nobs", "adf_stat", "used_lag", "stationary"])
+        y = pdf.dropna(subset=[value]).sort_values("date")[value].to_numpy(dtype=float)
+        got = adf_statistic(y) if len(y) >= min_obs and not np.allclose(y, y[0]) else None
+        stat, lag = got or (None, None)
+        p = None if got is None else adf_p_value(stat)
+        return pd.DataFrame([(pdf[key].iloc[0], len(y), stat, lag, p, None if p is None else int(p < 0.05))],
+                            columns=[key, "nobs", "adf_stat", "used_lag", "p_value", "stationary"])
+
     out = series.select(key, "date", value).groupBy(key).applyInPandas(
-        adf, f"{key} string, nobs long, adf_stat double, used_lag long, stationary long")
+        adf, f"`{key}` {kind}, nobs long, adf_stat double, used_lag long, p_value double, stationary long")
     return out.select("*", *[F.lit(v).alias(f"crit_{k[:-1]}pct") for k, v in ADF_CRITICAL.items()])

@@ -224,7 +224,7 @@ def churn_permutation_importance(spark, sf_dir):
     return ml.permutation_importance(fitted["logistic_regression"], ch, CHURN_FEATURES, "true_churn_flag")
 
 
-@register("adf_products", "Q9", "product_id string, nobs bigint, adf_stat double, used_lag bigint, stationary bigint, "
+@register("adf_products", "Q9", "product_id string, nobs bigint, adf_stat double, used_lag bigint, p_value double, stationary bigint, "
           "crit_1pct double, crit_5pct double, crit_10pct double")
 def adf_products(spark, sf_dir):
     led = sales_ledger(spark, sf_dir)

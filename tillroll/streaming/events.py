@@ -5,8 +5,7 @@ streaming code):
 * X2 daily tumbling and 7-day sliding totals, rows later than the
   watermark dropped (parents A5, W6);
 * X3 surge / drop alerts comparing each closed day with the previous one,
-  the previous window carried across micro-batches in ``foreachBatch``
-  (parent E3).
+  which is carried across micro-batches as keyed state (parent E3).
 
 Each builder returns a streaming DataFrame; :func:`run_to_table` drives it
 with ``trigger(availableNow=True)`` into a parquet table + checkpoint in the
@@ -16,8 +15,12 @@ shared checkpoint folder and returns the batch view of the result.
 from __future__ import annotations
 
 import uuid
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tillroll.functions.numeric import exact_sum
 from tillroll.session import ensure_checkpoint_dir
@@ -55,23 +58,43 @@ def windowed_totals(events: DataFrame, size: str = "1 day", slide: str | None =
                     "event_type", "events", "total_value")
 
 
-def surge_alerts_batch(batch: DataFrame, previous: DataFrame | None, batch_id: int) -> DataFrame:
-    """X3 core: each closed daily window vs the previous one of the same
-    event type (the previous one may come from an earlier micro-batch)."""
-    cur = batch.select("event_type", "window_start", "total_value", F.lit(batch_id).alias("batch_id"))
-    rows = cur.withColumn("_cur", F.lit(True))
-    if previous is not None:
-        rows = rows.unionByName(previous.select("event_type", "window_start", "total_value", "batch_id")
-                                .withColumn("_cur", F.lit(False)))
-    from pyspark.sql import Window
-    w = Window.partitionBy("event_type").orderBy("window_start")
-    prev = F.lag("total_value").over(w)
-    chg = F.when(prev != 0, (F.col("total_value") - prev) / prev * 100.0)
-    out = rows.select("event_type", "window_start", "total_value", "batch_id", "_cur",
-                      prev.alias("previous_total"), chg.alias("change_pct"))
-    out = out.filter("_cur").drop("_cur").withColumn(
-        "alert", F.when(F.col("change_pct") > SURGE_PCT, "surge").when(F.col("change_pct") < -SURGE_PCT, "drop"))
-    return out
+def change(total: Column, previous: Column) -> list[Column]:
+    """E3 change from the previous window's total, in percent, and its alert."""
+    pct = F.when(previous != 0, (total - previous) / previous * 100.0)
+    return [pct.alias("change_pct"), F.when(pct > SURGE_PCT, "surge").when(pct < -SURGE_PCT, "drop").alias("alert")]
+
+
+class LastWindow(StatefulProcessor):
+    """Puts the total of the window before beside each window of a key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "window_start timestamp, total_value double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        start, previous = self.last.get() if self.last.exists() else (None, None)
+        new = pd.concat(list(rows)).sort_values("window_start")  # the windows of one type that a batch closes
+        out = []
+        for start, total in zip(new["window_start"].dt.to_pydatetime(), new["total_value"], strict=True):
+            out.append((key[0], start, total, previous))
+            previous = total
+        self.last.update((start, previous))
+        yield pd.DataFrame(out, columns=["event_type", "window_start", "total_value", "previous_total"])
+
+    def close(self) -> None:
+        pass
+
+
+def surge_alerts(daily: DataFrame) -> DataFrame:
+    """X3 each closed window beside the one before it of the same event type.
+
+    The state of a type is one row, the last closed window and its total, however long the
+    stream runs; the store keeps it with the checkpoint, so a restart goes on from it and a
+    batch reads nothing but its own rows.  Windows of a type close in time order: the
+    watermark only rises, and rows of a closed window are dropped before."""
+
+    found = daily.select("event_type", "window_start", "total_value").groupBy("event_type").transformWithStateInPandas(
+        LastWindow(), "event_type string, window_start timestamp, total_value double, previous_total double", "append", "none")
+    return found.select("event_type", "window_start", "total_value", "previous_total", *change(F.col("total_value"), F.col("previous_total")))
 
 
 def open_windows(events: DataFrame, size: str = "1 day", slide: str | None = None, delay: str = WATERMARK) -> DataFrame:
@@ -89,51 +112,36 @@ def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def run_surge_alerts(daily: DataFrame, name: str = "surge", still_open: DataFrame | None = None) -> DataFrame:
-    """X3 driver: ``foreachBatch`` over the closed daily windows; the windows that are
-    ``still_open`` at the end of the input follow as a last batch.  Each batch
-    is written to its own ``batch_id=`` folder with overwrite, so a replayed
-    batch replaces rather than duplicates its output; only the last closed
-    window per event type (earlier batches) is read back as context."""
-    spark = daily.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    run = f"{base}/tillroll-stream-{name}-{uuid.uuid4().hex[:12]}"
-    out_path = f"{run}/alerts"
-    last: list[int] = []
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
-        prev = None
-        if _there(own, out_path):  # not in the first batch; a failed read is an error
-            hist = own.read.parquet(out_path).filter(F.col("batch_id") < batch_id)
-            prev = hist.groupBy("event_type").agg(
-                F.max_by(F.struct("window_start", "total_value", "batch_id"), "window_start").alias("s")).select(
-                "event_type", "s.window_start", "s.total_value", "s.batch_id")
-        res = surge_alerts_batch(batch, prev, batch_id).drop("batch_id")
-        res.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        last.append(batch_id)
-
-    q = (daily.writeStream.foreachBatch(process).option("checkpointLocation", f"{run}/checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    if still_open is not None:
-        process(still_open, max(last, default=-1) + 1)
-    return spark.read.parquet(out_path)
-
-
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+def run_surge_alerts(daily: DataFrame, name: str = "surge", still_open: DataFrame | None = None, folder: str | None = None) -> DataFrame:
+    """X3 to the end of the input: what the stream emits into ``folder`` (a fresh one in the shared
+    checkpoint folder; the same one goes on where an earlier run ended), and the windows that
+    are ``still_open``, which follow the last closed ones."""
+    conf, provider = daily.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(provider)
+    conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # keyed state needs it
+    try:
+        alerts = run_to_table(surge_alerts(daily), name, folder)
+    finally:
+        conf.set(provider, before)
+    if still_open is None:
+        return alerts
+    kept = ["event_type", "window_start", "total_value"]
+    last = alerts.groupBy("event_type").agg(F.max_by(F.struct("window_start", "total_value"), "window_start").alias("w")).select(
+        "event_type", "w.window_start", "w.total_value", F.lit(False).alias("_open"))
+    rows = still_open.select(*kept, F.lit(True).alias("_open")).unionByName(last)
+    w = Window.partitionBy("event_type").orderBy("window_start")  # the open days of one type
+    rest = rows.withColumn("previous_total", F.lag("total_value").over(w)).where("_open").select(
+        *kept, "previous_total", *change(F.col("total_value"), F.col("previous_total")))
+    return alerts.unionByName(rest)
+
+
+def run_to_table(stream: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Drive a streaming query to completion (``availableNow``) into a parquet
-    table with its checkpoint in the shared folder; return the batch view."""
+    table with its checkpoint in the shared folder; return the batch view.  A ``folder``
+    that an earlier run has used is continued from its checkpoint."""
     spark = stream.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    run = f"{base}/tillroll-stream-{name}-{uuid.uuid4().hex[:12]}"
+    run = folder or f"{base}/tillroll-stream-{name}-{uuid.uuid4().hex[:12]}"
     q = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", f"{run}/data").option("checkpointLocation", f"{run}/checkpoint")
          .trigger(availableNow=True).start())
