@@ -15,7 +15,7 @@ prefix shingles as both prefixes and sizes demand before it is verified.
 
 *Candidates.*  Postings (shingle, class) meet by shingle.  A shingle of at most
 ``SMALL`` classes gives its pairs.  A more frequent one gives each class's link with its
-most central one, and all other pairs are counted block against block inside tasks,
+most central one, where their prefixes share enough, and all other pairs are counted block against block inside tasks,
 where only pairs that pass the demand and are not yet connected come out.
 
 *Verification.*  Exact intersections of the full sets.  The sets of a component of
@@ -48,8 +48,8 @@ WIDTH, PERCENT = 5, 75
 SLOT_BITS, SKETCH_PARTS = 20, 64
 #: Classes of a shingle whose pairs are listed; above it blocks are compared.
 SMALL, BLOCK = 64, 512
-#: Bytes of the sets of a candidate component that one task verifies.
-CLUSTER_BYTES = 96 << 20
+#: Bytes of the sets, and pairs, of a candidate component that one task verifies.
+CLUSTER_BYTES, CLUSTER_PAIRS = 48 << 20, 200_000
 #: Classes (24 bytes each) up to which a list of them is broadcast.
 LISTED = 500_000
 #: Stands for a null doc_id where ids are compared.
@@ -451,6 +451,16 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.select("k", "root", "text").mapInArrow(run, "k long, root long, own binary")
 
 
+def grouped(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(k, root, small): the components of candidate pairs, and whether one task verifies one."""
+    found = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    clusters = staged(found.select(F.col("node").alias("k"), "root"), "clusters")
+    heavy = clusters.join(classes.select("k", "n"), "k").groupBy("root").agg(F.sum("n").alias("n"))
+    many = pairs.select(F.col("a").alias("k")).join(clusters, "k").groupBy("root").agg(F.count("*").alias("pairs"))
+    size = heavy.join(many, "root").select("root", ((8 * F.col("n") <= CLUSTER_BYTES) & (F.col("pairs") <= CLUSTER_PAIRS)).alias("small"))
+    return staged(clusters.join(staged(size, "cluster-sizes"), "root").select("k", "root", "small"), "clusters")
+
+
 def linked(pairs: DataFrame, clusters: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) that connect what the candidate pairs (a, b, c) connect.  ``clusters``
     (k, root, small) holds the candidate components; in the small ones every set travels once,
@@ -475,6 +485,16 @@ def linked(pairs: DataFrame, clusters: DataFrame, classes: DataFrame, docs: Data
     return out
 
 
+def enough_in_common(pairs: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of ``hot`` classes those whose sizes fit and whose prefixes share as many
+    shingles, ``c``, as a similar pair must: the frequent and the rare ones that each class shares with any."""
+    own = hot.select("k", "s", "last", F.concat("hot", "rare").alias("tokens"))
+    met = pairs.join(own.toDF("a", "sa", "la", "ta"), "a").join(own.toDF("b", "sb", "lb", "tb"), "b")
+    na, nb = F.shiftright("sa", 32), F.shiftright("sb", 32)
+    met = met.where(F.least(na, nb) * 100 >= F.greatest(na, nb) * percent).withColumn("c", F.size(F.array_intersect("ta", "tb")).cast("long"))
+    return met.where(F.col("c") >= demanded_column(percent)).select("a", "b", "c")
+
+
 def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width: int, percent: int, small: int, block: int) -> DataFrame:
     """(node, root) of the classes that are linked with another one."""
     spark = docs.sparkSession
@@ -498,14 +518,10 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     # the most central class of each frequent shingle
     centre = staged(some.groupBy("token").agg(F.max(F.struct("common", "k")).alias("x")).select(
         "token", F.col("x.k").alias("c")), "centres")
-    star = some.join(centre, "token").select("k", "c")
-    star = star.where("k <> c").groupBy(F.least("k", "c").alias("a"), F.greatest("k", "c").alias("b")).agg(F.count("*").alias("c"))
+    star = some.join(centre, "token").where("k <> c").select(F.least("k", "c").alias("a"), F.greatest("k", "c").alias("b")).distinct()
+    star = enough_in_common(star, hot, percent)
     first = staged(close.unionByName(star).groupBy("a", "b").agg(F.max("c").alias("c")), "first-pairs")
-    clusters = staged(components(first.select(F.col("a").alias("u"), F.col("b").alias("v"))), "clusters")
-    clusters = clusters.select(F.col("node").alias("k"), "root")
-    size = clusters.join(classes.select("k", "n"), "k").groupBy("root").agg((8 * F.sum("n") <= CLUSTER_BYTES).alias("small"))
-    clusters = staged(clusters.join(staged(size, "cluster-sizes"), "root").select("k", "root", "small"), "clusters")
-    links = staged(linked(first, clusters, classes, docs, width, percent), "links")
+    links = staged(linked(first, grouped(first, classes), classes, docs, width, percent), "links")
     roots = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
 
     # pairs of classes in frequent shingles that are still in different components
@@ -525,7 +541,8 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
     found = dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(
         compare_blocks(percent), "a long, b long")
     found = found.distinct().join(first, ["a", "b"], "left_anti").withColumn("c", F.lit(0).cast("long"))
-    more_links = staged(linked(found, clusters, classes, docs, width, percent), "links")
+    found = staged(found, "block-pairs")
+    more_links = staged(linked(found, grouped(found, classes), classes, docs, width, percent), "links")
     every = links.union(more_links)
     return components(every.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
