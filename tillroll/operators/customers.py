@@ -64,16 +64,19 @@ def customer_base(sales: DataFrame, as_of: str | None = None) -> DataFrame:
         anchor = sales.sparkSession.range(1).select(F.date_add(_as_date(as_of), 1).alias("_ref"))
         lines = sales.filter(F.col("date") < F.date_add(_as_date(as_of), 1).cast("timestamp_ntz"))
     lines = lines.filter(F.col("customer_id").isNotNull())
-    agg = lines.groupBy("customer_id").agg(
-        F.max(cal.day("date")).alias("_last"),
-        F.min(cal.day("date")).alias("_first"),
-        F.countDistinct("transaction_id").alias("frequency"),
-        total("sales_amount").alias("monetary"),
-        F.sum("quantity_sold").alias("_qty"),
-        F.countDistinct(cal.month_start("date")).alias("active_months"),
-        total(F.when(cal.is_weekend("date") == 1, F.col("sales_amount"))
-              .otherwise(F.lit(0).cast("decimal(18,4)"))).alias("_weekend"),
-    )
+    zero = F.lit(0).cast("decimal(18,4)")
+    # each transaction first: distinct transactions are then a count, without copies of the lines
+    orders = lines.groupBy("customer_id", "transaction_id").agg(
+        F.max(cal.day("date")).alias("_last"), F.min(cal.day("date")).alias("_first"),
+        F.sum("sales_amount").alias("_amount"), F.sum("quantity_sold").alias("_qty"),
+        F.sum(F.when(cal.is_weekend("date") == 1, F.col("sales_amount")).otherwise(zero)).alias("_weekend"),
+        F.collect_set(cal.month_start("date")).alias("_months"))
+    agg = orders.groupBy("customer_id").agg(
+        F.max("_last").alias("_last"), F.min("_first").alias("_first"), F.count("transaction_id").alias("frequency"),
+        F.sum("_amount").cast("double").alias("monetary"), F.sum("_qty").alias("_qty"),
+        # as many months as the calendar has
+        F.size(F.array_distinct(F.flatten(F.collect_set("_months")))).cast("long").alias("active_months"),
+        F.sum("_weekend").cast("double").alias("_weekend"))
     x = agg.crossJoin(F.broadcast(anchor))  # one-row scalar (J11)
     tenure = F.datediff("_ref", "_first")
     gap = F.when(F.col("frequency") > 1, tenure / (F.col("frequency") - 1)).otherwise(tenure.cast("double"))

@@ -192,7 +192,8 @@ def inventory_kpis(spark, sf_dir):
 
 @register("inventory_checks", "K17 J12",
           "inventory_products bigint, negative_safety_stock bigint, negative_reorder_point bigint, "
-          "negative_eoq bigint, null_policy_values bigint, source_products bigint, product_count_matches bigint",
+          "negative_eoq bigint, null_policy_values bigint, source_products bigint, product_count_matches bigint, "
+          "product_ids_match bigint",
           sql=f"""WITH {inventory_sql()},
 g AS (SELECT count(*) AS inventory_products,
              sum(CASE WHEN safety_stock < 0 THEN 1 ELSE 0 END) AS negative_safety_stock,
@@ -201,7 +202,10 @@ g AS (SELECT count(*) AS inventory_products,
              sum(CASE WHEN safety_stock IS NULL OR reorder_point IS NULL OR eoq IS NULL OR isnan(eoq) THEN 1 ELSE 0 END) AS null_policy_values
       FROM inv),
 s AS (SELECT count(DISTINCT product_id) AS source_products FROM sales)
-SELECT g.*, s.source_products, CASE WHEN inventory_products = source_products THEN 1 ELSE 0 END AS product_count_matches FROM g, s""")
+SELECT g.*, s.source_products, CASE WHEN inventory_products = source_products THEN 1 ELSE 0 END AS product_count_matches,
+       CASE WHEN EXISTS (SELECT product_id FROM inv EXCEPT SELECT product_id FROM sales)
+              OR EXISTS (SELECT product_id FROM sales EXCEPT SELECT product_id FROM inv) THEN 0 ELSE 1 END AS product_ids_match
+FROM g, s""")
 def inventory_checks(spark, sf_dir):
     led = sales_ledger(spark, sf_dir)
     return iv.inventory_checks(iv.inventory_table(led, stock_balances(spark, sf_dir)), led)

@@ -1,14 +1,12 @@
 """Sinks and table-level sources.
 
 Writes go through the DataFrame writer (no driver-side files); reports are
-one-row JSON documents built with ``to_json(struct(...))``.
+one-row JSON documents built with ``to_json(struct(...))``.  Tables that are replaced
+in place or belong together (S7, S9) are in :mod:`versions`.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,34 +48,6 @@ def write_report(df: DataFrame, path: str) -> None:
     report_json(df).write.mode("overwrite").text(path)
 
 
-def upsert_columns(spark: SparkSession, path: str, fn: Callable[[DataFrame], DataFrame],
-                   fmt: str = "parquet") -> str:
-    """S7 in-place feature back-fill: Spark cannot overwrite the table it is
-    reading, so the new version is written next to it and becomes current by
-    rename; returns the new path."""
-    new = f"{path.rstrip('/')}.v-{uuid.uuid4().hex[:8]}"
-    write_table(fn(spark.read.format(fmt).load(path)), new, fmt)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(path)
-    fs = src.getFileSystem(conf)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
-    if fs.exists(src):
-        fs.rename(src, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(new), src)
-    return path
-
-
-def export_all(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -> list[str]:
-    """S9 one artefact per table under ``path``."""
-    out = []
-    for name, df in tables.items():
-        p = f"{path.rstrip('/')}/{name}"
-        write_table(df, p, fmt)
-        out.append(p)
-    return out
-
-
 def read_forecast_doc(spark: SparkSession, path: str) -> DataFrame:
     """S4 nested forecast document (multi-line JSON) with an explicit schema."""
     return spark.read.schema(FORECAST_DOC_SCHEMA).option("multiLine", True).json(path)

@@ -74,7 +74,7 @@ class LastWindow(StatefulProcessor):
         start, previous = self.last.get() if self.last.exists() else (None, None)
         new = pd.concat(list(rows)).sort_values("window_start")  # the windows of one type that a batch closes
         out = []
-        for start, total in zip(new["window_start"].dt.to_pydatetime(), new["total_value"], strict=True):
+        for start, total in zip(map(pd.Timestamp.to_pydatetime, new["window_start"]), new["total_value"], strict=True):
             out.append((key[0], start, total, previous))
             previous = total
         self.last.update((start, previous))
