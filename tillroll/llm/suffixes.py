@@ -318,7 +318,7 @@ def digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents"))
+    return digests(table(spark, sf_dir, "documents")).withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 SQL = r"""
@@ -335,7 +335,7 @@ texts_left AS (SELECT doc_id, string_agg(substr(hex(raw), 2 * a + 1, 2 * (b - a)
     FROM kept JOIN texts USING (doc_id) GROUP BY doc_id),
 totals AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
 SELECT doc_id, octet_length(raw) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(n_removed, 0) > 0 AS has_repeats,
     sha256(CASE WHEN left_hex IS NULL THEN raw ELSE unhex(left_hex) END) AS kept_sha256
 FROM texts LEFT JOIN texts_left USING (doc_id) LEFT JOIN totals USING (doc_id)
 """
