@@ -101,7 +101,12 @@ HEALTH_TABLES = {"orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey
                  "customer": ["c_custkey"], "part": ["p_partkey"], "events": ["event_id"]}
 
 
-@register("table_health", "S10 A22", "table_name string, rows bigint, columns bigint, key_null_rate double, files bigint")
+# the given tables are one file each
+@register("table_health", "S10 A22", "table_name string, rows bigint, columns bigint, key_null_rate double, files bigint",
+          sql="\nUNION ALL\n".join(
+              f"SELECT '{name}' AS table_name, count(*) AS rows, (SELECT count(*) FROM (DESCRIBE {name})) AS columns, "
+              f"count(*) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in keys)}) / greatest(count(*), 1) AS key_null_rate, 1 AS files FROM {name}"
+              for name, keys in HEALTH_TABLES.items()))
 def table_health(spark, sf_dir):
     t = {n: (_read(spark, sf_dir, n), keys) for n, keys in HEALTH_TABLES.items()}
     return _sk.table_health(spark, t).select("table_name", "rows", "columns", "key_null_rate", "files")
@@ -199,7 +204,11 @@ def export_versions(spark, sf_dir):
     return out
 
 
-@register("customer_master_clean", "P5 P11 P12 J2 F16", "customer_id string, segment string, nation string")
+@register("customer_master_clean", "P5 P11 P12 J2 F16", "customer_id string, segment string, nation string", sql="""
+WITH one AS (SELECT c_custkey, arg_max(c_mktsegment, c_acctbal) AS seg, arg_max(c_nationkey, c_acctbal) AS nat
+             FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey)
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, upper(left(trim(seg), 1)) || lower(substr(trim(seg), 2)) AS segment, n_name AS nation
+FROM one LEFT JOIN nation ON nat = n_nationkey""")
 def customer_master_clean(spark, sf_dir):
     """Customer dimension: one row per id (first by account balance), market
     segment title-cased, nation from a broadcast 25-row lookup."""

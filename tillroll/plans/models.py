@@ -185,7 +185,11 @@ def churn_model_metrics(spark, sf_dir):
     return metrics
 
 
-@register("churn_cv_folds", "M10", "fold bigint, customers bigint, churn_rate double")
+# which customers a fold holds follows a hash, how many of each label does not
+@register("churn_cv_folds", "M10", "fold bigint, customers bigint, churn_rate double", sql=f"""WITH {pred_sql()},
+n AS (SELECT true_churn_flag, count(*) AS n FROM pred GROUP BY 1),
+r AS (SELECT true_churn_flag, unnest(range(1, n + 1)) % 5 AS fold FROM n)
+SELECT fold, count(*) AS customers, avg(true_churn_flag) AS churn_rate FROM r GROUP BY fold""")
 def churn_cv_folds(spark, sf_dir):
     f = ml.fold_column(_churn(spark, sf_dir), "true_churn_flag", 5)
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("customers"), F.avg("true_churn_flag").alias("churn_rate"))
