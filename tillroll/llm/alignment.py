@@ -47,7 +47,7 @@ from .bpe import byte_characters
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "\u2581"
 #: White space of either regular-expression dialect other than the plain space.
-OTHER_WHITE = "\t-\r\x1c-\x1f\x85\xa0 ᠎ -     　"
+OTHER_WHITE = "\t-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 HARD = re.compile(f"[{OTHER_WHITE}] ")
 CUT = re.compile(f"(?<=[^ {OTHER_WHITE}])(?= )")
 WORDS = re.compile(" *[^ ]+| +")
