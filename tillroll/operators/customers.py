@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import calendar as cal
-from tillroll.functions.numeric import clip, exact_mean, exact_sum, round_half_up, safe_corr, safe_div, total
+from tillroll.functions.numeric import clip, exact_mean, exact_sum, round_half_up, safe_corr, safe_div
 from tillroll.operators import ranking
 from tillroll.session import cut_lineage
 
