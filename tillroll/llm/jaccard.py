@@ -507,11 +507,11 @@ def linked_classes(docs: DataFrame, seen: DataFrame, classes: DataFrame, width:
         F.sum("c").alias("c"), *(F.max(x).alias(x) for x in ("sa", "sb", "la", "lb")))
     some = met.where("kind = 2").select(F.col("a").alias("k"), F.col("b").alias("token"), F.col("sa").alias("s"),
                                         F.col("la").alias("last"), "common")
-    hot = some.groupBy("k").agg(F.max("s").alias("s"), F.max("last").alias("last"),
-                                F.array_sort(F.collect_set("token")).alias("hot"))  # a class's own prefix at most
-    rare = met.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("token"))
-    rare = rare.join(hot.select("k"), "k", "left_semi").groupBy("k").agg(F.collect_set("token").alias("rare"))
-    hot = staged(hot.join(rare, "k", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<bigint>"))), "hot-classes")
+    # what each class of a frequent shingle shares with any other: at most its own prefix
+    token = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("b")))
+    hot = met.where("kind > 0").groupBy(F.col("a").alias("k")).agg(
+        F.max("sa").alias("s"), F.max(F.when(F.col("kind") == 2, F.col("la"))).alias("last"), F.array_sort(token(2)).alias("hot"), token(1).alias("rare"))
+    hot = staged(hot.where(F.size("hot") > 0), "hot-classes")
     # a pair that also meets in a frequent shingle is judged there, with all its matches
     close = staged(pairs.where(F.col("c") >= demanded_column(percent)).select("a", "b", "c"), "close-pairs")
 
