@@ -40,7 +40,7 @@ from ._stage import free_name, partitions, staged, table, text_or_empty
 
 LENGTH, GRAM = 400, 50  # LENGTH is GRAM times a power of two
 #: Distinct contexts of a bucket that one task refines; contexts refined at once.
-HOT, AT_ONCE = 32_768, 4_096
+HOT, AT_ONCE = 32_768, 1_024
 _PLACE_BITS = np.uint64(24)
 _PLACE = np.uint64((1 << 24) - 1)
 
