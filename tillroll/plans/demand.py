@@ -221,8 +221,12 @@ def daily_gap_audit(spark, sf_dir):
     """The order under audit is that of the ledger's order numbers."""
     from pyspark.sql import functions as F
     from tillroll.functions import calendar as cal
-    number = F.ltrim(F.col("transaction_id"), F.lit("C")).cast("long")
-    pd = sales_ledger(spark, sf_dir).groupBy("product_id", cal.day("date").alias("date")).agg(F.min(number).alias("seq"))
+    from tillroll.session import partitions_for
+    led = sales_ledger(spark, sf_dir)
+    n = partitions_for(led)
+    number = F.ltrim(F.col("transaction_id"), F.lit("C")).cast("long").alias("seq")
+    days = led.select("product_id", cal.day("date").alias("date"), number).repartition(n, "product_id", "date")
+    pd = days.groupBy("product_id", "date").agg(F.min("seq").alias("seq")).repartition(n, "product_id")
     return ts.gap_audit(pd, "date", 1, ["product_id"], "seq")
 
 
