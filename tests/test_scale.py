@@ -83,3 +83,27 @@ def test_partitions_follow_the_rows(spark):
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions_for(spark.range(10), rows=10) == own
     assert partitions_for(spark.range(own * 30 + 1), rows=10) == own * 3 + 1
+
+
+def test_unit_roots_of_sparse_series(spark, monkeypatch):
+    import numpy as np
+
+    from tillroll.operators import ml
+
+    rng = np.random.default_rng(1)
+    start = dt.date(2020, 1, 5)
+    rows = [(k, start + dt.timedelta(days=7 * i), float(rng.integers(1, 9))) for k in "AB" for i in range(120)
+            if i in (0, 119) or rng.random() < 0.3]
+    have = {(k, d): v for k, d, v in rows}
+    dense = [(k, start + dt.timedelta(days=7 * i), have.get((k, start + dt.timedelta(days=7 * i)), 0.0)) for k in "AB" for i in range(120)]
+    rows += [(None, start, 1.0), ("N", start, None)]
+    schema = "k string, date date, v double"
+    got = {r.k: r for r in ml.adf_by_series(spark.createDataFrame(rows, schema), "k", "v", step_days=7).collect()}
+    exp = {r.k: r for r in ml.adf_by_series(spark.createDataFrame(dense, schema), "k", "v").collect()}
+    for k in "AB":
+        assert got[k] == exp[k] and got[k].nobs == 120 and got[k].adf_stat is not None
+    assert (got[None].nobs, got[None].adf_stat) == (1, None) and (got["N"].nobs, got["N"].adf_stat) == (0, None)
+    # all lag orders from one decomposition; only the chosen one is fitted by itself
+    calls, lstsq = [], np.linalg.lstsq
+    monkeypatch.setattr(np.linalg, "lstsq", lambda *a, **k: calls.append(1) or lstsq(*a, **k))
+    assert ml.adf_statistic(rng.normal(size=120)) is not None and len(calls) == 1

@@ -2,18 +2,18 @@
 
 Fits are distributed Spark ML estimators; the driver only loops over a
 handful of seeds / models / parameter settings, never over data.  Python
-runs on executors in one place, parallel across series: ``applyInPandas``
-per product for the unit-root test (Q9).  Forecasting models are in
+runs on executors in one place, parallel across series: ``mapInArrow`` over
+the products' series for the unit-root test (Q9).  Forecasting models are in
 :mod:`model_forecasts` (the totals) and :mod:`panel_forecast` (products).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -300,7 +300,11 @@ def adf_p_value(stat: float) -> float:
 
 def adf_statistic(y: np.ndarray) -> tuple[float, int] | None:
     """(statistic, lag order by AIC over one sample), None where the series decides nothing: too
-    short, constant, lags that depend on each other, or a fit without residuals."""
+    short, constant, lags that depend on each other, or a fit without residuals.
+
+    The regressions of all lag orders are nested: one orthogonal decomposition of the longest
+    has the squared residuals of each.  Where its columns come near dependence, every order
+    is fitted by itself."""
     n = len(y)
     dy = np.diff(y)
     most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
@@ -308,10 +312,16 @@ def adf_statistic(y: np.ndarray) -> tuple[float, int] | None:
         return None
     floor = 1e-14 * max(float(np.mean(dy ** 2)), 1e-300)
 
+    def design(p: int, first: int) -> np.ndarray:
+        x = np.empty((n - 1 - first, p + 2))
+        x[:, 0], x[:, 1] = 1.0, y[first:-1]
+        for j in range(1, p + 1):
+            x[:, j + 1] = dy[first - j:n - 1 - j]
+        return x
+
     def fitted(p: int, first: int):
         """(coefficients, design, mean squared residual) of the regression with p lags, None if its columns depend."""
-        target = dy[first:]
-        x = np.column_stack([np.ones_like(target), y[first:-1], *[dy[first - j:-j] for j in range(1, p + 1)]])
+        target, x = dy[first:], design(p, first)
         scale = np.sqrt((x ** 2).sum(0))
         if (scale == 0).any():
             return None
@@ -321,14 +331,31 @@ def adf_statistic(y: np.ndarray) -> tuple[float, int] | None:
         resid = target - x / scale @ beta
         return beta / scale, x, float(resid @ resid) / len(target)
 
-    best = None
+    def nested() -> list[float] | None:
+        """Mean squared residuals of 0 to ``most`` lags, None if the columns come near dependence."""
+        target, x = dy[most:], design(most, most)
+        scale = np.sqrt((x ** 2).sum(0))
+        if (scale == 0).any() or len(target) <= x.shape[1]:
+            return None
+        q, r = np.linalg.qr(x / scale)
+        if np.abs(np.diag(r)).min() < 1e-3:
+            return None
+        part = q.T @ target
+        rest = target - q @ part
+        return ((float(rest @ rest) + np.concatenate([np.cumsum(part[:1:-1] ** 2)[::-1], [0.0]])) / len(target)).tolist()
+
+    best, told = None, nested()
     for p in range(most + 1):
-        got = fitted(p, most)
-        if got is None:
-            continue
-        if got[2] <= floor:
+        if told is None:
+            got = fitted(p, most)
+            if got is None:
+                continue
+            mean_sq = got[2]
+        else:
+            mean_sq = told[p]
+        if mean_sq <= floor:
             return None
-        aic = (n - 1 - most) * np.log(got[2]) + 2 * (p + 2)
+        aic = (n - 1 - most) * np.log(mean_sq) + 2 * (p + 2)
         if best is None or aic < best[0]:
             best = (aic, p)
     got = None if best is None else fitted(best[1], best[1])
@@ -341,20 +368,52 @@ def adf_statistic(y: np.ndarray) -> tuple[float, int] | None:
     return float(beta[1] / np.sqrt(s2 * (width @ width))), best[1]
 
 
-def adf_by_series(series: DataFrame, key: str, value: str, min_obs: int = 20) -> DataFrame:
+def adf_by_series(series: DataFrame, key: str, value: str, min_obs: int = 20, step_days: int | None = None) -> DataFrame:
     """Q9 augmented Dickey-Fuller test per series (constant, lag order by AIC up to
     12 (n/100)^1/4): statistic, p-value, verdict at p < 0.05, and the 1/5/10 % critical values.
-    A series that decides nothing has null in all of them; null values are left out."""
-    kind = series.schema[key].dataType.simpleString()
-
-    def adf(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.dropna(subset=[value]).sort_values("date")[value].to_numpy(dtype=float)
-        got = adf_statistic(y) if len(y) >= min_obs and not np.allclose(y, y[0]) else None
+    A series that decides nothing has null in all of them; null values are left out.
+
+    With ``step_days`` a series has one value for so many days (one row at most for each), and
+    the steps between its first and last that have none count as 0.  A series travels as one
+    row of its own values; absent steps are filled in where it is tested."""
+    at = F.unix_micros(F.col("date").cast("timestamp")) if step_days is None else F.datediff("date", F.lit("1970-01-01").cast("date"))
+    at = F.coalesce(at.cast("long"), F.lit(np.iinfo(np.int64).max))  # rows without a date come last
+    told = series.select(F.col(key), at.alias("at"), F.col(value).cast("double").alias("v"))
+    if step_days is None:
+        told = told.withColumn("v", F.nanvl("v", F.lit(None)))
+    item = F.when(F.col("v").isNotNull(), F.struct("at", "v"))
+    rows = told.groupBy(key).agg(F.collect_list(item).alias("items")).select(
+        key, F.col("items.at").alias("at"), F.col("items.v").alias("v"))
+    own = rows.schema[key]
+    fields = pa.schema([("nobs", pa.int64()), ("adf_stat", pa.float64()), ("used_lag", pa.int64()), ("p_value", pa.float64()),
+                        ("stationary", pa.int64())])
+
+    def ordered(at: np.ndarray, v: np.ndarray) -> np.ndarray:
+        order = np.argsort(at, kind="stable")
+        at, v = at[order], v[order]
+        if step_days is None or not len(at):
+            return v
+        y = np.zeros((at[-1] - at[0]) // step_days + 1)
+        y[(at - at[0]) // step_days] = v
+        return y[~np.isnan(y)]
+
+    def adf(y: np.ndarray) -> tuple:
+        still = len(y) < min_obs or np.abs(y - y[0]).max() <= 1e-8 + 1e-5 * abs(y[0])
+        got = None if still else adf_statistic(y)
         stat, lag = got or (None, None)
         p = None if got is None else adf_p_value(stat)
-        return pd.DataFrame([(pdf[key].iloc[0], len(y), stat, lag, p, None if p is None else int(p < 0.05))],
-                            columns=[key, "nobs", "adf_stat", "used_lag", "p_value", "stationary"])
-
-    out = series.select(key, "date", value).groupBy(key).applyInPandas(
-        adf, f"`{key}` {kind}, nobs long, adf_stat double, used_lag long, p_value double, stationary long")
+        return len(y), stat, lag, p, None if p is None else int(p < 0.05)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).offsets.to_numpy()
+            at, v = (batch.column(i).values.to_numpy(zero_copy_only=False) for i in (1, 2))
+            with np.errstate(invalid="ignore"):
+                out = [adf(ordered(at[a:b], v[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), fields, strict=True)] if out else [
+                pa.array([], f.type) for f in fields]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[own.name, *fields.names])
+
+    kind = own.dataType.simpleString()
+    out = rows.mapInArrow(run, f"`{key}` {kind}, nobs long, adf_stat double, used_lag long, p_value double, stationary long")
     return out.select("*", *[F.lit(v).alias(f"crit_{k[:-1]}pct") for k, v in ADF_CRITICAL.items()])
