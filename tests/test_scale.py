@@ -107,3 +107,16 @@ def test_unit_roots_of_sparse_series(spark, monkeypatch):
     calls, lstsq = [], np.linalg.lstsq
     monkeypatch.setattr(np.linalg, "lstsq", lambda *a, **k: calls.append(1) or lstsq(*a, **k))
     assert ml.adf_statistic(rng.normal(size=120)) is not None and len(calls) == 1
+
+
+def test_independent_fits_run_together(spark):
+    import threading
+
+    from tillroll.operators import ml
+
+    met = threading.Barrier(2, timeout=60)  # passes only if two jobs are under way at once
+    assert ml.together([lambda: (met.wait(), spark.range(3).count())[1], lambda: (met.wait(), spark.range(4).count())[1]]) == [3, 4]
+    pts = spark.createDataFrame([(str(i), float(i % 3 * 10), float(i % 5) / 10) for i in range(60)], "customer_id string, a double, b double")
+    seg, cost = ml.kmeans_segments(pts, ["a", "b"], k=3, restarts=3)
+    rows = seg.collect()
+    assert len({(r.a, r.cluster) for r in rows}) == 3 and cost < 60 * 0.05
