@@ -343,3 +343,29 @@ def test_quality_classifier_edge_cases(spark, docs):
     assert len(out) == docs.count() and all(r["kept"] is not None and 0 <= r["posterior"] <= 1 for r in out)
     empty = docs.limit(0)
     assert weaklabels.train(empty) == (None, None) and weaklabels.classify(empty, None, None).count() == 0
+
+
+def test_every_document_trains_the_scorer(spark):
+    good = "The river ran past the old mill and the children played there all day long.\nNobody spoke of the winter that had gone before it.\n"
+    rows = [(None, f"{good}It was day {i} of the summer and the work went on as it had.") for i in range(30)]
+    rows += [(None, "buy | now | # $ % | " * 12) for _ in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, scorer = weaklabels.train(docs.repartition(1))  # no row has an id that a sample could be drawn by
+    assert model is not None and scorer is not None
+    _, other = weaklabels.train(docs.repartition(5))
+    assert np.allclose(scorer.weights, other.weights, atol=1e-3) and np.isclose(scorer.cut, other.cut, atol=1e-3)
+    kept = [r["kept"] for r in weaklabels.classify(docs, model, scorer).collect()]
+    assert sum(kept) == 30
+
+
+def test_descent_reaches_the_least():
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(30, 8))
+    m, b, calls = a.T @ a, rng.normal(size=8), []
+
+    def loss(x):
+        calls.append(x)
+        return x @ m @ x / 2 - b @ x, m @ x - b
+
+    assert np.allclose(weaklabels.descend(loss, np.zeros(8), 200), np.linalg.solve(m, b), atol=1e-4)
+    assert len(calls) <= 200

@@ -5,34 +5,38 @@ overlap and differ in worth.  Expectation-maximisation estimates, without any tr
 label, how often each votes what on good and on bad documents; it runs on the
 counts of vote patterns over all documents, of which there are at most
 3 ** labellers, whatever the corpus.  The posterior labels then train a linear
-scorer on hashed byte trigrams, on a sample of ``SAMPLE`` documents in an order fixed by
-a hash of their ids (a documented bound).  Every document gets its posterior, its
-score and a verdict: kept where the votes are confident of it, else as the scorer
-says, with a threshold that keeps all but ``MAY_REJECT`` of the sample's confidently
-good documents.
+scorer on the hashed byte trigrams of all documents: each step of the descent is one
+distributed pass over them, which returns a row of sums for each task.  Every document
+gets its posterior, its score and a verdict: kept where the votes are confident of it,
+else as the scorer says, with a threshold that keeps all but ``MAY_REJECT`` of the
+confidently good documents (an exact quantile of all their scores).
 
 Defined cases: a null text counts as empty; it gets votes as any short text; a null
-doc_id is voted on and scored but not sampled; if the votes show no two classes,
-everything is kept; repeated rows give repeated results; other columns are ignored;
-an empty table gives an empty result.
+doc_id is voted on, trained on and scored; if the votes show no two classes,
+everything is kept; repeated rows give repeated results, and each counts in training;
+other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators import ranking
+
 from ._bytes import LOWER, slices, text_buffers
 from ._stage import staged, table
 from .quality import COUNTS, FEATURES, measured
 
-SAMPLE, FEATURE_BITS = 4096, 12
-ROUNDS, EPOCHS, RIDGE = 200, 300, 1e-4
-#: Share of the sample's confidently good documents that the threshold may reject.
+FEATURE_BITS = 12
+#: Passes over the documents at most, and the pairs of steps that the descent remembers.
+ROUNDS, PASSES, MEMORY, RIDGE = 200, 12, 10, 1e-4
+#: Share of the confidently good documents that the threshold may reject.
 MAY_REJECT, CONFIDENT = 0.005, 0.95
 
 #: name: (statistic, bad bound, good bound).  A statistic at or beyond the bad bound
@@ -146,66 +150,124 @@ class Scorer:
         return (x @ self.weights + np.float32(self.bias)).astype(float)
 
 
-def fit_scorer(x: np.ndarray, good: np.ndarray) -> Scorer:
-    """Logistic regression on soft labels, both classes weighing the same, by
-    accelerated gradient steps."""
-    mass = max(good.sum(), 1e-6), max((1 - good).sum(), 1e-6)
-    wg, wb = good / mass[0] / 2, (1 - good) / mass[1] / 2
-    wg, wb = wg.astype(np.float32), wb.astype(np.float32)
-    w, bias = np.zeros(x.shape[1], np.float32), np.float32(0)
-    pw, pb = w, bias
-    rate = np.float32(1 / (0.25 * ((wg + wb) * ((x ** 2).sum(1) + 1)).sum() + RIDGE))
-    for t in range(EPOCHS):
-        m = np.float32(t / (t + 3))
-        aw, ab = w + m * (w - pw), bias + m * (bias - pb)
-        p = 1 / (1 + np.exp(-np.clip(x @ aw + ab, -50, 50)))
-        g = wb * p - wg * (1 - p)
-        pw, pb = w, bias
-        w, bias = aw - rate * (x.T @ g + np.float32(RIDGE) * aw), ab - rate * g.sum()
-    own = Scorer(w.astype(np.float32), float(bias), 0.0)
+def descend(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray, passes: int = PASSES) -> np.ndarray:
+    """Minimise a convex function by L-BFGS, with ``passes`` calls of it at most."""
+    x, (value, slope), used = start, loss(start), 1
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    while used < passes and np.abs(slope).max() > 1e-7:
+        way, shares = -slope, []
+        for s, y in reversed(steps):
+            shares.append(s @ way / (s @ y))
+            way = way - shares[-1] * y
+        if steps:
+            s, y = steps[-1]
+            way = way * (s @ y / (y @ y))
+        for (s, y), share in zip(steps, reversed(shares), strict=True):
+            way = way + (share - y @ way / (s @ y)) * s
+        length, moved = 1.0 if steps else 2.0, False
+        while used < passes and not moved:
+            new, used = x + length * way, used + 1
+            new_value, new_slope = loss(new)
+            moved = new_value <= value + 1e-4 * length * (slope @ way)
+            length /= 2
+        if not moved:
+            break
+        if (new_slope - slope) @ (new - x) > 0:
+            steps = [*steps, (new - x, new_slope - slope)][-MEMORY:]
+        x, value, slope = new, new_value, new_slope
+    return x
+
+
+def sparse(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column, and the number in each row."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]].view(kind), np.diff(ends) // size
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
+def scored(batch: pa.RecordBatch, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Score of each row by ``weights`` (the last one the bias); cells, values and their number in each row."""
+    cells, many = sparse(batch.column(1), np.uint16)
+    cells, values = cells.astype(np.intp), sparse(batch.column(2), np.float16)[0].astype(np.float32)
+    z, some = np.full(len(batch), weights[-1]), many > 0
+    if some.any():
+        z[some] += np.add.reduceat(values * weights.astype(np.float32)[cells], (np.cumsum(many) - many)[some])
+    return z, cells, values, many
+
+
+def fit_scorer(voted: DataFrame, model: VoteModel, codes: np.ndarray, times: np.ndarray) -> Scorer:
+    """Logistic regression on the soft labels of all rows of ``voted`` (pattern, cells, shares),
+    both classes weighing the same.  ``codes`` and ``times`` are the patterns there and their numbers."""
+    good = np.zeros(3 ** len(LABELLERS))
+    good[codes] = model.posterior(unpacked(codes))
+    mass = max(good[codes] @ times, 1e-6), max((1 - good[codes]) @ times, 1e-6)
+    size = 1 << FEATURE_BITS
+
+    def loss(weights: np.ndarray) -> tuple[float, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(size + 2)
+            for batch in parts(batches):
+                z, cells, values, many = scored(batch, weights)
+                own = good[batch.column(0).to_numpy()]
+                wg, wb = own / mass[0] / 2, (1 - own) / mass[1] / 2
+                g = wb - (wb + wg) / (1 + np.exp(np.clip(z, -500, 500)))
+                sums[:size] += np.bincount(cells, values * np.repeat(g.astype(np.float32), many), size)
+                sums[size:] += g.sum(), (wb * np.logaddexp(0, z) + wg * np.logaddexp(0, -z)).sum()
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums.tobytes()])],
+                                             names=["task", "sums"])
+
+        # one row of 32 KB from each task, added up in a fixed order
+        rows = sorted(voted.select("pattern", "cells", "shares").mapInArrow(run, "task long, sums binary").collect(), key=lambda r: r["task"])
+        sums = np.sum([np.frombuffer(r["sums"]) for r in rows], 0)
+        inner = np.append(weights[:size], 0.0)  # the bias is not held back
+        return sums[-1] + RIDGE / 2 * inner @ inner, sums[:-1] + RIDGE * inner
+
+    weights = descend(loss, np.zeros(size + 1))
+    own = Scorer(weights[:-1].astype(np.float32), float(weights[-1]), 0.0)
     sure = good >= CONFIDENT
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            z = scored(batch, weights)[0][sure[batch.column(0).to_numpy()]]
+            yield pa.RecordBatch.from_arrays([pa.array(z)], names=["score"])
+
     if sure.any():
-        own.cut = min(0.0, float(np.quantile(own.score(x[sure]), MAY_REJECT)))
+        known = voted.select("pattern", "cells", "shares").mapInArrow(scores, "score double")
+        own.cut = min(0.0, ranking.exact_quantiles(known, "score", {"cut": MAY_REJECT}).first()["cut"])
     return own
 
 
 def vote_patterns(docs: DataFrame) -> DataFrame:
-    """(doc_id, pattern) of every document."""
+    """(pattern, cells, shares) of every document: its votes, and those features that are not 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, data = text_buffers(batch.column(1))
-            codes = patterns(votes(*measured(data, offsets)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64())], names=["doc_id", "pattern"])
+        for batch in parts(batches, 512):
+            offsets, data = text_buffers(batch.column(0))
+            codes, x = patterns(votes(*measured(data, offsets))), trigrams(data, offsets)
+            rows, cells = np.nonzero(x)
+            ends = np.append(0, np.cumsum(np.bincount(rows, minlength=len(x)))).astype(np.int32) * np.int32(2)  # two bytes each
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes, pa.int64()), *(pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+                                                for flat in (cells.astype(np.uint16), x[rows, cells].astype(np.float16)))],
+                names=["pattern", "cells", "shares"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, pattern long")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "pattern long, cells binary, shares binary")
 
 
 def train(docs: DataFrame) -> tuple[VoteModel | None, Scorer | None]:
-    spark = docs.sparkSession
     voted = staged(vote_patterns(docs), "votes")
-    rows = voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()  # 3 ** labellers rows at most
-    model = expectation_maximisation(np.array([r["pattern"] for r in rows], np.int64), np.array([r["n"] for r in rows])) if rows else None
-    if model is None:
-        return None, None
-    chosen = voted.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    ids = spark.createDataFrame([tuple(r) for r in chosen.collect()], "doc_id long")  # SAMPLE rows at most
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(ids), "doc_id", "left_semi")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, data = text_buffers(batch.column(1))
-            codes, x = patterns(votes(*measured(data, offsets))), trigrams(data, offsets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64()), pa.array(
-                [r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["doc_id", "pattern", "x"])
-
-    rows = sample.mapInArrow(run, "doc_id long, pattern long, x binary").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    if not rows:
-        return model, None
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
-    return model, fit_scorer(x, model.posterior(unpacked(np.array([r["pattern"] for r in rows], np.int64))))
+    rows = voted.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()  # 3 ** labellers rows at most
+    codes, times = np.array([r["pattern"] for r in rows], np.int64), np.array([r["n"] for r in rows])
+    model = expectation_maximisation(codes, times) if rows else None
+    return (None, None) if model is None else (model, fit_scorer(voted, model, codes, times))
 
 
 def classify(docs: DataFrame, model: VoteModel | None, scorer: Scorer | None) -> DataFrame:
