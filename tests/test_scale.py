@@ -37,6 +37,14 @@ def test_lines_of_an_order_stay_together_in_the_ledger(spark, tmp_path, monkeypa
     assert files.agg(F.max("n")).first()[0] == 1
 
 
+def test_ledger_files_are_packed(spark, tmp_path, monkeypatch):
+    _orders(spark, tmp_path)
+    monkeypatch.setattr(ledger, "checkpoint_dir", lambda s: str(tmp_path))
+    ledger.sales_ledger(spark, str(tmp_path))
+    files = list(tmp_path.glob("tillroll-ledger-*/*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
+
+
 def test_region_joins_orders_not_lines(spark, tmp_path):
     _orders(spark, tmp_path)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
