@@ -219,6 +219,17 @@ def test_weighted_rows_are_the_dense_panel(spark):
     assert len(got) < want["count"].sum() / 2
 
 
+def test_changes_of_a_sale_do_not_travel(spark):
+    df = spark.createDataFrame(sold(np.random.default_rng(1)), "product_id string, date date, qty double")
+    plan = pf.training_rows(df)._jdf.queryExecution().toString()
+    physical = plan[plan.index("Physical Plan"):]
+    assert physical[:physical.index("Generate")].count("Exchange") == 1  # the distinct rows only
+    # quantities whose sums are no whole doubles keep their decimals
+    big = pf.training_rows(df.withColumn("qty", F.col("qty") * 1e14)).agg(F.max("y"), F.sum("weight")).first()
+    small = pf.training_rows(df).agg(F.max("y"), F.sum("weight")).first()
+    assert big[0] == small[0] * 1e14 and big[1] == small[1]
+
+
 def test_weighted_fit_is_the_dense_fit(spark):
     df = spark.createDataFrame(sold(np.random.default_rng(1)), "product_id string, date date, qty double")
     table = VectorAssembler(inputCols=pf.FEATURES, outputCol="features").transform(dense_rows(df))

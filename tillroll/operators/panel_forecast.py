@@ -26,40 +26,48 @@ FEATURES = ["lag_1", "lag_7", "mean_7", "mean_28"]
 YOUNG, HISTORY = 7, 28
 #: Training rows of one task: few tasks make each of the booster's many small jobs short.
 ROWS_A_TASK = 25_000
-UNITS = "decimal(28,6)"
+UNITS, MILLION = "decimal(28,6)", 1_000_000
 
 
 def training_rows(sales: DataFrame, key: str = "product_id", value: str = "qty") -> DataFrame:
     """(``FEATURES``, y, weight) of every product's days from its ``YOUNG``-th day after the first
-    sale to the last day of all sales; equal rows are one, with their number as weight."""
-    v = F.col(value).cast(UNITS)
-    zero = F.lit(0).cast(UNITS)
+    sale to the last day of all sales; equal rows are one, with their number as weight.
 
-    def change(after: int, **by: Column) -> Column:
-        return F.struct(F.lit(after).alias("after"), *[by.get(c, zero).alias(c) for c in ("y", "l1", "l7", "s7", "s28")])
+    Only a product's days of sale travel, to their product; the six days that each changes are
+    made, put in order and summed up in place.  Units are counted in millionths, as longs where
+    all sums stay exact as doubles, and as decimals elsewhere."""
+    v = F.col(value).cast(UNITS)
+    sold = sales.where(v.isNotNull() & F.col("date").isNotNull()).groupBy(key, "date").agg(F.sum(v).alias("v"))
+    most = sold.agg(F.max("date").alias("last"), F.max(F.abs("v")).alias("v")).first()
+    last = F.lit(most["last"]).cast("date")
+    whole = (most["v"] or 0) * HISTORY * MILLION < 1 << 53
+    kind, scale = ("long", float(MILLION)) if whole else (UNITS, 1.0)
+    sold = sold.select(key, "date", ((F.col("v") * MILLION) if whole else F.col("v")).cast(kind).alias("v"))
+    zero = F.lit(0).cast(kind)
+
+    def change(after: int | Column, **by: Column) -> Column:
+        return F.struct((F.lit(after) if isinstance(after, int) else after).alias("after"),
+                        *[by.get(c, zero).alias(c) for c in ("y", "l1", "l7", "s7", "s28")])
 
     # what a sale adds to the day's inputs, from which day after it on
+    v = F.col("v")
     changes = F.array(change(0, y=v), change(1, y=-v, l1=v, s7=v, s28=v), change(2, l1=-v), change(7, l7=v),
                       change(8, l7=-v, s7=-v), change(HISTORY + 1, s28=-v))
-    sold = sales.where(v.isNotNull() & F.col("date").isNotNull()).groupBy(key, "date").agg(F.sum(v).alias(value))
-    last = sold.agg(F.max("date").alias("last"))  # one row
-    moved = sold.select(key, "date", F.inline(changes)).select(key, F.date_add("date", F.col("after")).alias("date"), "y", "l1", "l7", "s7", "s28")
     # the mean of 28 has fewer days in it until the 28th: each of those days is a stretch of its own
-    first = sold.groupBy(key).agg(F.min("date").alias("first"))
-    young = first.select(key, F.explode(F.sequence(F.date_add("first", YOUNG), F.date_add("first", HISTORY))).alias("date"),
-                         *[zero.alias(c) for c in ("y", "l1", "l7", "s7", "s28")])
-    days = moved.unionByName(young).groupBy(key, "date").agg(*[F.sum(c).alias(c) for c in ("y", "l1", "l7", "s7", "s28")])
-    w = Window.partitionBy(key).orderBy("date")  # one product's days: bounded by the calendar
-    at = days.select(key, "date", *[F.sum(c).over(w).alias(c) for c in ("y", "l1", "l7", "s7", "s28")],
-                     F.lead("date").over(w).alias("next"), F.min("date").over(Window.partitionBy(key)).alias("first"))
-    at = at.crossJoin(F.broadcast(last)).where((F.col("date") <= F.col("last")) & (F.col("date") >= F.date_add("first", YOUNG)))
+    young = F.transform(F.sequence(F.lit(YOUNG), F.lit(HISTORY)), lambda k: change(k))
+    # one product's days: bounded by the calendar
+    own = sold.repartition(key).withColumn("first", F.min("date").over(Window.partitionBy(key)))
+    moved = own.select(key, "date", "first", F.inline(F.when(F.col("date") == F.col("first"), F.concat(changes, young)).otherwise(changes)))
+    moved = moved.withColumn("date", F.date_add("date", F.col("after"))).where(F.col("date") <= last)
+    w = Window.partitionBy(key).orderBy("date")  # sums take in all changes of a day; only its last row has a stretch
+    at = moved.select("date", "first", *[F.sum(c).over(w).alias(c) for c in ("y", "l1", "l7", "s7", "s28")], F.lead("date").over(w).alias("next"))
+    days = F.datediff(F.coalesce("next", F.date_add(last, 1)), F.col("date"))
+    at = at.withColumn("days", days).where((F.col("days") > 0) & (F.col("date") >= F.date_add("first", YOUNG)))
     held = F.least(F.datediff("date", "first"), F.lit(HISTORY))
-    end = F.least(F.coalesce("next", F.date_add("last", 1)), F.date_add("last", 1))
+    units = {c: F.col(c).cast("double") / scale for c in ("y", "l1", "l7", "s7", "s28")}
     return at.select(
-        F.col("l1").cast("double").alias("lag_1"), F.col("l7").cast("double").alias("lag_7"),
-        (F.col("s7").cast("double") / 7).alias("mean_7"), (F.col("s28").cast("double") / held).alias("mean_28"),
-        F.col("y").cast("double").alias("y"), F.datediff(end, "date").alias("days")).groupBy(*FEATURES, "y").agg(
-            F.sum("days").cast("double").alias("weight"))
+        units["l1"].alias("lag_1"), units["l7"].alias("lag_7"), (units["s7"] / 7).alias("mean_7"), (units["s28"] / held).alias("mean_28"),
+        units["y"].alias("y"), "days").groupBy(*FEATURES, "y").agg(F.sum("days").cast("double").alias("weight"))
 
 
 def tree_arrays(model) -> tuple[np.ndarray, ...]:
@@ -103,7 +111,8 @@ def forecast_recursive(sales: DataFrame, key: str = "product_id", value: str = "
     """D9q (key, date, step, forecast) for every product that was ever sold: its last ``HISTORY`` days step
     forward, every forecast feeding the next day's inputs, floored at 0.  The trees (a few
     thousand numbers) go to the tasks; products are stepped many at a time."""
-    sold = sales.where(F.col(value).isNotNull() & F.col("date").isNotNull())
+    # read by the history, the last day and the training rows
+    sold = cut_lineage(sales.where(F.col(value).isNotNull() & F.col("date").isNotNull()).select(key, "date", value))
     last = sold.agg(F.max("date").alias("last"))  # one row
     back = F.datediff("last", "date")
     hist = sold.crossJoin(F.broadcast(last)).groupBy(key).agg(
