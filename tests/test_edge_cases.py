@@ -222,3 +222,22 @@ def test_out_of_order_steps_follow_the_sequence(spark):
     rows = [("x", dt.date(2020, 1, 1), 1), ("x", dt.date(2020, 1, 3), 2), ("x", dt.date(2020, 1, 2), 3), ("y", dt.date(2020, 1, 5), 1)]
     out = {r.g: r for r in timeseries.gap_audit(spark.createDataFrame(rows, "g string, date date, seq int"), "date", 1, ["g"], "seq").collect()}
     assert out["x"].out_of_order == 1 and out["x"].irregular_steps == 0 and out["y"].out_of_order == 0
+
+
+def test_both_customer_tables_come_from_one_pass_over_the_lines(spark, monkeypatch):
+    from tillroll.operators import customers as cu
+    day = lambda s: dt.datetime.fromisoformat(s)
+    rows = [("t1", day("2020-01-04"), "a", "p", 2.0, 5.0), ("t1", day("2020-03-05"), "a", "p", 1.0, 5.0),  # on both sides of the cutoff
+            ("t2", day("2020-02-01"), "a", "q", 1.0, 3.0), ("t3", day("2020-04-04"), "b", "p", 4.0, 2.0),
+            ("t4", day("2020-01-02"), "c", "p", 1.0, 7.0), (None, day("2020-01-03"), "c", "p", 1.0, 1.0),
+            ("t5", day("2020-02-03"), None, "p", 1.0, 9.0), ("t6", None, "d", "p", 1.0, 9.0)]
+    led = spark.createDataFrame(rows, "transaction_id string, date timestamp_ntz, customer_id string, product_id string, "
+                                      "quantity_sold double, price double").withColumn(
+        "sales_amount", (F.col("quantity_sold") * F.col("price")).cast("decimal(18,4)"))
+    passes = []
+    monkeypatch.setattr(cu, "_by_customer", lambda *a, own=cu._by_customer: passes.append(a[1]) or own(*a))
+    feats, churn = cu.features_and_churn(led, "2020-03-01", 90)
+    assert passes == [[None, "2020-03-01"]]
+    for got, want in ((feats, cu.customer_features(led)), (churn, cu.churn_dataset(led, "2020-03-01", 90))):
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.schema.names == want.schema.names
+    assert {r.customer_id: (r.frequency, r.monetary, r.active_months) for r in churn.collect()} == {"a": (2, 13.0, 2), "c": (1, 8.0, 1)}

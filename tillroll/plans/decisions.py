@@ -45,10 +45,11 @@ def _scores(led):
 
 
 def _views(spark, sf_dir):
-    """Ledger, segmentation and churn scores; a plan that needs one of the two builds
-    only that one (each is materialised when built)."""
+    """Ledger, segmentation and churn scores, the two from one pass over the ledger; a plan
+    that needs one of them builds only that one (each is materialised when built)."""
     led = sales_ledger(spark, sf_dir)
-    return led, _segments(led), _scores(led)
+    feats, churn = cu.features_and_churn(led, CUTOFF, HORIZON)
+    return led, de.segmentation_table(feats), cu.rule_churn_scores(churn)
 
 
 # columns that are null on one side of the outer join are declared double
