@@ -142,3 +142,19 @@ def test_kmeans_and_recursive_forecast_plans(spark):
     fc = qs["forecast_recursive_products"](spark, SF)
     g = fc.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.min("forecast").alias("lo")).collect()
     assert all(r.n == 30 and r.lo >= 0 for r in g)
+
+
+def test_churn_models_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+    from pyspark.ml.classification import LogisticRegression
+    from tillroll.operators import ml
+    met = threading.Barrier(2)
+
+    class Waits:
+        def fit(self, train):
+            met.wait(120)  # for the other model's fit
+            return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=5).fit(train)
+    monkeypatch.setattr(ml, "CHURN_MODELS", {"one": Waits, "two": Waits})
+    df = spark.createDataFrame([(f"c{i}", float(i % 7), int(i % 7 > 3)) for i in range(60)], "customer_id string, x double, true_churn_flag int")
+    metrics, fitted = ml.train_churn(df, ["x"], models=("one", "two"))
+    assert list(fitted) == ["one", "two"] and {r.model for r in metrics.collect()} == {"one", "two"}

@@ -213,14 +213,14 @@ def train_churn(df: DataFrame, features: Sequence[str], label: str = "true_churn
     base = class_weights(stratified_split(df, label), label, "balanced").withColumn("label", F.col(label).cast("double"))
     data = cut_lineage(assemble(base, features))
     train, test = data.filter(F.col("is_test") == 0), data.filter(F.col("is_test") == 1)
-    fitted, metrics = {}, None
-    for name in models:
+
+    def measured(name: str) -> tuple:
         m = CHURN_MODELS[name]().fit(train)
-        fitted[name] = m
         scored = m.transform(test).withColumn("p1", vector_to_array("probability")[1])
-        met = binary_metrics(scored, label, "p1").withColumn("model", F.lit(name))
-        metrics = met if metrics is None else metrics.unionByName(met)
-    return metrics, fitted
+        return m, binary_metrics(scored, label, "p1").withColumn("model", F.lit(name))
+
+    both = together([partial(measured, name) for name in models])  # the models do not depend on each other
+    return reduce(DataFrame.unionByName, [met for _, met in both]), {name: m for name, (m, _) in zip(models, both, strict=True)}
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str = "true_churn_flag", folds: int = 5,
