@@ -21,18 +21,20 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tillroll.functions.numeric import exact_mean, safe_corr
 from tillroll.operators import ranking
-from tillroll.session import cut_lineage
+from tillroll.session import cut_lineage, partitions_for
 
 SEED = 42
 KMEANS_ITERATIONS = 300
 #: Independent fits that run at once.
 FITS = 6
+#: Points that a task of joint k-means steps has at least, and distances that one of its steps holds.
+BLOCK, PAIRS = 16384, 200_000
 
 
 def together(jobs: Sequence[Callable]) -> list:
@@ -102,31 +104,104 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], cluster: str = "cluster")
     return r.agg(exact_mean("_r").alias("davies_bouldin"), F.count(F.lit(1)).alias("clusters"))
 
 
+def _assigned(centres: Sequence[np.ndarray]) -> Callable:
+    """One pair of arrays for a task's blocks of points: for every centre of every start the number of the points
+    nearest to it and their sums, and after them the squared distances of each start's points."""
+    stacked = np.vstack(centres)
+    square = (stacked ** 2).sum(1)[:, None]
+    sizes = [len(c) for c in centres]
+    first = np.cumsum([0, *sizes[:-1]])
+    dim, step = stacked.shape[1], max(1, PAIRS // len(stacked))
+
+    def run(blocks: Iterator) -> Iterator[tuple[bytes, bytes]]:
+        sums, costs = np.zeros((len(stacked), dim + 1)), np.zeros(len(centres))
+        for (block,) in blocks:
+            points = np.frombuffer(block).reshape(-1, dim)
+            for at in range(0, len(points), step):
+                x = points[at:at + step]
+                away = -2 * stacked @ x.T + square  # less the point's own square
+                least = np.minimum.reduceat(away, first, axis=0)
+                nearest = away == np.repeat(least, sizes, axis=0)
+                if nearest.sum() > least.size:  # of equally near centres the first
+                    for a, k in zip(first, sizes, strict=True):
+                        nearest[a:a + k] &= nearest[a:a + k].cumsum(0) == 1
+                costs += least.sum(1) + (x ** 2).sum()
+                sums += nearest.astype(float) @ np.column_stack([np.ones(len(x)), x])
+        yield sums.tobytes(), costs.tobytes()
+
+    return run
+
+
+def lloyd(df: DataFrame, cols: Sequence[str], starts: Sequence[np.ndarray], iterations: int = KMEANS_ITERATIONS,
+          tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
+    """(centres, cost) of each of ``starts`` when none of its centres moves by more than ``tol``; the
+    cost is that of the last assignment, as Spark's k-means has it.
+
+    One pass over the points moves all starts that still move, so there are as many jobs as the
+    slowest has iterations.  A task tells one row of sums, whose size follows the starts."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], names=["x"])
+
+    points = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    tasks = min(partitions_for(df), -(-df.count() // BLOCK) or 1)
+    blocks = cut_lineage(points.repartition(tasks).mapInArrow(packed, "x binary")).rdd
+    centres, costs, moving = [np.array(c, float) for c in starts], [0.0] * len(starts), list(range(len(starts)))
+    for _ in range(iterations):
+        if not moving:
+            break
+        told = blocks.mapPartitions(_assigned([centres[i] for i in moving])).collect()  # a pair a task
+        sums, cost = (np.sum([np.frombuffer(t) for t in column], 0) for column in zip(*told, strict=True))
+        sums, at, still = sums.reshape(-1, len(cols) + 1), 0, []
+        for i, c in zip(moving, cost, strict=True):
+            own, old = sums[at:at + len(centres[i])], centres[i]
+            at += len(old)
+            met = own[:, 0] > 0  # a centre without points stays
+            centres[i] = np.where(met[:, None], own[:, 1:] / np.maximum(own[:, :1], 1.0), old)
+            costs[i] = float(c)
+            if (((centres[i] - old) ** 2).sum(1) > tol * tol).any():
+                still.append(i)
+        moving = still
+    return list(zip(centres, costs, strict=True))
+
+
+def nearest_centre(cols: Sequence[str], centres: np.ndarray) -> Column:
+    """The number of the first nearest of a few centres."""
+    away = F.array(*[sum((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, centre, strict=True)) for centre in centres])
+    return (F.array_position(away, F.array_min(away)) - 1).cast("int")
+
+
 def kmeans_sweep(df: DataFrame, feature_sets: dict[str, Sequence[str]], ks: Sequence[int] = range(2, 9),
                  restarts: int = 10) -> DataFrame:
     """M2/T10 per feature set and k, best of ``restarts`` starts: WCSS, silhouette
-    (squared Euclidean), Davies–Bouldin, and whether k has the set's best silhouette."""
+    (squared Euclidean), Davies–Bouldin, and whether k has the set's best silhouette.
+
+    Spark's k-means|| finds the centres of every start; all of them then move together (:func:`lloyd`)."""
     spark = df.sparkSession
-    rows = []
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="_c", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
-    for name, cols in feature_sets.items():
+    starts = [(k, s) for k in ks for s in range(restarts)]
+
+    def swept(name: str, cols: Sequence[str]) -> list[tuple]:
         data = cut_lineage(assemble(df, cols))
 
-        def fitted(k: int, s: int, data=data):
-            return KMeans(k=k, seed=SEED + s, maxIter=KMEANS_ITERATIONS, featuresCol="features", predictionCol="_c").fit(data)
+        def begun(k: int, s: int) -> list:
+            return KMeans(k=k, seed=SEED + s, maxIter=0, featuresCol="features", predictionCol="_c").fit(data).clusterCenters()
 
-        def judged(k: int, model, data=data, name=name, cols=cols) -> tuple:
-            pred = cut_lineage(model.transform(data))
+        fits = dict(zip(starts, lloyd(data, cols, together([partial(begun, *start) for start in starts])), strict=True))
+
+        def judged(k: int) -> tuple:
+            centres, cost = min((fits[k, s] for s in range(restarts)), key=lambda fit: fit[1])
+            pred = cut_lineage(data.withColumn("_c", nearest_centre(cols, centres)))
             db = davies_bouldin(pred, cols, "_c").first()["davies_bouldin"]
-            return name, int(k), float(model.summary.trainingCost), float(ev.evaluate(pred)), float(db)
+            return name, int(k), cost, float(ev.evaluate(pred)), float(db)
 
-        starts = [(k, s) for k in ks for s in range(restarts)]
-        fits = dict(zip(starts, together([partial(fitted, *start) for start in starts]), strict=True))
-        least = {k: min((fits[k, s] for s in range(restarts)), key=lambda m: m.summary.trainingCost) for k in ks}
-        own = together([partial(judged, k, model) for k, model in least.items()])
+        own = together([partial(judged, k) for k in ks])
         best = max(own, key=lambda r: (r[3], -r[1]))[1]
-        rows += [(*r, int(r[1] == best)) for r in own]
+        return [(*r, int(r[1] == best)) for r in own]
+
+    rows = sum(together([partial(swept, name, cols) for name, cols in feature_sets.items()]), [])
     return spark.createDataFrame(rows, "feature_set string, k long, wcss double, silhouette double, davies_bouldin double, "
                                        "is_best long")
 
