@@ -27,6 +27,7 @@ from pyspark.util import inheritable_thread_target
 
 from tillroll.functions.numeric import exact_mean, safe_corr
 from tillroll.operators import ranking
+from tillroll.operators.boosted_folds import held_out_scores
 from tillroll.session import cut_lineage, partitions_for
 
 SEED = 42
@@ -305,13 +306,27 @@ def cross_validate(df: DataFrame, features: Sequence[str], label: str = "true_ch
     base = class_weights(fold_column(df, label, folds), label, "balanced").withColumn("label", F.col(label).cast("double"))
     data = cut_lineage(assemble(base, features))
 
-    def scores(fold: int, name: str) -> DataFrame:
-        train, test = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
-        scored = CHURN_MODELS[name]().fit(train).transform(test).withColumn("p1", vector_to_array("probability")[1])
+    kinds = {name: CHURN_MODELS[name]() for name in models}
+    boosted = [name for name, m in kinds.items() if isinstance(m, GBTClassifier)]
+
+    def measured(scored: DataFrame, fold: int, name: str) -> DataFrame:
         return binary_metrics(scored, label, "p1").select(
             F.lit(name).alias("model"), F.lit(fold).cast("long").alias("fold"), "accuracy", "precision", "recall", "f1", "roc_auc")
 
-    return reduce(DataFrame.unionByName, together([partial(scores, fold, name) for fold in range(folds) for name in models]))
+    def scores(fold: int, name: str) -> list[DataFrame]:
+        train, test = data.filter(F.col("fold") != fold), data.filter(F.col("fold") == fold)
+        scored = kinds[name].fit(train).transform(test).withColumn("p1", vector_to_array("probability")[1])
+        return [measured(cut_lineage(scored.select(label, "p1")), fold, name)]  # scored once for all of its metrics
+
+    def joint() -> list[DataFrame]:
+        """The boosted models of all folds, grown together."""
+        told = held_out_scores(data, label, folds, [(m.getMaxIter(), m.getStepSize(), m.getMaxDepth()) for m in map(kinds.get, boosted)])
+        return together([partial(measured, told.where((F.col("fit") == i) & (F.col("fold") == fold)), fold, name)
+                         for i, name in enumerate(boosted) for fold in range(folds)])
+
+    jobs = [joint] if boosted else []
+    jobs += [partial(scores, fold, name) for fold in range(folds) for name in models if name not in boosted]
+    return reduce(DataFrame.unionByName, sum(together(jobs), []))
 
 
 def champion(metrics: DataFrame) -> DataFrame:
